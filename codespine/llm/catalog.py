@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, tokenfile
+from . import bpe, decontaminate, simhash, tokenfile
 from .common import table
 
 
@@ -21,12 +22,26 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"), end_id=1)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    named = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", decontaminate.hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(named.cast("binary"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_token_files": op3_token_files, "op7_bpe": op7_bpe}
+    return {f.__name__: f for f in (op3_token_files, op4_simhash, op6_decontaminate, op7_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
