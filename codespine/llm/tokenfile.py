@@ -30,7 +30,7 @@ from .common import ready, shared_dir, slices, text_bytes, utf8, written
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 6_000_000
-CACHED_WORDS = 700_000
+CACHED_WORDS = 800_000
 CACHED_CHARS = 64
 NO_ID = np.iinfo(np.int64).min
 #: Byte length of each of the four ranks of a control byte.
@@ -41,8 +41,8 @@ class WordIds:
     """Ids by the tokenizers library, kept by word.
 
     Splitting at spaces and line feeds beforehand changes nothing where the vocabulary's pattern drops white space and
-    cuts there: no token, special string or normalisation reaches across. New words are encoded in one text, parted by a
-    special token.
+    cuts there: no token, special string or normalisation reaches across. New words are encoded in one text, parted by
+    a control character that is a token of its own; words with that character or a special string are encoded alone.
     """
 
     def __init__(self, path: str):
@@ -52,19 +52,23 @@ class WordIds:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
-        special = {x.content: i for i, x in self.lib.get_added_tokens_decoder().items()}
-        self.part, self.part_id = next(iter(special.items())) if special else ("", -1)
-        self.marks = tuple(special)
+        part = self.lib.encode(" \x01 ", add_special_tokens=False).ids
+        self.part_id = part[0] if len(part) == 1 else None
+        self.marks = ("\x01", *(x.content for x in self.lib.get_added_tokens_decoder().values()))
+        self.kind = "<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4"
         self.words: dict[str, bytes] = {"": b""}
 
     def alone(self, word: str) -> bytes:
-        return np.array(self.lib.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.lib.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
     def learn(self, words: list[str]) -> None:
         for at in range(0, len(words), 2048):
             some = words[at : at + 2048]
-            ids = np.array(self.lib.encode_batch_fast([self.part.join(some)], add_special_tokens=False)[0].ids, "<u4")
-            self.words.update(zip(some, map(bytes, map(np.ndarray.tobytes, (x[x != self.part_id] for x in np.split(ids, np.flatnonzero(ids == self.part_id))))), strict=True))
+            ids = np.array(self.lib.encode_batch_fast([" \x01 ".join(some)], add_special_tokens=False)[0].ids)
+            cuts = np.flatnonzero(ids == self.part_id)
+            raw, wide = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+            starts, ends = [0, *(wide * (cuts + 1)).tolist()], [*(wide * cuts).tolist(), len(raw)]
+            self.words.update((w, raw[a:b]) for w, a, b in zip(some, starts, ends, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > CACHED_WORDS:
@@ -72,7 +76,7 @@ class WordIds:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.words
         new = {w for words in cut for w in words if w not in known}
-        odd = {w: self.alone(w) for w in new if not self.marks or len(w) > CACHED_CHARS or any(m in w for m in self.marks)}
+        odd = {w: self.alone(w) for w in new if self.part_id is None or len(w) > CACHED_CHARS or any(m in w for m in self.marks)}
         self.learn([w for w in new if w not in odd])
         if not odd:
             return [b"".join(map(known.__getitem__, words)) for words in cut]
@@ -150,34 +154,24 @@ def save(path: str, name: str, parts: Iterator[bytes]) -> None:
 
 
 def tokenised(docs: DataFrame, path: str, *, end_id: int | None = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc`` long, ``ids`` binary (little-endian unsigned 32-bit) with the end id appended."""
+    """``doc`` long, ``ids`` binary with the end id appended.
+
+    Ids are 16-bit integers where the vocabulary fits (marked by a leading 2, else 4), which halves the table.
+    """
     ready(docs.sparkSession)
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(path)
+        mark = b"\2" if words.kind == "<u2" else b"\4"
+        end = b"" if end_id is None else np.array([end_id], words.kind).tobytes()
         for batch in slices(batches):
-            ids = [x + end for x in words.encode([utf8(t) for t in batch.column(1).to_pylist()])]
+            ids = [b"".join((mark, x, end)) for x in words.encode([utf8(t) for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
 
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(int(NO_ID))).alias("doc"), text_bytes(text).alias("data"))
     return rows.mapInArrow(run, "doc bigint, ids binary")
 
 
-def narrowed(tokens: DataFrame) -> DataFrame:
-    """Ids as 16-bit integers where all fit (marked by a leading 2, else 4), which halves the intermediate table."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for raw in batch.column(1).to_pylist():
-                ids = np.frombuffer(raw, "<u4")
-                out.append(b"\4" + raw if len(ids) and ids.max() > 0xFFFF else b"\2" + ids.astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc", "ids"])
-
-    return tokens.mapInArrow(run, "doc bigint, ids binary")
-
-
 def widened(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if raw[:1] == b"\2" else "<u4", offset=1)
 
@@ -206,7 +200,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, *, end_id: int | None =
     The rank table is bounded by the vocabulary, whatever the corpus.
     """
     spark = docs.sparkSession
-    tokens = written(narrowed(tokenised(docs, vocabulary, end_id=end_id, text=text, key=key)))
+    tokens = written(tokenised(docs, vocabulary, end_id=end_id, text=text, key=key))
     counts = sorted(((r.id, r.n) for r in frequencies(tokens).collect()), key=lambda x: (-x[1], x[0]))
     rank_of = np.zeros(max((i for i, _ in counts), default=0) + 1, np.uint32)
     rank_of[[i for i, _ in counts]] = np.arange(len(counts))
