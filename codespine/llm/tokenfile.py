@@ -18,6 +18,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from .common import ready, shared_dir, slices, text_bytes, utf8, written
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 6_000_000
-CACHED_WORDS = 800_000
+CACHED_WORDS = 900_000
 CACHED_CHARS = 64
 NO_ID = np.iinfo(np.int64).min
 #: Byte length of each of the four ranks of a control byte.
@@ -62,8 +63,8 @@ class WordIds:
         return np.array(self.lib.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
     def learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 2048):
-            some = words[at : at + 2048]
+        for at in range(0, len(words), 64):
+            some = words[at : at + 64]
             ids = np.array(self.lib.encode_batch_fast([" \x01 ".join(some)], add_special_tokens=False)[0].ids)
             cuts = np.flatnonzero(ids == self.part_id)
             raw, wide = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
@@ -71,16 +72,22 @@ class WordIds:
             self.words.update((w, raw[a:b]) for w, a, b in zip(some, starts, ends, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > CACHED_WORDS:
-            self.words = {"": b""}
+        """Ids of each text; a word is looked up once, and only the places of new words are visited again."""
+        if len(self.words) > CACHED_WORDS:  # what came first is the more frequent half
+            self.words = dict(islice(self.words.items(), CACHED_WORDS // 2))
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.words
-        new = {w for words in cut for w in words if w not in known}
+        known, out = self.words, []
+        got = [list(map(known.get, words)) for words in cut]
+        gaps = [[k for k, x in enumerate(ids) if x is None] if None in ids else [] for ids in got]
+        new = {words[k] for words, gap in zip(cut, gaps, strict=True) for k in gap}
         odd = {w: self.alone(w) for w in new if self.part_id is None or len(w) > CACHED_CHARS or any(m in w for m in self.marks)}
         self.learn([w for w in new if w not in odd])
-        if not odd:
-            return [b"".join(map(known.__getitem__, words)) for words in cut]
-        return [b"".join([odd[w] if w in odd else known[w] for w in words]) for words in cut]
+        for words, ids, gap in zip(cut, got, gaps, strict=True):
+            for k in gap:
+                w = words[k]
+                ids[k] = odd[w] if w in odd else known[w]
+            out.append(b"".join(ids))
+        return out
 
 
 _LOADED: dict[str, WordIds] = {}
