@@ -6,6 +6,10 @@ statement of a bigrams can only match templates of between a d / (2 - d) and a (
 range are dropped by their number of words, before a bigram is made; the others meet only the templates within their
 range. Templates are a short, fixed list of literals, so there is no join and no shuffle.
 
+A match has at least d / (2 - d) of its template's bigrams. So words that occur in more than the other part of every
+template's bigrams can't all be missing from a match: a few such marker words are chosen, and texts without any of them are
+done after one look.
+
 Defined results: null, empty and one-word texts match nothing; of several matches in a text the best is named (ties: the
 first name); repeated lines count each; every row of the input gives one row, repeated or not. Whole texts of any length
 are candidates: one beyond the widest range can't reach the least value.
@@ -13,8 +17,11 @@ are candidates: one beyond the widest range can't reach the least value.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,11 +65,29 @@ def known_bigrams(templates: Mapping[str, str]) -> dict[str, list[str]]:
     return known
 
 
-def statements(text: Column) -> Column:
-    """Normalised lines, and the whole text as the last one where there are several."""
-    plain = F.lower(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), "[^0-9A-Za-z\n]+", " "))
+def markers(known: Mapping[str, list[str]], least: float) -> list[str]:
+    """Words and bigrams of which every match has one; long words first, as they are rare in other texts."""
+    need = {name: len(t) - math.ceil(len(t) * least / (2 - least) - 1e-9) + 1 for name, t in known.items()}
+    hit = {name: set() for name in known}
+    words = {w for t in known.values() for g in t for w in (g, *g.split())}
+    chosen = []
+    while open_ := [n for n in known if len(hit[n]) < need[n]]:
+        gain = {w: sum(len({g for g in known[n] if w in g} - hit[n]) for n in open_) for w in words - set(chosen)}
+        best_word = max(gain, key=lambda w: (gain[w] > 0 and len(w) >= 6, gain[w] * len(w), w))
+        chosen.append(best_word)
+        for n in known:
+            hit[n] |= {g for g in known[n] if best_word in g}
+    return chosen
+
+
+def normalised(text: Column) -> Column:
+    return F.lower(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), "[^0-9A-Za-z\n]+", " "))
+
+
+def statements(plain: Column) -> Column:
+    """Lines of a normalised text, and the whole text as the last one where there are several."""
     lines = F.split(plain, "\n")
-    return F.when(F.size(lines) > 1, F.concat(F.transform(lines, F.trim), F.array(F.trim(F.regexp_replace(plain, "[ \n]+", " "))))).otherwise(F.transform(lines, F.trim))
+    return F.when(F.size(lines) > 1, F.concat(F.transform(lines, lambda x: F.trim(x)), F.array(F.trim(F.regexp_replace(plain, "[ \n]+", " "))))).otherwise(F.transform(lines, lambda x: F.trim(x)))
 
 
 def best(words: Column, known: Mapping[str, list[str]], least: float) -> Column:
@@ -85,8 +110,12 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, *, least: fl
     known = known_bigrams(templates)
     fewest = min(map(len, known.values())) * least / (2 - least)
     most = max(map(len, known.values())) * (2 - least) / least
-    fits = F.filter(statements(F.col(text)), lambda s: (F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))).between(fewest, most))
-    cut = docs.select(F.col(key).alias("doc_id"), F.transform(fits, lambda s: F.split(s, " ")).alias("w"))
+    marked = lambda s: reduce(or_, (F.contains(s, F.lit(w)) for w in markers(known, least)))
+    spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
+    plain = docs.select(F.col(key), normalised(F.col(text)).alias("plain"))
+    some = F.filter(statements(F.col("plain")), lambda s: marked(s) & spaces(s).between(fewest, most))
+    fits = F.when(marked(F.col("plain")), some).otherwise(F.array().cast("array<string>"))
+    cut = plain.select(F.col(key).alias("doc_id"), F.transform(fits, lambda s: F.split(s, " ")).alias("w"))
     pairs = lambda w: F.struct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b)).alias("g"))
     grams = cut.select("doc_id", F.transform("w", pairs).alias("g"))
     found = grams.select("doc_id", F.filter(F.transform("g", lambda g: best(g, known, least)), lambda b: b.isNotNull()).alias("m"))
