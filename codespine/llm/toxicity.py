@@ -1,9 +1,10 @@
 """Toxicity by a factorisation machine over hashed terms.
 
-A document is the set of its terms, hashed. Its score is the logistic function of a bias, a weight of each term, and
+A document is the set of its terms, hashed: words, and the first few bytes of words. Its score is the logistic function of a bias, a weight of each term, and
 for each pair of terms the product of their factor vectors, which sees that two words together mean more (or less) than
-each alone. Terms come from a screening of the fitting sample: those whose presence differs between the labels by
-more than ``SCREEN`` standard errors. Other terms carry no weight, so long documents gather no noise.
+each alone. Terms come from a screening of the fitting sample: those whose share of toxic documents is too far from the whole sample's to be chance
+(by Chernoff's bound, with all terms seen taken into account). Other terms carry no weight, so long documents gather no noise.
+In each round of fitting a part of every document's terms is hidden, so that one telling term alone has to do.
 
 The model is fitted on at most ``SAMPLE`` labelled rows, whatever the size of the table, and has at most ``TERMS`` terms.
 
@@ -25,9 +26,10 @@ from .common import ready, slices, text_bytes
 from .labelled import sample
 
 SAMPLE = 8000
-BITS = 20
-TERMS = 2000
-SCREEN = 4.0
+BITS = 22
+BEGINNINGS = (4, 5, 6, 7)
+TERMS = 400
+SHOWN = 0.8
 FACTORS = 4
 CACHED_WORDS = 500_000
 #: A-Z to lower case; what is neither an ASCII letter or digit nor part of a longer UTF-8 sequence to a space.
@@ -38,8 +40,13 @@ def hashed(word: bytes) -> int:
     return zlib.crc32(word) & ((1 << BITS) - 1)
 
 
+def hashes(word: bytes) -> list[int]:
+    """Terms of a word: itself and how it begins, which is shared by inflected and compound forms."""
+    return [hashed(word), *(hashed(b"^" + word[:n]) for n in BEGINNINGS if len(word) >= n)]
+
+
 def terms(data: bytes) -> set[int]:
-    return {hashed(w) for w in set(data.translate(FOLD).split())}
+    return {h for w in set(data.translate(FOLD).split()) for h in hashes(w)}
 
 
 def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,26 +58,28 @@ def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Bias, weights and factors of the screened terms, fitted by Adam on the whole sample."""
 
-    def __init__(self, rows: list[np.ndarray], y: np.ndarray, *, rounds: int = 300, rate: float = 0.05, penalty: float = 2e-4, seed: int = 11):
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray, *, rounds: int = 200, rate: float = 0.08, penalty: float = 2e-5, seed: int = 11):
         n = np.bincount(np.concatenate(rows), minlength=1 << BITS)
         k = np.bincount(np.concatenate([r for r, t in zip(rows, y, strict=True) if t]), minlength=1 << BITS)
         share = y.mean()
-        z = np.abs(k - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
-        found = np.flatnonzero((z > SCREEN) & (n >= 3))
-        self.found = found[np.argsort(-z[found], kind="stable")][:TERMS]
+        rate_of = np.clip(k / np.maximum(n, 1), 1e-12, 1 - 1e-12)
+        far = n * (rate_of * np.log(rate_of / share) + (1 - rate_of) * np.log((1 - rate_of) / (1 - share)))
+        found = np.flatnonzero(far > np.log(10 * (n > 0).sum()))
+        self.found = found[np.argsort(-far[found], kind="stable")][:TERMS]
         place = np.full(1 << BITS, -1)
         place[self.found] = np.arange(len(self.found))
         own = [p[p >= 0] for p in (place[r] for r in rows)]
-        x = np.zeros((len(rows), len(self.found)), np.float32)
+        whole = np.zeros((len(rows), len(self.found)), np.float32)
         for i, p in enumerate(own):
-            x[i, p] = 1
+            whole[i, p] = 1
         rng = np.random.default_rng(seed)
-        self.bias, self.w, self.v = np.log(share / (1 - share)), np.zeros(len(self.found)), rng.normal(0, 0.05, (len(self.found), FACTORS))
-        held = [np.zeros(1 + self.w.size + self.v.size) for _ in range(2)]
+        self.bias, self.w, self.v = np.log(share / (1 - share)), np.zeros(len(self.found), np.float32), rng.normal(0, 0.05, (len(self.found), FACTORS)).astype(np.float32)
+        held = [np.zeros(1 + self.w.size + self.v.size, np.float32) for _ in range(2)]
         for t in range(1, rounds + 1):
+            x = whole * (rng.random(whole.shape, np.float32) < SHOWN)
             xv = x @ self.v
             p = self.logistic(self.bias + x @ self.w + 0.5 * ((xv**2).sum(1) - x @ (self.v**2).sum(1)))
-            e = (p - y) / len(y)
+            e = ((p - y) / len(y)).astype(np.float32)
             xe = x.T @ e
             slope = np.concatenate([[e.sum()], xe + penalty * self.w, (x.T @ (e[:, None] * xv) - xe[:, None] * self.v + penalty * self.v).ravel()])
             held[0] = 0.9 * held[0] + 0.1 * slope
@@ -107,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None, mo
 
 
 #: Of this process: a model's terms by word.
-_PLACES: dict[bytes, dict[bytes, int]] = {}
+_PLACES: dict[bytes, dict[bytes, tuple[int, ...]]] = {}
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -131,9 +140,9 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
             rows = []
             for t in batch.column(place).to_pylist():
                 words = set((t or "").encode().translate(FOLD).split())
-                for w in words - known.keys():
-                    known[w] = where.get(hashed(w), -1)
-                rows.append(list({p for p in map(known.__getitem__, words) if p >= 0}))
+                for w in [w for w in words if w not in known]:
+                    known[w] = tuple({where[h] for h in hashes(w) if h in where})
+                rows.append(list(set().union(*filter(None, map(known.__getitem__, words)))))
             score = own.score(rows) if own else np.zeros(len(rows))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "toxic_score"])
 
