@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, lattice, licences, quality, simhash, tokenfile, toxicity
+from . import ann, bpe, chat, decontaminate, lattice, licences, quality, simhash, tokenfile, toxicity
 from .common import remainder, table
 
 
@@ -18,6 +18,10 @@ def vocabulary_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     same = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(same).alias("text"))
@@ -79,7 +83,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op2_chat, op3_token_files, op4_simhash, op5_licences, op6_decontaminate, op7_bpe, op8_quality, op9_lattice, op10_toxicity)
+    every = (op1_ann, op2_chat, op3_token_files, op4_simhash, op5_licences, op6_decontaminate, op7_bpe, op8_quality, op9_lattice, op10_toxicity)
     return {f.__name__: f for f in every}
 
 

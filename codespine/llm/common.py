@@ -10,7 +10,9 @@ import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,5 +74,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
             yield batch.slice(at, rows)
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20, rows: int = 4096) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes in one column (a longer value is a batch of its own)."""
+    for batch in batches:
+        end = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            base = int(end[at - 1]) if at else 0
+            to = min(max(int(np.searchsorted(end, base + size, "right")), at + 1), at + rows, batch.num_rows)
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def utf8(data: bytes) -> str:
     return data.decode("utf-8", "replace")

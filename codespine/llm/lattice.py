@@ -18,17 +18,19 @@ training documents all counts are zero and the pieces keep the vocabulary's weig
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, remainder, slices, text_bytes, utf8, written
+from .common import portions, ready, remainder, slices, text_bytes, utf8, written
 
-FREQUENT = 200_000
+FREQUENT = 150_000
 CACHED_WORDS = 500_000
 HELD_WORDS = 300_000
 LONG_WORD = 48
@@ -215,9 +217,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([held[w] for w in some], pa.int64())], names=["word", "n"])
             held.clear()
 
-        for batch in slices(batches):
-            for data in batch.column(0).to_pylist():
-                held.update(tokens(data))
+        for batch in portions(batches, 0):
+            held.update(chain.from_iterable(map(tokens, batch.column(0).to_pylist())))
             held[END] += batch.num_rows
             if len(held) > HELD_WORDS:
                 yield from out()
@@ -264,6 +265,19 @@ def refit(counts: DataFrame, path: str, rounds: int = 2) -> np.ndarray:
     return weight
 
 
+def frequent_from(counts: DataFrame, most: int) -> int:
+    """The least count such that ``most`` words at most have it or more; what comes to the driver is a row for each of the
+    counts from which at least a word has it, cut to those that matter."""
+    by_count = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(most).collect()
+    held, least = 0, None
+    for r in by_count:
+        held += r.words
+        if held > most:
+            return least or r.n + 1
+        least = r.n
+    return 1 if len(by_count) < most else least
+
+
 #: By model: log weights of the words met so far in this process.
 _SCORED: dict[str, dict[bytes, float]] = {}
 
@@ -278,17 +292,15 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
     counts = written(word_counts(docs.where(training).select(text_bytes(text).alias("data"))))
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     weight = refit(counts, path, rounds)
-    frequent = {bytes(r.word): r.n for r in counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()}
-    if END in frequent or not total:
-        ends = frequent.get(END, 0)
-    else:
-        ends = counts.where(F.col("word") == F.lit(bytearray(END))).first().n
-        frequent[END] = ends
+    least = frequent_from(counts, FREQUENT)
+    frequent = {bytes(r.word): r.n for r in counts.where(F.col("n") >= least).collect()}
+    if END not in frequent and total:
+        frequent[END] = counts.where(F.col("word") == F.lit(bytearray(END))).first().n
     floor = float(np.log10(total + 1.0 * (distinct + 1)))
-    whole = distinct <= FREQUENT
+    whole = least <= 1
     logs = {w: float(np.log10(n + 1)) for w, n in frequent.items()}
     shared = spark.sparkContext.broadcast((logs, weight))
-    model = f"{path}:{hash(weight.tobytes())}"
+    model = f"{path}:{zlib.crc32(weight.tobytes())}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs, weight = shared.value
@@ -296,28 +308,37 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
         if model not in _SCORED:
             _SCORED.clear()
             _SCORED[model] = {}
-        known = _SCORED[model]
         end_score, end_base = float(weight[vocab.end]), logs.get(END, 0.0)
-        for batch in slices(batches):
-            if len(known) > CACHED_WORDS:
-                known.clear()
+        for batch in portions(batches, 2):
+            known = _SCORED[model]
+            if len(known) > CACHED_WORDS:  # what came first is the more frequent half
+                known = _SCORED[model] = dict(islice(known.items(), CACHED_WORDS // 2))
             cut = [tokens(t) for t in batch.column(2).to_pylist()]
-            new = list({w for words in cut for w in words if w not in known})
-            known.update(zip(new, marginals(vocab, weight, new).tolist(), strict=True))
-            score, base, rest, seen = [], [], [], []
-            for words in cut:
-                score.append((sum(map(known.__getitem__, words)) + end_score) / np.log(10))
-                found = [logs[w] for w in words if w in logs]
-                base.append(sum(found) + end_base)
-                seen.append(len(found) + (END in logs))
-                rest.append(list(Counter([w for w in words if w not in logs]).items()) if not whole and len(found) < len(words) else [])
-            flat = [x for r in rest for x in r]
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rest])]).astype(np.int32)
-            pairs = pa.StructArray.from_arrays([pa.array([w for w, _ in flat], pa.binary()), pa.array([n for _, n in flat], pa.int32())], ["word", "n"])
+            sizes = np.array([len(w) for w in cut])
+            here = dict.fromkeys(chain.from_iterable(cut))  # each word of these texts once
+            words = list(here)
+            here.update(zip(words, range(len(words)), strict=True))
+            got = list(map(known.get, words))
+            gaps = [k for k, x in enumerate(got) if x is None]
+            new = [words[k] for k in gaps]
+            for k, w, x in zip(gaps, new, marginals(vocab, weight, new).tolist(), strict=True):
+                got[k] = known[w] = x
+            at = np.fromiter(map(here.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+            who = np.repeat(np.arange(len(cut)), sizes)
+            log_of = np.array([logs.get(w, -1.0) for w in words])  # -1: not among the frequent words
+            base, seen = log_of[at], log_of[at] >= 0
+            sums = lambda x, n=len(cut): np.bincount(who, x, minlength=n)
+            score = (sums(np.array(got, np.float64)[at]) + end_score) / np.log(10)
+            pairs, times = np.unique(who[~seen] * len(words) + at[~seen], return_counts=True) if not whole else (np.zeros(0, np.int64),) * 2
+            offsets = np.searchsorted(pairs, np.arange(len(cut) + 1) * max(len(words), 1)).astype(np.int32)
+            rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()).take(pa.array(pairs % max(len(words), 1))), pa.array(times.astype(np.int32))], ["word", "n"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(w) + 1 for w in cut], pa.int64()), pa.array(seen, pa.int64()), pa.array(base), pa.array(score), pa.ListArray.from_arrays(pa.array(offsets), pairs)],
+                [
+                    batch.column(0), batch.column(1), pa.array(sizes + 1, pa.int64()), pa.array(sums(seen).astype(np.int64) + (END in logs)),
+                    pa.array(sums(np.where(seen, base, 0.0)) + end_base), pa.array(score), pa.ListArray.from_arrays(pa.array(offsets), rest),
+                ],
                 names=["key", "held_out", "n_tokens", "seen", "base", "score", "rest"],
-            )
+            )
 
     rows = docs.select(F.col(key).alias("key"), held_out.alias("held_out"), text_bytes(text).alias("data"))
     kind = docs.schema[key].dataType.simpleString()

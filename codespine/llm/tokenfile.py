@@ -15,10 +15,11 @@ their ids' bytes; a null doc_id is written as the least 64-bit integer and read
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ready, shared_dir, slices, text_bytes, utf8, written
+from .common import portions, ready, shared_dir, slices, text_bytes, utf8, written
 
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
@@ -34,6 +35,7 @@ FILE_TOKENS = 6_000_000
 CACHED_WORDS = 900_000
 CACHED_CHARS = 64
 NO_ID = np.iinfo(np.int64).min
+LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]*[^\W\d_\u0130])([!-&(-/:-@\[-`{-~]+)")
 #: Byte length of each of the four ranks of a control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
@@ -55,7 +57,7 @@ class WordIds:
         self.lib.no_padding()
         part = self.lib.encode(" \x01 ", add_special_tokens=False).ids
         self.part_id = part[0] if len(part) == 1 else None
-        self.marks = ("\x01", *(x.content for x in self.lib.get_added_tokens_decoder().values()))
+        self.marks = tuple(x.content for x in self.lib.get_added_tokens_decoder().values())
         self.kind = "<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4"
         self.words: dict[str, bytes] = {"": b""}
 
@@ -71,23 +73,33 @@ class WordIds:
             starts, ends = [0, *(wide * (cuts + 1)).tolist()], [*(wide * cuts).tolist(), len(raw)]
             self.words.update((w, raw[a:b]) for w, a, b in zip(some, starts, ends, strict=True))
 
+    @staticmethod
+    def halves(word: str) -> tuple[str, str]:
+        """Letters and the ASCII punctuation after them: the pattern cuts there, and A-Z count as a-z.
+
+        Not after U+0130, whose lower case ends in a mark that joins the punctuation.
+        """
+        if word.isascii():
+            word = word.lower()
+        found = not word[-1:].isalpha() and LETTERS_THEN_MARKS.fullmatch(word)
+        return found.groups() if found else (word, "")
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; a word is looked up once, and only the places of new words are visited again."""
+        """Ids of each text, through a small table of the words of just these texts."""
         if len(self.words) > CACHED_WORDS:  # what came first is the more frequent half
             self.words = dict(islice(self.words.items(), CACHED_WORDS // 2))
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        known, out = self.words, []
-        got = [list(map(known.get, words)) for words in cut]
-        gaps = [[k for k, x in enumerate(ids) if x is None] if None in ids else [] for ids in got]
-        new = {words[k] for words, gap in zip(cut, gaps, strict=True) for k in gap}
-        odd = {w: self.alone(w) for w in new if self.part_id is None or len(w) > CACHED_CHARS or any(m in w for m in self.marks)}
-        self.learn([w for w in new if w not in odd])
-        for words, ids, gap in zip(cut, got, gaps, strict=True):
-            for k in gap:
-                w = words[k]
-                ids[k] = odd[w] if w in odd else known[w]
-            out.append(b"".join(ids))
-        return out
+        known = self.words
+        here = dict.fromkeys(chain.from_iterable(cut))
+        here.update(zip(here, map(known.get, here), strict=True))
+        new = [w for w, ids in here.items() if ids is None]
+        odd = {w for w in new if self.part_id is None or len(w) > CACHED_CHARS or "<" in w and any(m in w for m in self.marks) or "\x01" in w}
+        halves = {w: self.halves(w) for w in new if w not in odd}
+        self.learn([x for x in set(chain.from_iterable(halves.values())) if x not in known])
+        known.update((w, known[a] + known[b]) for w, (a, b) in halves.items() if w not in known)
+        for w in new:
+            here[w] = self.alone(w) if w in odd else known[w]
+        return [b"".join(map(here.__getitem__, words)) for words in cut]
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -171,7 +183,7 @@ def tokenised(docs: DataFrame, path: str, *, end_id: int | None = 1, text: str =
         words = word_ids(path)
         mark = b"\2" if words.kind == "<u2" else b"\4"
         end = b"" if end_id is None else np.array([end_id], words.kind).tobytes()
-        for batch in slices(batches):
+        for batch in portions(batches, 1):
             ids = [b"".join((mark, x, end)) for x in words.encode([utf8(t) for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
 
