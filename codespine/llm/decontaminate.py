@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from .common import ready, slices, text_bytes, written
+from .common import portions, ready, slices, text_bytes, written
 
 BLOCK_BYTES = 16 << 20
 #: A-Z to lower case; what is neither an ASCII letter or digit nor part of a longer UTF-8 sequence to a space.
@@ -157,53 +157,63 @@ SPAN = pa.list_(pa.struct([("first", pa.int32()), ("after", pa.int32())]))
 FOUND = "key bigint, n_words bigint, spans array<struct<first: int, after: int>>, items array<bigint>"
 
 
+def find(auto: Automaton, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], list[int]]]:
+    """Number of words, hit spans and items of each text."""
+    n_words, ids, get = [], [], auto.vocabulary.get
+    for data in texts:
+        found = words(data)
+        n_words.append(len(found))
+        ids += [get(w, 0) for w in found]
+        ids.append(0)  # no stretch goes from one text into the next
+    first = np.concatenate([[0], np.cumsum(np.array(n_words, np.int64) + 1)])
+    hits: dict[int, tuple[list, set]] = {}
+    for a, b in zip(*(x.tolist() for x in auto.stretches(np.array(ids, np.int64))), strict=True):
+        some, which = auto.search(ids[a:b])
+        if some:
+            k = int(np.searchsorted(first, a, "right")) - 1
+            old = hits.setdefault(k, ([], set()))
+            old[0].extend((a - int(first[k]) + x, a - int(first[k]) + y) for x, y in some)
+            old[1].update(which)
+    return [(n, united(hits[k][0]), sorted(hits[k][1])) if k in hits else (n, [], []) for k, n in enumerate(n_words)]
+
+
+def _shared(docs: DataFrame, items: list[Row], window: int):
+    return docs.sparkSession.sparkContext.broadcast(Automaton(((r[0], bytes(r[1])) for r in items), window))
+
+
 def _scan(docs: DataFrame, items: list[Row], window: int) -> DataFrame:
     """``key``, ``n_words``, ``spans``, ``items`` against one block of items; ``docs``: key, data."""
-    automaton = docs.sparkSession.sparkContext.broadcast(Automaton(((r[0], bytes(r[1])) for r in items), window))
+    automaton = _shared(docs, items, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto = automaton.value
-        get = auto.vocabulary.get
-        for batch in slices(batches):
-            n_words, ids, spans, items = [], [], [], []
-            for data in batch.column(1).to_pylist():
-                found = words(data)
-                n_words.append(len(found))
-                ids += [get(w, 0) for w in found]
-                ids.append(0)
-            all_ids = np.array(ids, np.int64)
-            first = np.concatenate([[0], np.cumsum(np.array(n_words, np.int64) + 1)])
-            hits: dict[int, tuple[list, set]] = {}
-            for a, b in zip(*(x.tolist() for x in auto.stretches(all_ids)), strict=True):
-                some, which = auto.search(ids[a:b])
-                if some:
-                    k = int(np.searchsorted(first, a, "right")) - 1
-                    old = hits.setdefault(k, ([], set()))
-                    old[0].extend((a - int(first[k]) + x, a - int(first[k]) + y) for x, y in some)
-                    old[1].update(which)
-            for k in range(batch.num_rows):
-                s, w = hits.get(k, ((), ()))
-                spans.append([{"first": a, "after": b} for a, b in united(s)])
-                items.append(sorted(w))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(spans, SPAN), pa.array(items, pa.list_(pa.int64()))], names=["key", "n_words", "spans", "items"])
+        for batch in portions(batches, 1):
+            found = find(automaton.value, batch.column(1).to_pylist())
+            spans = [[{"first": a, "after": b} for a, b in s] for _, s, _ in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _, _ in found], pa.int64()), pa.array(spans, SPAN), pa.array([i for _, _, i in found], pa.list_(pa.int64()))], names=["key", "n_words", "spans", "items"])
 
     return docs.mapInArrow(run, FOUND)
 
 
+def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> list[DataFrame]:
+    """The items in parts of bounded size (by a hash of the item; one part where all fit)."""
+    tests = benchmark.select(F.col(item).cast("long").alias("item"), text_bytes(text).alias("data")).where("item is not null")
+    size = tests.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
+    count = max(1, -(-size // block_bytes))
+    place = F.pmod(F.xxhash64("item", "data"), F.lit(count))
+    return [tests] if count == 1 else [tests.where(place == k) for k in range(count)]
+
+
 def occurrences(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, text: str = "text", key: str = "doc_id", item: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``key``, ``n_words`` long, ``spans`` (hit words, united, ascending), ``items`` (ascending ids) of every document."""
     if window < 1:
         raise ValueError("a window has one word at least")
     ready(docs.sparkSession)
-    tests = benchmark.select(F.col(item).cast("long").alias("item"), text_bytes(text).alias("data")).where("item is not null")
-    size = tests.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
+    parts = _blocks(benchmark, item, text, block_bytes)
     rows = docs.select(F.col(key).cast("long").alias("key"), text_bytes(text).alias("data"))
-    count = max(1, -(-size // block_bytes))
-    if count == 1:
-        return _scan(rows, tests.collect(), window).withColumnRenamed("key", key)
+    if len(parts) == 1:
+        return _scan(rows, parts[0].collect(), window).withColumnRenamed("key", key)
     numbered = written(rows.withColumn("row", F.monotonically_increasing_id()))
-    place = F.pmod(F.xxhash64("item", "data"), F.lit(count))
-    each = [_scan(numbered.select(F.col("row").alias("key"), "data"), tests.where(place == k).collect(), window) for k in range(count)]
+    each = [_scan(numbered.select(F.col("row").alias("key"), "data"), part.collect(), window) for part in parts]
     found = each[0]
     for more in each[1:]:
         found = found.union(more)
@@ -233,29 +243,30 @@ def cleaned(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, data[last:]])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, longest: int = 10, coverage: float = 0.5, text: str = "text") -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, longest: int = 10, coverage: float = 0.5, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The same columns without contamination.
 
     Spans of ``longest`` or more words are removed, shorter ones (whole short items) where all spans together cover
     more than ``coverage`` of the document's words; a document left without a word goes. Clean rows stay as they are.
+    A narrow map for each block of items: block after block finds and removes, so no rows are shuffled.
     """
     ready(docs.sparkSession)
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()))
-    found = occurrences(numbered.select(F.col("_row"), F.col(text).alias("text")), benchmark.select("item_id", "text"), window=window, key="_row").where(F.size("spans") > 0)
-    share = hit_words() / F.greatest("n_words", F.lit(1))
-    cut = found.select("_row", F.when(share > coverage, F.col("spans")).otherwise(F.filter("spans", lambda s: s["after"] - s["first"] >= longest)).alias("_cut")).where(F.size("_cut") > 0)
-    both = numbered.join(cut, "_row", "left").drop("_row")
-
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            place = batch.schema.get_field_index(text)
-            texts, keep = batch.column(place).to_pylist(), []
-            for k, spans in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                if spans:
-                    left = cleaned(texts[k].encode(), [(s["first"], s["after"]) for s in spans])
-                    texts[k] = left.decode("utf-8", "replace")
-                keep.append(not spans or bool(words(left)))
-            out = batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
-            yield out.select(range(batch.num_columns - 1)).filter(pa.array(keep, pa.bool_()))
-
-    return both.mapInArrow(clean, docs.schema)
+    place = docs.schema.fieldNames().index(text)
+    for part in _blocks(benchmark, "item_id", "text", block_bytes):
+        automaton = _shared(docs, part.collect(), window)
+
+        def clean(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
+            for batch in portions(batches, place):
+                texts, keep = batch.column(place).to_pylist(), []
+                raw = [(t or "").encode() for t in texts]
+                for k, (n, spans, _) in enumerate(find(automaton.value, raw)):
+                    if sum(b - a for a, b in spans) <= coverage * n:
+                        spans = [(a, b) for a, b in spans if b - a >= longest]
+                    if spans:
+                        left = cleaned(raw[k], spans)
+                        texts[k] = left.decode("utf-8", "replace")
+                    keep.append(not spans or bool(words(left)))
+                yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type)).filter(pa.array(keep, pa.bool_()))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs

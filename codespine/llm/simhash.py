@@ -189,3 +189,13 @@ def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, bucket:
     of = linked.join(named, "root").select(F.col("node").alias("fp"), "component")
     final = classes.join(of, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
     return prints.join(final, "fp").select("doc_id", "fp", "component_id")
+
+
+def deduplicated(docs: DataFrame, *, width: int = 4, radius: int = 4) -> DataFrame:
+    """One document of each component: that with the smallest id. The columns stay.
+
+    ``doc_id`` names a document: rows that repeat one are copies, of which one stays. Rows without an id all stay.
+    """
+    found = near_duplicates(docs, width=width, radius=radius)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
