@@ -20,6 +20,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from itertools import chain, islice
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,16 @@ from .common import portions, ready, shared_dir, slices, text_bytes, utf8, writt
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 6_000_000
-CACHED_WORDS = 900_000
+CACHED_WORDS = 200_000
+PORTION_BYTES = 12 << 20
 CACHED_CHARS = 64
 NO_ID = np.iinfo(np.int64).min
 LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]*[^\W\d_\u0130])([!-&(-/:-@\[-`{-~]+)")
+#: The character that stands for each byte in a byte-level vocabulary.
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: b for b in _PLAIN} | {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
+#: Words that show whether a vocabulary's model takes words as they are.
+PROBES = ("a", "the", "zyxwv", "straße", "çao", "слово", "言葉", "aaaaaaaaaaaaaaaaaaaaaaaaaaaa")
 #: Byte length of each of the four ranks of a control byte.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 
@@ -60,18 +67,28 @@ class WordIds:
         self.marks = tuple(x.content for x in self.lib.get_added_tokens_decoder().values())
         self.kind = "<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4"
         self.words: dict[str, bytes] = {"": b""}
+        self.model, self.direct = self.lib.model, True
+        self.direct = all(self.by_model(w) == self.alone(w) for w in PROBES)
 
     def alone(self, word: str) -> bytes:
         return np.array(self.lib.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def learn(self, words: list[str]) -> None:
+    def by_model(self, word: str) -> bytes:
+        """A word of lower-case letters goes to the library's model at once: nothing is left to normalise or to cut."""
+        return np.array([x.id for x in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS))], self.kind).tobytes()
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        plain = [w for w in words if w.isalpha() and (w.isascii() or w.islower() and is_normalized("NFC", w))] if self.direct else []
+        out = dict(zip(plain, map(self.by_model, plain), strict=True))
+        words = [w for w in words if w not in out]
         for at in range(0, len(words), 64):
             some = words[at : at + 64]
             ids = np.array(self.lib.encode_batch_fast([" \x01 ".join(some)], add_special_tokens=False)[0].ids)
             cuts = np.flatnonzero(ids == self.part_id)
             raw, wide = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
             starts, ends = [0, *(wide * (cuts + 1)).tolist()], [*(wide * cuts).tolist(), len(raw)]
-            self.words.update((w, raw[a:b]) for w, a, b in zip(some, starts, ends, strict=True))
+            out.update((w, raw[a:b]) for w, a, b in zip(some, starts, ends, strict=True))
+        return out
 
     @staticmethod
     def halves(word: str) -> tuple[str, str]:
@@ -85,20 +102,24 @@ class WordIds:
         return found.groups() if found else (word, "")
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, through a small table of the words of just these texts."""
-        if len(self.words) > CACHED_WORDS:  # what came first is the more frequent half
-            self.words = dict(islice(self.words.items(), CACHED_WORDS // 2))
+        """Ids of each text. Each different word of these texts is looked up or encoded once.
+
+        Words met first stay known from one call to the next: they are mostly the frequent ones.
+        """
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.words
         here = dict.fromkeys(chain.from_iterable(cut))
         here.update(zip(here, map(known.get, here), strict=True))
         new = [w for w, ids in here.items() if ids is None]
         odd = {w for w in new if self.part_id is None or len(w) > CACHED_CHARS or "<" in w and any(m in w for m in self.marks) or "\x01" in w}
-        halves = {w: self.halves(w) for w in new if w not in odd}
-        self.learn([x for x in set(chain.from_iterable(halves.values())) if x not in known])
-        known.update((w, known[a] + known[b]) for w, (a, b) in halves.items() if w not in known)
-        for w in new:
-            here[w] = self.alone(w) if w in odd else known[w]
+        halves = [(w, *self.halves(w)) for w in new if w not in odd]
+        parts = {x for _, a, b in halves for x in (a, b)}
+        learned = self.learn([x for x in parts if x not in known])
+        learned.update((x, known[x]) for x in parts if x not in learned)
+        here.update((w, learned[a] + learned[b] if b else learned[a]) for w, a, b in halves)
+        here.update((w, self.alone(w)) for w in odd)
+        if len(known) < CACHED_WORDS:
+            known.update(islice(((w, here[w]) for w, _, _ in halves), CACHED_WORDS - len(known)))
         return [b"".join(map(here.__getitem__, words)) for words in cut]
 
 
@@ -183,7 +204,7 @@ def tokenised(docs: DataFrame, path: str, *, end_id: int | None = 1, text: str =
         words = word_ids(path)
         mark = b"\2" if words.kind == "<u2" else b"\4"
         end = b"" if end_id is None else np.array([end_id], words.kind).tobytes()
-        for batch in portions(batches, 1):
+        for batch in portions(batches, 1, PORTION_BYTES, 1 << 16):
             ids = [b"".join((mark, x, end)) for x in words.encode([utf8(t) for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
 
