@@ -33,8 +33,8 @@ from .common import portions, ready, shared_dir, slices, text_bytes, utf8, writt
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 6_000_000
-CACHED_WORDS = 200_000
-PORTION_BYTES = 12 << 20
+CACHED_WORDS = 500_000
+PORTION_BYTES = 16 << 20
 CACHED_CHARS = 64
 NO_ID = np.iinfo(np.int64).min
 LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]*[^\W\d_\u0130])([!-&(-/:-@\[-`{-~]+)")
