@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Words that say nothing about a description.
 STOPWORDS = ("de", "la", "el", "los", "las", "y", "o", "a", "en", "para", "con", "sin", "del", "al", "por", "un", "una", "que", "se", "su")
@@ -17,13 +18,13 @@ def unmarked(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_case_kept(texts: pd.Series) -> pd.Series:
     """Single spaces, compatibility forms resolved, marks stripped; null is empty. Spark has no such normalisation."""
     return texts.map(lambda t: "" if t is None else t if t.isascii() and " ".join(t.split()) == t else unmarked(" ".join(t.split())))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold(texts: pd.Series) -> pd.Series:
     """The search form: as above, and full case folding (``ß`` becomes ``ss``)."""
     return texts.map(lambda t: "" if t is None else " ".join(unmarked(t).casefold().split()))

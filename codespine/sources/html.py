@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import codes, dates, text
 from ..operators.hierarchy import section_chapters
@@ -91,13 +92,13 @@ def plain_lines(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r"\n{2,}", "\n")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescaped(texts: pd.Series) -> pd.Series:
     """Character references resolved; texts without an ampersand pass as they are."""
     return texts.map(lambda t: t if t is None or "&" not in t else entities.unescape(t))
 
 
-SCOPE = r"(?im)(?=^[ \t]*(?:Cap[ií]tulo\s+\d{1,2}(?![.\d])|Secci[oó]n\s+[IVXLCDM]+\b|Art[ií]culo\s+|TRANSITORIOS\b))"
+SCOPE = r"(?ium)(?=^[ \t]*(?:Cap[ií]tulo\s+\d{1,2}(?![.\d])|Secci[oó]n\s+[IVXLCDM]+\b|Art[ií]culo\s+|TRANSITORIOS\b))"
 
 
 def national_notes(pages: DataFrame, *, html: str = "html", source: str = "source_document_id") -> DataFrame:
@@ -105,8 +106,8 @@ def national_notes(pages: DataFrame, *, html: str = "html", source: str = "sourc
     ``note_number``, ``text``, ``source_document_id``. Section notes apply to all of the section's chapters.
     """
     blocks = pages.select(source, F.explode(F.split(plain_lines(F.col(html)), SCOPE)).alias("block"))
-    chapter = F.regexp_extract("block", r"(?i)Cap[ií]tulo\s+(\d{1,2})(?![.\d])", 1)
-    section = F.upper(F.regexp_extract("block", r"(?i)Secci[oó]n\s+([IVXLCDM]+)\b", 1))
+    chapter = F.regexp_extract("block", r"(?iu)Cap[ií]tulo\s+(\d{1,2})(?![.\d])", 1)
+    section = F.upper(F.regexp_extract("block", r"(?iu)Secci[oó]n\s+([IVXLCDM]+)\b", 1))
     scoped = blocks.select(source, "block", F.when(chapter != "", "chapter").when(section != "", "section").alias("scope_type"), F.when(chapter != "", F.lpad(chapter, 2, "0")).otherwise(section).alias("scope_value"))
     each = scoped.where("scope_type is not null").select(source, "scope_type", "scope_value", F.explode(F.split("block", r"(?m)(?=^\s*\d+\.\s+)")).alias("note"))
     notes = each.select(source, "scope_type", "scope_value", F.regexp_extract("note", r"\A\s*(\d+)\.\s+", 1).alias("note_number"), text.single_spaced(F.regexp_replace("note", r"\A\s*\d+\.\s+", "")).alias("text")).where("note_number <> ''")
@@ -145,7 +146,7 @@ class _Tables(HTMLParser):
                 self.tables.append(rows)
 
 
-@F.pandas_udf("array<array<array<string>>>")
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.StringType()))))
 def tables(pages: pd.Series) -> pd.Series:
     """Tables, rows, cells of each page; blank rows and empty tables are left out."""
 
