@@ -177,11 +177,12 @@ def primary_count(spark: SparkSession, d: str) -> DataFrame:
 
 
 _RECORDS = f"""{TREE_SQL}, records AS (SELECT code, level, left(code, 8) AS fraccion8, 'v1' AS ligie_version, true AS is_current,
-    CASE WHEN length(code) >= 8 AND n_parts % 4 <> 0 THEN 'u' || (n_parts % 3) END AS unit_code FROM tree)"""
+    CASE WHEN length(code) >= 8 AND right(code, 2)::INT % 4 <> 0 THEN 'u' || (right(code, 2)::INT % 3) END AS unit_code FROM tree)"""
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
-    unit = F.when((F.length("code") >= 8) & (F.col("n_parts") % 4 != 0), F.concat(F.lit("u"), (F.col("n_parts") % 3).cast("string")))
+    last = F.substring("code", -2, 2).cast("int")
+    unit = F.when((F.length("code") >= 8) & (last % 4 != 0), F.concat(F.lit("u"), (last % 3).cast("string")))
     return inputs.tree(spark, d).select("code", "level", F.substring("code", 1, 8).alias("fraccion8"), F.lit("v1").alias("ligie_version"), F.lit(True).alias("is_current"), unit.alias("unit_code"))
 
 
