@@ -12,6 +12,10 @@ A bucket sends the edges of a spanning forest, never all its pairs. Buckets abov
 compared at all: there each fingerprint visits all centres within ``radius / 2`` bits, and those that share a centre are linked
 to the least of them, which gives the same components in a number of rows linear in the bucket.
 
+Few bits apart means very alike: texts that share 0.8 of their shingles differ in about ten bits. Where a similarity is asked
+for, several independent fingerprints fill buckets, the nearest of each document up to ``wide`` bits survive the pivot
+table, and these pairs are compared by the Jaccard similarity of their shingles.
+
 Defined results: null and empty texts have fingerprint zero and link like any other; a text with fewer words than a shingle
 is one shingle; repeated rows share a class; null ids stay as rows and never name a component that has another id.
 """
@@ -32,6 +36,7 @@ from .components import components
 
 BUCKET = 1024
 SEED = 42
+MIX = np.uint64(0x9E3779B97F4A7C15)
 LANES = np.uint64(0x0101010101010101)
 PIVOTS = np.array([sum(((k & j).bit_count() & 1) << j for j in range(64)) for k in range(1, 64, 2)], np.uint64)
 
@@ -68,21 +73,32 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, *, width: int = 4, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``fp`` long (the 64 bits as a signed integer) of every row; a narrow map."""
+def remixed(hashes: np.ndarray, family: int) -> np.ndarray:
+    """Other hashes of the same shingles; family 0 has the hashes as they are."""
+    if not family:
+        return hashes
+    mixed = (hashes ^ hashes >> np.uint64(29) ^ np.uint64(family)) * MIX
+    return (mixed ^ mixed >> np.uint64(32)) * MIX
+
+
+def fingerprints(docs: DataFrame, *, width: int = 4, families: int = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``doc_id``, ``fp`` long (the 64 bits as a signed integer) of every row, and ``others``, the fingerprints of further
+    families of hashes; a narrow map."""
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             each = [np.array(shingle_hashes(t, width), np.uint64) for t in batch.column(1).to_pylist()]
             counts = np.array([len(x) for x in each])
-            out = np.zeros(len(each), np.uint64)
+            out = np.zeros((families, len(each)), np.uint64)
             if counts.any():
-                out[counts > 0] = majority(np.concatenate(each), counts[counts > 0])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
+                for k in range(families):
+                    out[k, counts > 0] = majority(remixed(np.concatenate(each), k), counts[counts > 0])
+            others = pa.array(list(out[1:].T.view(np.int64)) if families > 1 else [[]] * len(each), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0].view(np.int64)), others], names=["doc_id", "fp", "others"])
 
     rows = docs.select(F.col(key).alias("doc_id"), text_bytes(text).alias("data"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema[key].dataType.simpleString()}, fp bigint")
+    return rows.mapInArrow(run, f"doc_id {docs.schema[key].dataType.simpleString()}, fp bigint, others array<bigint>")
 
 
 def bands(radius: int) -> list[tuple[int, int]]:
@@ -113,10 +129,14 @@ def forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links (positions) of the buckets in rows sorted by key."""
+def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Spanning links (positions) of the buckets in rows sorted by key, and pairs to look at beyond the radius.
+
+    Of the pairs that differ in more than ``radius`` and up to ``wide`` bits, each linked group of a bucket keeps its
+    nearest, so their number is linear in the bucket.
+    """
     table = np.bitwise_count(fps[:, None] ^ PIVOTS).astype(np.int8)
-    lefts, rights = [], []
+    lefts, rights, apart = [], [], []
     alive = np.arange(len(keys) - 1)
     step = 1
     while len(alive := alive[alive + step < len(keys)]):
@@ -124,38 +144,52 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.nda
         for at in range(0, len(alive), 1 << 16):
             a = alive[at : at + (1 << 16)]
             for k in (slice(0, 8), slice(8, 16), slice(16, 32)):  # the first coordinates already discard most pairs
-                a = a[np.abs(table[a, k] - table[a + step, k]).max(axis=1, initial=0) <= radius]
-            a = a[np.bitwise_count(fps[a] ^ fps[a + step]) <= radius]
-            lefts.append(a)
-            rights.append(a + step)
+                a = a[np.abs(table[a, k] - table[a + step, k]).max(axis=1, initial=0) <= wide]
+            bits = np.bitwise_count(fps[a] ^ fps[a + step])
+            near = bits <= wide
+            lefts.append(a[near])
+            rights.append(a[near] + step)
+            apart.append(bits[near])
         step += 1
-    left, right = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lefts, rights))
-    root = forest(left, right, len(keys))
+    none = np.zeros(0, np.int64)
+    left, right, bits = (np.concatenate(x) if x else none for x in (lefts, rights, apart))
+    close = bits <= radius
+    root = forest(left[close], right[close], len(keys))
     linked = np.flatnonzero(root != np.arange(len(keys)))
-    return linked, root[linked]
+    x, y, bits = left[~close], right[~close], bits[~close]
+    other = root[x] != root[y]
+    order = np.argsort(bits[other], kind="stable")
+    x, y = x[other][order], y[other][order]
+    first = np.zeros(len(x), bool)
+    for end in (x, y):
+        first[np.unique(root[end], return_index=True)[1]] = True
+    return linked, root[linked], x[first], y[first]
+
 
+def light_links(rows: DataFrame, radius: int, wide: int) -> DataFrame:
+    """``a``, ``b``, ``sure`` of the links and the pairs to look at within buckets of bounded size.
 
-def light_links(rows: DataFrame, radius: int) -> DataFrame:
-    """Links within buckets of bounded size; ``rows``: key, fp."""
+    ``rows``: key, bits (compared), fp (who it is). A negative radius makes no link sure.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_k, held_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        held = [np.zeros(0, np.int64)] * 3
 
-        def out(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
-            a, b = bucket_links(k, f, radius)
-            return pa.RecordBatch.from_arrays([pa.array(f[a].view(np.int64)), pa.array(f[b].view(np.int64))], names=["a", "b"])
+        def out(k: np.ndarray, bits: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            a, b, x, y = bucket_links(k, bits.view(np.uint64), radius, wide)
+            sure = pa.array(np.arange(len(a) + len(x)) < len(a))
+            return pa.RecordBatch.from_arrays([pa.array(fp[np.concatenate([a, x])]), pa.array(fp[np.concatenate([b, y])]), sure], names=["a", "b", "sure"])
 
         for batch in batches:
-            held_k = np.concatenate([held_k, batch.column(0).to_numpy(zero_copy_only=False)])
-            held_f = np.concatenate([held_f, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)])
-            done = int(np.searchsorted(held_k, held_k[-1])) if len(held_k) else 0
+            held = [np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held)]
+            done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
             if done:
-                yield out(held_k[:done], held_f[:done])
-                held_k, held_f = held_k[done:], held_f[done:]
-        if len(held_k):
-            yield out(held_k, held_f)
+                yield out(*(h[:done] for h in held))
+                held = [h[done:] for h in held]
+        if len(held[0]):
+            yield out(*held)
 
-    return rows.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp").mapInArrow(run, "a bigint, b bigint")
+    return rows.select("key", "bits", "fp").repartition("key").sortWithinPartitions("key", "bits", "fp").mapInArrow(run, "a bigint, b bigint, sure boolean")
 
 
 def heavy_links(rows: DataFrame, radius: int) -> DataFrame:
@@ -167,35 +201,89 @@ def heavy_links(rows: DataFrame, radius: int) -> DataFrame:
     return spread.join(least, "centre").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
+def met(classes: DataFrame, bits: Column, radius: int) -> DataFrame:
+    """``key``, ``bits``, ``fp``, ``n`` of all classes that share a bucket with another; ``n``: size of the bucket."""
+    keyed = classes.select("fp", bits.alias("bits")).withColumn("key", F.explode(bucket_keys(F.col("bits"), radius)))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    return written(keyed.join(sizes, "key").select("key", "bits", "fp", "n"))
+
+
 def links(classes: DataFrame, *, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     """``a``, ``b``: links between different fingerprints whose components are those of all links; ``classes``: distinct ``fp``."""
     if radius % 2 or not 0 < radius <= 8:
         raise ValueError("the radius has to be 2, 4, 6 or 8 bits")
-    keyed = classes.select("fp", F.explode(bucket_keys(F.col("fp"), radius)).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = written(keyed.join(sizes, "key").select("key", "fp", "n"))
-    light = light_links(met.where(F.col("n") <= bucket), radius)
-    heavy = met.where(F.col("n") > bucket)
+    rows = met(classes, F.col("fp"), radius)
+    light = light_links(rows.where(F.col("n") <= bucket), radius, radius).select("a", "b")
+    heavy = rows.where(F.col("n") > bucket)
     return light if heavy.isEmpty() else light.union(heavy_links(heavy, radius))
 
 
-def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id``, ``fp``, ``component_id`` (the smallest id reachable over links, itself included) of every row."""
-    prints = written(fingerprints(docs, width=width, text=text, key=key))
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = components(links(classes, radius=radius, bucket=bucket))
+def candidates(classes: DataFrame, families: int, *, radius: int, wide: int, bucket: int = BUCKET) -> DataFrame:
+    """``a``, ``b``: pairs of classes to compare, from the buckets of each family; ``classes``: fp, others.
+
+    In a bucket above ``bucket`` classes each is compared with the least of them.
+    """
+    found = None
+    for k in range(families):
+        rows = met(classes, F.col("others")[k - 1] if k else F.col("fp"), radius)
+        light = light_links(rows.where(F.col("n") <= bucket), -1, wide).select("a", "b")
+        heavy = rows.where(F.col("n") > bucket)
+        if not heavy.isEmpty():
+            light = light.union(heavy.join(heavy.groupBy("key").agg(F.min("fp").alias("b")), "key").select(F.col("fp").alias("a"), "b"))
+        found = light if found is None else found.union(light)
+    return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def shingle_sets(docs: DataFrame, width: int, *, text: str = "text") -> DataFrame:
+    """``doc_id``, ``grams``: the distinct shingle hashes of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(np.array(shingle_hashes(t, width), np.uint64)).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "grams"])
+
+    return docs.select(F.col("doc_id").cast("long"), text_bytes(text).alias("data")).mapInArrow(run, "doc_id bigint, grams array<bigint>")
+
+
+def alike(pairs: DataFrame, classes: DataFrame, docs: DataFrame, *, width: int, similarity: float) -> DataFrame:
+    """The pairs (``a``, ``b``) of fingerprints whose classes' first documents have that Jaccard similarity of shingles."""
+    one = lambda side: classes.select(F.col("fp").alias(side), F.col("least").cast("long").alias(f"{side}_id"))
+    asked = written(pairs.join(one("a"), "a").join(one("b"), "b").where("a_id is not null and b_id is not null"))
+    ids = asked.select(F.col("a_id").alias("doc_id")).union(asked.select("b_id")).distinct()
+    sets = written(shingle_sets(docs.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]))
+    of = lambda side: sets.select(F.col("doc_id").alias(f"{side}_id"), F.col("grams").alias(f"{side}_grams"))
+    both = asked.join(of("a"), "a_id").join(of("b"), "b_id")
+    common = F.size(F.array_intersect("a_grams", "b_grams"))
+    union = F.size("a_grams") + F.size("b_grams") - common
+    return both.where((union > 0) & (common >= similarity * union)).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similarity: float | None = None, families: int = 4, wide: int = 14, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``doc_id``, ``fp``, ``component_id`` (the smallest id reachable over links, itself included) of every row.
+
+    With ``similarity``, pairs up to ``wide`` bits apart that meet in a bucket of one of ``families`` independent fingerprints
+    also link if their shingles' Jaccard similarity reaches it. Links up to ``radius`` bits are complete whatever the families.
+    """
+    prints = written(fingerprints(docs, width=width, families=families if similarity else 1, text=text, key=key))
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min_by("others", "doc_id").alias("others")))
+    edges = links(classes, radius=radius, bucket=bucket)
+    if similarity:
+        asked = candidates(classes, families, radius=radius, wide=wide, bucket=bucket)
+        rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+        edges = edges.union(alike(asked, classes, rows, width=width, similarity=similarity))
+    roots = components(edges)
     linked = roots.join(classes, roots.node == classes.fp).select("node", "root", "least")
     named = linked.groupBy("root").agg(F.min("least").alias("component"))
     of = linked.join(named, "root").select(F.col("node").alias("fp"), "component")
     final = classes.join(of, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return prints.join(final, "fp").select("doc_id", "fp", "component_id")
+    return prints.select("doc_id", "fp").join(final, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, *, width: int = 4, radius: int = 4) -> DataFrame:
+def deduplicated(docs: DataFrame, *, width: int = 5, radius: int = 4, similarity: float | None = 0.8) -> DataFrame:
     """One document of each component: that with the smallest id. The columns stay.
 
     ``doc_id`` names a document: rows that repeat one are copies, of which one stays. Rows without an id all stay.
     """
-    found = near_duplicates(docs, width=width, radius=radius)
+    found = near_duplicates(docs, width=width, radius=radius, similarity=similarity)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
