@@ -46,6 +46,8 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 LEAST = 0.8
+#: Bounds are rounded numbers; the coefficient itself decides at the edge.
+SLACK = 1e-9
 
 
 def normal_words(text: str) -> list[str]:
@@ -95,7 +97,7 @@ def best(words: Column, known: Mapping[str, list[str]], least: float) -> Column:
     n = F.size(words["g"])
     each = [
         F.when(
-            n.between(len(t) * least / (2 - least), len(t) * (2 - least) / least),
+            n.between(len(t) * least / (2 - least) - SLACK, len(t) * (2 - least) / least + SLACK),
             F.struct((-2.0 * F.size(F.array_intersect(words["g"], F.array(*map(F.lit, t)))) / (n + len(t))).alias("minus"), F.lit(name).alias("licence")),
         )
         for name, t in known.items()
@@ -108,8 +110,8 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, *, least: fl
     if not templates or not 0 < least <= 1:
         raise ValueError("one template at least, and a least coefficient above 0 and up to 1")
     known = known_bigrams(templates)
-    fewest = min(map(len, known.values())) * least / (2 - least)
-    most = max(map(len, known.values())) * (2 - least) / least
+    fewest = min(map(len, known.values())) * least / (2 - least) - SLACK
+    most = max(map(len, known.values())) * (2 - least) / least + SLACK
     marked = lambda s: reduce(or_, (F.contains(s, F.lit(w)) for w in markers(known, least)))
     spaces = lambda s: F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
     plain = docs.select(F.col(key), normalised(F.col(text)).alias("plain"))
