@@ -6,8 +6,10 @@ recursion in log space adds the paths up. Words are independent given their bord
 the sum over its words and one end token.
 
 The vocabulary's scores give the first weights of the pieces (in proportion to 1 / (merit + 10)); expectation maximisation over the
-distinct words of all training documents, weighted by their counts, then refits them. Beside it stands the base score:
-add-one word frequencies of the training documents.
+distinct words of all training documents then refits them. A word met in training has one more
+path, an arc of its own across all of it, weighted by its frequency; the paths of pieces share the probability that Good and
+Turing leave to unseen words (the share of words met once). Beside it stands the base score: add-one word
+frequencies of the training documents.
 
 Words are counted by partial counts in the tasks and one shuffle. Counts of the ``FREQUENT`` most frequent words go to the
 workers (a bound on what is sent); all other words of a document are joined to the whole count table.
@@ -74,6 +76,10 @@ class Pieces:
         self.final = np.array(final)
         edges = sorted((n << 21 | c, to) for n, kids in enumerate(children) for c, to in kids.items())
         self.edge, self.target = np.array([e for e, _ in edges]), np.array([t for _, t in edges])
+        opening = np.zeros(self.size, bool)
+        opening[[i for i in range(size) if lib.id_to_piece(i).startswith(MARK)]] = True
+        opening[self.end] = True
+        self.opening = opening
         weight = 1 / (merit + 10)
         weight[self.end] = weight.max()
         self.first = np.log(weight / weight.sum())
@@ -228,8 +234,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def refit(counts: DataFrame, path: str, rounds: int = 2) -> np.ndarray:
-    """Log weights of the pieces after rounds of expectation maximisation over the counted words.
+    """Log weights of the pieces after rounds of expectation maximisation over the counted words, each once.
 
+    Pieces are there to spell words that were not met, and these are like the many rare words, not like the few
+    frequent ones, which have arcs of their own.
     What a round sends to the driver is one number for each piece of the vocabulary, whatever the corpus.
     """
     spark = counts.sparkSession
@@ -241,22 +249,19 @@ def refit(counts: DataFrame, path: str, rounds: int = 2) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own, total = pieces(path), None
             for batch in slices(batches, 4096):
-                n = batch.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
-                words = [(utf8(w), c) for w, c in zip(batch.column(0).to_pylist(), n.tolist(), strict=True) if w != END]
+                words = sorted((utf8(w) for w in batch.column(0).to_pylist() if w != END), key=len)
                 total = np.zeros(own.size) if total is None else total
-                total[own.end] += n.sum() - sum(c for _, c in words)
-                short = sorted((x for x in words if len(x[0]) <= LONG_WORD), key=lambda x: len(x[0]))
-                if short:
-                    total += Lattice(own, shared.value, [w for w, _ in short]).expected(np.array([c for _, c in short]))
-                for word, c in words:
-                    for at in range(0, len(word) if len(word) > LONG_WORD else 0, LONG_WORD):  # long words in parts
-                        total += Lattice(own, shared.value, [word[at : at + LONG_WORD]]).expected(np.array([c]))
+                total[own.end] += batch.num_rows - len(words)
+                # long words in parts
+                parts = [w if len(w) <= LONG_WORD else w[at : at + LONG_WORD] for w in words for at in range(0, max(len(w), 1), LONG_WORD)]
+                if parts:
+                    total += Lattice(own, shared.value, parts).expected(np.ones(len(parts)))
             if total is not None:
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "uses"])
 
         uses = np.zeros(vocab.size)
-        for r in counts.mapInArrow(run, "piece bigint, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
+        for r in counts.select("word").mapInArrow(run, "piece bigint, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
             uses[r.piece] = r.uses
         if not uses.any():
             return weight
@@ -285,12 +290,16 @@ _SCORED: dict[str, dict[bytes, float]] = {}
 def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, rounds: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10) of every row.
 
+    The score is proper: given that a word or the end comes next, the probabilities of all words and of the end add up to 1
+    (the share of pieces that open a word, by which a first piece would be divided, is also what a word's last piece is followed by).
+
     ``training``: which rows the counts and weights are learned from.
     """
     spark = docs.sparkSession
     ready(spark)
     counts = written(word_counts(docs.where(training).select(text_bytes(text).alias("data"))))
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    total, distinct, once = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
+    unseen = (once + 1) / (total + 1)  # what the paths of pieces share; 1 without training documents
     weight = refit(counts, path, rounds)
     least = frequent_from(counts, FREQUENT)
     frequent = {bytes(r.word): r.n for r in counts.where(F.col("n") >= least).collect()}
@@ -298,17 +307,18 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
         frequent[END] = counts.where(F.col("word") == F.lit(bytearray(END))).first().n
     floor = float(np.log10(total + 1.0 * (distinct + 1)))
     whole = least <= 1
-    logs = {w: float(np.log10(n + 1)) for w, n in frequent.items()}
-    shared = spark.sparkContext.broadcast((logs, weight))
+    shared = spark.sparkContext.broadcast((frequent, weight))
     model = f"{path}:{zlib.crc32(weight.tobytes())}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, weight = shared.value
+        counted, weight = shared.value
         vocab = pieces(path)
+        opens = np.exp(weight[vocab.opening]).sum()  # a document's next piece begins a word, or ends it
         if model not in _SCORED:
             _SCORED.clear()
             _SCORED[model] = {}
-        end_score, end_base = float(weight[vocab.end]), logs.get(END, 0.0)
+        end_score = float(np.log10((1 - unseen) * counted.get(END, 0) / max(total, 1) + unseen * np.exp(weight[vocab.end]) / opens))
+        end_base, end_seen = float(np.log10(counted.get(END, 0) + 1)), END in counted
         for batch in portions(batches, 2):
             known = _SCORED[model]
             if len(known) > CACHED_WORDS:  # what came first is the more frequent half
@@ -325,33 +335,43 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
                 got[k] = known[w] = x
             at = np.fromiter(map(here.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
             who = np.repeat(np.arange(len(cut)), sizes)
-            log_of = np.array([logs.get(w, -1.0) for w in words])  # -1: not among the frequent words
-            base, seen = log_of[at], log_of[at] >= 0
+            n_of = np.array([counted.get(w, 0) for w in words], np.float64)
+            spelled = np.array(got, np.float64) / np.log(10)
+            with np.errstate(divide="ignore", under="ignore"):
+                known_score = np.log10((1 - unseen) * n_of / max(total, 1) + unseen * 10**spelled)
+            score_of = np.where(n_of > 0, known_score, np.log10(unseen) + spelled if whole else 0.0)
+            base, seen = np.log10(n_of + 1)[at], (n_of > 0)[at]
             sums = lambda x, n=len(cut): np.bincount(who, x, minlength=n)
-            score = (sums(np.array(got, np.float64)[at]) + end_score) / np.log(10)
+            score = sums(score_of[at]) + end_score
             pairs, times = np.unique(who[~seen] * len(words) + at[~seen], return_counts=True) if not whole else (np.zeros(0, np.int64),) * 2
             offsets = np.searchsorted(pairs, np.arange(len(cut) + 1) * max(len(words), 1)).astype(np.int32)
-            rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()).take(pa.array(pairs % max(len(words), 1))), pa.array(times.astype(np.int32))], ["word", "n"])
+            which = pairs % max(len(words), 1)
+            rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()).take(pa.array(which)), pa.array(times.astype(np.int32)), pa.array(spelled[which])], ["word", "n", "spelled"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(1), pa.array(sizes + 1, pa.int64()), pa.array(sums(seen).astype(np.int64) + (END in logs)),
-                    pa.array(sums(np.where(seen, base, 0.0)) + end_base), pa.array(score), pa.ListArray.from_arrays(pa.array(offsets), rest),
+                    batch.column(0), batch.column(1), pa.array(sizes + 1, pa.int64()), pa.array(sums(seen).astype(np.int64) + end_seen),
+                    pa.array(sums(base) + end_base), pa.array(score), pa.ListArray.from_arrays(pa.array(offsets), rest),
                 ],
                 names=["key", "held_out", "n_tokens", "seen", "base", "score", "rest"],
             )
 
     rows = docs.select(F.col(key).alias("key"), held_out.alias("held_out"), text_bytes(text).alias("data"))
     kind = docs.schema[key].dataType.simpleString()
-    first = rows.mapInArrow(run, f"key {kind}, held_out boolean, n_tokens bigint, seen bigint, base double, score double, rest array<struct<word: binary, n: int>>")
+    first = rows.mapInArrow(run, f"key {kind}, held_out boolean, n_tokens bigint, seen bigint, base double, score double, rest array<struct<word: binary, n: int, spelled: double>>")
     final = [F.col("key").alias(key), "held_out", "n_tokens"]
     if whole:  # every counted word went to the workers
         done = first.select(*final, F.col("seen").alias("n_known"), F.lit(int(total)).alias("train_tokens"), (F.col("base") - F.col("n_tokens") * F.lit(floor)).alias("base_score"), "score")
         return done
     first = written(first.withColumn("row", F.monotonically_increasing_id()))
-    rare = first.select("row", F.explode("rest").alias("r")).select("row", "r.word", F.col("r.n").alias("k"))
+    rare = first.select("row", F.explode("rest").alias("r")).select("row", "r.word", F.col("r.n").alias("k"), "r.spelled")
+    n = F.coalesce("n", F.lit(0))
+    by_count = F.log10((1 - unseen) * n / float(max(total, 1)) + unseen * F.pow(F.lit(10.0), F.col("spelled")))
     sums = (
-        rare.join(counts, "word").groupBy("row")
-        .agg(F.sum("k").alias("more_seen"), F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("more_base"))
+        rare.join(counts, "word", "left").groupBy("row")
+        .agg(
+            F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("more_seen"), F.sum(F.col("k") * F.log10(n + 1)).alias("more_base"),
+            F.sum(F.col("k") * F.when(n > 0, by_count).otherwise(F.log10(F.lit(unseen)) + F.col("spelled"))).alias("more_score"),
+        )
     )
     both = first.drop("rest").join(sums, "row", "left")
     return both.select(
@@ -359,7 +379,7 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
         (F.col("seen") + F.coalesce("more_seen", F.lit(0))).alias("n_known"),
         F.lit(int(total)).alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 
 
