@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from .common import ready, slices, text_bytes, utf8
 
-CACHED_WORDS = 600_000
+CACHED_WORDS = 400_000
 CACHED_BYTES = 64
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = np.iinfo(np.int64).max

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_AT_ONCE = 256
+BATCH_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 4096, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -26,10 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ready(spark: SparkSession) -> None:
-    """Lets Python workers import this package by name, so that their word caches outlive a task.
+    """Prepares the session for Python workers.
 
-    On a cluster the package is shipped (``--py-files``) or installed; locally its folder is added to the workers' path.
+    They import this package by name, so that their word caches outlive a task: on a cluster it is shipped (``--py-files``)
+    or installed, locally its folder is added to the workers' path. Arrow batches get a bound in rows and bytes, as
+    the default of 10,000 rows can be gigabytes of long texts; smaller bounds of the session stay.
     """
+    for name, most in BATCH_BOUNDS.items():
+        held = spark.conf.get(name, None)
+        if held is None or not held.lstrip("-").isdigit() or not 0 < int(held) <= most:
+            spark.conf.set(name, str(most))
     env = spark.sparkContext.environment
     old = env.get("PYTHONPATH", "")
     if _ROOT not in old.split(os.pathsep):
@@ -88,3 +95,15 @@ def portions(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20
 
 def utf8(data: bytes) -> str:
     return data.decode("utf-8", "replace")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one with underscores before it where the table has that column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def schema_ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, slices, text_bytes
+from .common import ready, schema_ddl, slices, text_bytes
 from .labelled import sample
 
 SAMPLE = 8000
@@ -31,7 +31,7 @@ BEGINNINGS = (4, 5, 6, 7)
 TERMS = 400
 SHOWN = 0.8
 FACTORS = 4
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 #: A-Z to lower case; what is neither an ASCII letter or digit nor part of a longer UTF-8 sequence to a space.
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
@@ -119,12 +119,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None, mo
 _PLACES: dict[bytes, dict[bytes, tuple[int, ...]]] = {}
 
 
-def scored(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of ``docs`` and ``toxic_score`` double (0 to 1); a narrow map beside the rows."""
+def scored(docs: DataFrame, model: Model | None, name: str = "toxic_score") -> DataFrame:
+    """All columns of ``docs`` and ``name`` double (0 to 1); a narrow map beside the rows."""
     ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.schema.fieldNames().index("text")
-    out = docs.limit(0).withColumn("toxic_score", F.lit(0.0).cast("double")).schema
+    if name in docs.columns:
+        raise ValueError(f"{name} is a column already")
+    out = f"{schema_ddl(docs)}, `{name}` double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -144,6 +146,6 @@ def scored(docs: DataFrame, model: Model | None) -> DataFrame:
                     known[w] = tuple({where[h] for h in hashes(w) if h in where})
                 rows.append(list(set().union(*filter(None, map(known.__getitem__, words)))))
             score = own.score(rows) if own else np.zeros(len(rows))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, "toxic_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, out)
