@@ -2,10 +2,48 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import ready, written
+
+EDGES_AT_ONCE = 500_000
+
+
+def forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """The least index that each of ``n`` nodes reaches over the pairs."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[left], root[right])
+        new = root.copy()
+        np.minimum.at(new, left, low)
+        np.minimum.at(new, right, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """Links with the same components, at most one for each node and task: every task replaces the links it holds, about
+    ``EDGES_AT_ONCE``, by stars. Many links between the same few nodes become few."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
+        if held:
+            a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+            nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+            root = forest(place[: len(a)], place[len(a) :], len(nodes))
+            linked = np.flatnonzero(root != np.arange(len(nodes)))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], names=["a", "b"])
+
+    ready(edges.sparkSession)
+    pairs = written(edges.select("a", "b").where("a <> b"))
+    return pairs.repartition(max(1, -(-pairs.count() // EDGES_AT_ONCE))).mapInArrow(run, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,9 +51,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round every node takes the least label among its own, its neighbours' and its label's label, so that long chains
     shorten by doubling. Rounds are written to the shared folder. A node with very many links is a skewed join key (which
-    adaptive execution splits) and a minimum (which is combined before the shuffle). No edges give no rows.
+    adaptive execution splits) and a minimum (which is combined before the shuffle). No edges give no rows. Nodes are 64-bit integers.
     """
-    pairs = edges.select("a", "b").where("a <> b")
+    pairs = contracted(edges)
     both = written(pairs.union(pairs.select("b", "a")).distinct())
     labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
     while True:

@@ -32,10 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ready, slices, text_bytes, written
-from .components import components
+from .components import components, forest
 
 BUCKET = 1024
 SEED = 42
+FAMILY_BIT = 52
 MIX = np.uint64(0x9E3779B97F4A7C15)
 LANES = np.uint64(0x0101010101010101)
 PIVOTS = np.array([sum(((k & j).bit_count() & 1) << j for j in range(64)) for k in range(1, 64, 2)], np.uint64)
@@ -115,25 +116,11 @@ def bucket_keys(fp: Column, radius: int) -> Column:
     return F.array(*[F.lit(k << 48).bitwiseOR(F.shiftleft(part[i], 24)).bitwiseOR(part[j]) for k, (i, j) in enumerate(both)])
 
 
-def forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
-    """The least index that each of ``n`` nodes reaches over the pairs."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[left], root[right])
-        new = root.copy()
-        np.minimum.at(new, left, low)
-        np.minimum.at(new, right, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
-def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Spanning links (positions) of the buckets in rows sorted by key, and pairs to look at beyond the radius.
 
-    Of the pairs that differ in more than ``radius`` and up to ``wide`` bits, each linked group of a bucket keeps its
-    nearest, so their number is linear in the bucket.
+    ``radius`` goes by row and is negative where no pair is sure. Of the pairs that differ in more bits, up to ``wide``, each
+    linked group of a bucket keeps its nearest, so their number is linear in the bucket.
     """
     table = np.bitwise_count(fps[:, None] ^ PIVOTS).astype(np.int8)
     lefts, rights, apart = [], [], []
@@ -153,7 +140,7 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, wide: int) -> t
         step += 1
     none = np.zeros(0, np.int64)
     left, right, bits = (np.concatenate(x) if x else none for x in (lefts, rights, apart))
-    close = bits <= radius
+    close = bits <= radius[left]
     root = forest(left[close], right[close], len(keys))
     linked = np.flatnonzero(root != np.arange(len(keys)))
     x, y, bits = left[~close], right[~close], bits[~close]
@@ -169,14 +156,14 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, radius: int, wide: int) -> t
 def light_links(rows: DataFrame, radius: int, wide: int) -> DataFrame:
     """``a``, ``b``, ``sure`` of the links and the pairs to look at within buckets of bounded size.
 
-    ``rows``: key, bits (compared), fp (who it is). A negative radius makes no link sure.
+    ``rows``: key, bits (compared), fp (who it is). Only pairs of the first family, within ``radius``, are sure.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.zeros(0, np.int64)] * 3
 
         def out(k: np.ndarray, bits: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            a, b, x, y = bucket_links(k, bits.view(np.uint64), radius, wide)
+            a, b, x, y = bucket_links(k, bits.view(np.uint64), np.where(k >> FAMILY_BIT == 0, radius, -1), wide)
             sure = pa.array(np.arange(len(a) + len(x)) < len(a))
             return pa.RecordBatch.from_arrays([pa.array(fp[np.concatenate([a, x])]), pa.array(fp[np.concatenate([b, y])]), sure], names=["a", "b", "sure"])
 
@@ -201,37 +188,31 @@ def heavy_links(rows: DataFrame, radius: int) -> DataFrame:
     return spread.join(least, "centre").where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 
 
-def met(classes: DataFrame, bits: Column, radius: int) -> DataFrame:
-    """``key``, ``bits``, ``fp``, ``n`` of all classes that share a bucket with another; ``n``: size of the bucket."""
-    keyed = classes.select("fp", bits.alias("bits")).withColumn("key", F.explode(bucket_keys(F.col("bits"), radius)))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return written(keyed.join(sizes, "key").select("key", "bits", "fp", "n"))
+def links(classes: DataFrame, *, families: int = 1, radius: int = 4, wide: int | None = None, bucket: int = BUCKET) -> DataFrame:
+    """``a``, ``b``, ``sure``: links between different fingerprints whose components are those of all links.
 
-
-def links(classes: DataFrame, *, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
-    """``a``, ``b``: links between different fingerprints whose components are those of all links; ``classes``: distinct ``fp``."""
+    ``classes``: distinct ``fp``, and ``others`` for further families. With ``wide`` there are also pairs to compare, which aren't
+    sure: up to that many bits apart in a bucket of any family, or a class and the least one of a bucket above ``bucket``.
+    """
     if radius % 2 or not 0 < radius <= 8:
         raise ValueError("the radius has to be 2, 4, 6 or 8 bits")
-    rows = met(classes, F.col("fp"), radius)
-    light = light_links(rows.where(F.col("n") <= bucket), radius, radius).select("a", "b")
-    heavy = rows.where(F.col("n") > bucket)
-    return light if heavy.isEmpty() else light.union(heavy_links(heavy, radius))
-
-
-def candidates(classes: DataFrame, families: int, *, radius: int, wide: int, bucket: int = BUCKET) -> DataFrame:
-    """``a``, ``b``: pairs of classes to compare, from the buckets of each family; ``classes``: fp, others.
-
-    In a bucket above ``bucket`` classes each is compared with the least of them.
-    """
-    found = None
-    for k in range(families):
-        rows = met(classes, F.col("others")[k - 1] if k else F.col("fp"), radius)
-        light = light_links(rows.where(F.col("n") <= bucket), -1, wide).select("a", "b")
-        heavy = rows.where(F.col("n") > bucket)
-        if not heavy.isEmpty():
-            light = light.union(heavy.join(heavy.groupBy("key").agg(F.min("fp").alias("b")), "key").select(F.col("fp").alias("a"), "b"))
-        found = light if found is None else found.union(light)
-    return found.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    each = F.concat(F.array("fp"), F.coalesce("others", F.array().cast("array<bigint>"))) if families > 1 else F.array("fp")
+    keyed = classes.select("fp", F.posexplode(each).alias("family", "bits"))
+    key = F.shiftleft(F.col("family").cast("long"), FAMILY_BIT).bitwiseOR(F.col("k"))
+    keyed = keyed.withColumn("k", F.explode(bucket_keys(F.col("bits"), radius))).select(key.alias("key"), "fp")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = keyed.join(sizes, "key").join(classes.select("fp", each.alias("each")), "fp")  # bits come back for the few that meet
+    met = written(shared.select("key", F.get("each", F.shiftright("key", FAMILY_BIT).cast("int")).alias("bits"), "fp", "n"))
+    light = light_links(met.where(F.col("n") <= bucket), radius, wide or radius)
+    heavy = met.where(F.col("n") > bucket)
+    if heavy.isEmpty():
+        return light
+    first = heavy.where(F.col("key") < 1 << FAMILY_BIT)
+    light = light.union(heavy_links(first, radius).withColumn("sure", F.lit(True)))
+    if wide:
+        least = heavy.groupBy("key").agg(F.min("fp").alias("b"))
+        light = light.union(heavy.join(least, "key").where("fp <> b").select(F.col("fp").alias("a"), "b", F.lit(False)))
+    return light
 
 
 def shingle_sets(docs: DataFrame, width: int, *, text: str = "text") -> DataFrame:
@@ -258,7 +239,7 @@ def alike(pairs: DataFrame, classes: DataFrame, docs: DataFrame, *, width: int,
     return both.where((union > 0) & (common >= similarity * union)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similarity: float | None = None, families: int = 4, wide: int = 14, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similarity: float | None = None, families: int = 3, wide: int = 14, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id``, ``fp``, ``component_id`` (the smallest id reachable over links, itself included) of every row.
 
     With ``similarity``, pairs up to ``wide`` bits apart that meet in a bucket of one of ``families`` independent fingerprints
@@ -266,11 +247,12 @@ def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similar
     """
     prints = written(fingerprints(docs, width=width, families=families if similarity else 1, text=text, key=key))
     classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min_by("others", "doc_id").alias("others")))
-    edges = links(classes, radius=radius, bucket=bucket)
+    edges = links(classes, families=families if similarity else 1, radius=radius, wide=wide if similarity else None, bucket=bucket)
     if similarity:
-        asked = candidates(classes, families, radius=radius, wide=wide, bucket=bucket)
+        edges = written(edges)
+        asked = edges.where("not sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-        edges = edges.union(alike(asked, classes, rows, width=width, similarity=similarity))
+        edges = edges.where("sure").select("a", "b").union(alike(asked, classes, rows, width=width, similarity=similarity))
     roots = components(edges)
     linked = roots.join(classes, roots.node == classes.fp).select("node", "root", "least")
     named = linked.groupBy("root").agg(F.min("least").alias("component"))
