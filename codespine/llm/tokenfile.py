@@ -18,6 +18,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain, islice
 from unicodedata import is_normalized
@@ -33,8 +34,8 @@ from .common import portions, ready, shared_dir, slices, text_bytes, utf8, writt
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 6_000_000
-CACHED_WORDS = 500_000
-PORTION_BYTES = 16 << 20
+CACHED_WORDS = 600_000
+PORTION_BYTES = 10 << 20
 CACHED_CHARS = 64
 NO_ID = np.iinfo(np.int64).min
 LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]*[^\W\d_\u0130])([!-&(-/:-@\[-`{-~]+)")
@@ -51,7 +52,8 @@ class WordIds:
     """Ids by the tokenizers library, kept by word.
 
     Splitting at spaces and line feeds beforehand changes nothing where the vocabulary's pattern drops white space and
-    cuts there: no token, special string or normalisation reaches across. New words are encoded in one text, parted by
+    cuts there: no token, special string or normalisation reaches across. Probes tell whether it does, and whether it
+    ignores case; other vocabularies encode whole texts. New words are encoded in one text, parted by
     a control character that is a token of its own; words with that character or a special string are encoded alone.
     """
 
@@ -65,17 +67,20 @@ class WordIds:
         part = self.lib.encode(" \x01 ", add_special_tokens=False).ids
         self.part_id = part[0] if len(part) == 1 else None
         self.marks = tuple(x.content for x in self.lib.get_added_tokens_decoder().values())
-        self.kind = "<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4"
+        self.kind, self.letter = ("<u2", "H") if self.lib.get_vocab_size() <= 1 << 16 else ("<u4", "I")
+        self.odd = ("\x01", *self.marks) if self.part_id is not None else ("",)
         self.words: dict[str, bytes] = {"": b""}
         self.model, self.direct = self.lib.model, True
         self.direct = all(self.by_model(w) == self.alone(w) for w in PROBES)
+        self.by_words = all(self.alone(f"{a}{b}") == self.alone(a) + self.alone(b) for a, b in (("some", " words"), ("a \n", "\n the"), ("end", ".,!"), ("THE", "|")))
+        self.folds = all(self.alone(w.upper()) == self.alone(w) for w in ("a", "the", "zyxwv"))
 
     def alone(self, word: str) -> bytes:
         return np.array(self.lib.encode(word, add_special_tokens=False).ids, self.kind).tobytes()
 
     def by_model(self, word: str) -> bytes:
         """A word of lower-case letters goes to the library's model at once: nothing is left to normalise or to cut."""
-        return np.array([x.id for x in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS))], self.kind).tobytes()
+        return array(self.letter, [x.id for x in self.model.tokenize(word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS))]).tobytes()
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         plain = [w for w in words if w.isalpha() and (w.isascii() or w.islower() and is_normalized("NFC", w))] if self.direct else []
@@ -90,36 +95,50 @@ class WordIds:
             out.update((w, raw[a:b]) for w, a, b in zip(some, starts, ends, strict=True))
         return out
 
-    @staticmethod
-    def halves(word: str) -> tuple[str, str]:
+    def halves(self, word: str) -> tuple[str, str]:
         """Letters and the ASCII punctuation after them: the pattern cuts there, and A-Z count as a-z.
 
         Not after U+0130, whose lower case ends in a mark that joins the punctuation.
         """
-        if word.isascii():
+        letters = word.isalpha()
+        if self.folds and word.isascii() or self.folds and letters and not any(c in word for c in "\u0130\u03a3"):  # others depend on their neighbours
             word = word.lower()
-        found = not word[-1:].isalpha() and LETTERS_THEN_MARKS.fullmatch(word)
+        if letters:
+            return word, ""
+        head = word[:-1]
+        if word[-1] in ".,!|" and head.isalpha() and head[-1] != "\u0130":
+            return head, word[-1]
+        found = LETTERS_THEN_MARKS.fullmatch(word)
         return found.groups() if found else (word, "")
 
+    def encode_bytes(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of UTF-8 texts. Where the vocabulary ignores case, A-Z are made small at once, unless that makes a special string."""
+        low = [t.lower() for t in texts] if self.folds else texts
+        special = [m.encode() for m in self.marks if self.folds]
+        return self.encode([utf8(t if any(m in x for m in special) else x) for t, x in zip(texts, low, strict=True)])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text. Each different word of these texts is looked up or encoded once.
 
         Words met first stay known from one call to the next: they are mostly the frequent ones.
         """
+        if not self.by_words:
+            return [self.alone(t) for t in texts]
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         known = self.words
+        odd = [m for m in self.odd if any(m in t for t in texts)]
         here = dict.fromkeys(chain.from_iterable(cut))
         here.update(zip(here, map(known.get, here), strict=True))
         new = [w for w, ids in here.items() if ids is None]
-        odd = {w for w in new if self.part_id is None or len(w) > CACHED_CHARS or "<" in w and any(m in w for m in self.marks) or "\x01" in w}
-        halves = [(w, *self.halves(w)) for w in new if w not in odd]
-        parts = {x for _, a, b in halves for x in (a, b)}
-        learned = self.learn([x for x in parts if x not in known])
-        learned.update((x, known[x]) for x in parts if x not in learned)
-        here.update((w, learned[a] + learned[b] if b else learned[a]) for w, a, b in halves)
-        here.update((w, self.alone(w)) for w in odd)
-        if len(known) < CACHED_WORDS:
-            known.update(islice(((w, here[w]) for w, _, _ in halves), CACHED_WORDS - len(known)))
+        halves = [("", "") if len(w) > CACHED_CHARS or odd and any(m in w for m in odd) else self.halves(w) for w in new]
+        parts = set(chain.from_iterable(halves))
+        learned = self.learn(list(parts.difference(known)))
+        learned.update((x, known[x]) for x in parts.intersection(known))
+        here.update((w, learned[a] + learned[b] if b else learned[a] if a else self.alone(w)) for w, (a, b) in zip(new, halves, strict=True))
+        if (room := CACHED_WORDS - len(known)) > 0:
+            known.update(islice(learned.items(), room))
+            if len(known) < CACHED_WORDS // 3:  # whole words while the frequent ones come in
+                known.update(islice(((w, here[w]) for w, (a, _) in zip(new, halves, strict=True) if a), room // 3))
         return [b"".join(map(here.__getitem__, words)) for words in cut]
 
 
@@ -139,7 +158,8 @@ def packed(values: np.ndarray) -> tuple[bytes, bytes]:
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[: len(values)] = size - 1
     control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
-    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]].tobytes()
+    wide = int(size.max(initial=1))
+    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[:, :wide][np.arange(wide) < size[:, None]].tobytes()
 
 
 def unpacked(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
@@ -194,9 +214,10 @@ def save(path: str, name: str, parts: Iterator[bytes]) -> None:
 
 
 def tokenised(docs: DataFrame, path: str, *, end_id: int | None = 1, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc`` long, ``ids`` binary with the end id appended.
+    """``doc`` long, ``ids`` binary with the end id appended; and from each task one row with ``counts`` of its ids.
 
-    Ids are 16-bit integers where the vocabulary fits (marked by a leading 2, else 4), which halves the table.
+    Ids are 16-bit integers where the vocabulary fits (marked by a leading 2, else 4), which halves the table. Counts are
+    64-bit integers by id.
     """
     ready(docs.sparkSession)
 
@@ -204,12 +225,22 @@ def tokenised(docs: DataFrame, path: str, *, end_id: int | None = 1, text: str =
         words = word_ids(path)
         mark = b"\2" if words.kind == "<u2" else b"\4"
         end = b"" if end_id is None else np.array([end_id], words.kind).tobytes()
+        total = np.zeros(0, np.int64)
+
+        def rows(doc: pa.Array, ids: list, counts: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([doc, pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=["doc", "ids", "counts"])
+
         for batch in portions(batches, 1, PORTION_BYTES, 1 << 16):
-            ids = [b"".join((mark, x, end)) for x in words.encode([utf8(t) for t in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc", "ids"])
+            ids = [x + end for x in words.encode_bytes(batch.column(1).to_pylist())]
+            some = np.bincount(np.frombuffer(b"".join(ids), words.kind), minlength=len(total))
+            some[: len(total)] += total
+            total = some
+            yield rows(batch.column(0), [mark + x for x in ids], [None] * len(ids))
+        if total.any():
+            yield rows(pa.array([None], pa.int64()), [None], [total.astype("<i8").tobytes()])
 
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(int(NO_ID))).alias("doc"), text_bytes(text).alias("data"))
-    return rows.mapInArrow(run, "doc bigint, ids binary")
+    return rows.mapInArrow(run, "doc bigint, ids binary, counts binary")
 
 
 def widened(raw: bytes) -> np.ndarray:
@@ -217,20 +248,16 @@ def widened(raw: bytes) -> np.ndarray:
 
 
 def frequencies(tokens: DataFrame) -> DataFrame:
-    """``id`` long, ``n`` long over all documents; each task sends one row for each id of the vocabulary at most."""
+    """``id`` long, ``n`` long over all documents, from the tasks' counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in slices(batches):
-            ids = [widened(x) for x in batch.column(1).to_pylist()]
-            some = np.bincount(np.concatenate(ids)) if ids else total
-            if len(some) > len(total):
-                total = np.concatenate([total, np.zeros(len(some) - len(total), np.int64)])
-            total[: len(some)] += some
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                n = np.frombuffer(raw, "<i8")
+                seen = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(n[seen])], names=["id", "n"])
 
-    return tokens.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("counts").where("counts is not null").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write(docs: DataFrame, vocabulary: str, folder: str, *, end_id: int | None = 1, text: str = "text", key: str = "doc_id", file_tokens: int = FILE_TOKENS) -> DataFrame:
@@ -274,7 +301,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, *, end_id: int | None =
         save(folder, f"{number:08d}.tok", (x for some in ([first], found) for x in some))
         yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([seen[0]], pa.int64()), pa.array([seen[1]], pa.int64())], names=["file", "docs", "tokens"])
 
-    ordered = tokens.repartitionByRange(files, "doc").sortWithinPartitions("doc", "ids")
+    ordered = tokens.where("counts is null").select("doc", "ids").repartitionByRange(files, "doc").sortWithinPartitions("doc", "ids")
     return written(ordered.mapInArrow(run, "file int, docs bigint, tokens bigint"))
 
 
