@@ -35,6 +35,8 @@ from .common import ready, slices, text_bytes, written
 from .components import components, forest
 
 BUCKET = 1024
+#: So many ids of documents to compare go to all tasks at most.
+IDS_SENT = 500_000
 SEED = 42
 FAMILY_BIT = 52
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -231,6 +233,8 @@ def alike(pairs: DataFrame, classes: DataFrame, docs: DataFrame, *, width: int,
     one = lambda side: classes.select(F.col("fp").alias(side), F.col("least").cast("long").alias(f"{side}_id"))
     asked = written(pairs.join(one("a"), "a").join(one("b"), "b").where("a_id is not null and b_id is not null"))
     ids = asked.select(F.col("a_id").alias("doc_id")).union(asked.select("b_id")).distinct()
+    if 2 * asked.count() <= IDS_SENT:  # else the texts are shuffled
+        ids = F.broadcast(ids)
     sets = written(shingle_sets(docs.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]))
     of = lambda side: sets.select(F.col("doc_id").alias(f"{side}_id"), F.col("grams").alias(f"{side}_grams"))
     both = asked.join(of("a"), "a_id").join(of("b"), "b_id")
