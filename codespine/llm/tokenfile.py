@@ -34,8 +34,8 @@ from .common import portions, ready, shared_dir, slices, text_bytes, utf8, writt
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 6_000_000
-CACHED_WORDS = 600_000
-PORTION_BYTES = 10 << 20
+CACHED_WORDS = 450_000
+PORTION_BYTES = 8 << 20
 CACHED_CHARS = 64
 NO_ID = np.iinfo(np.int64).min
 LETTERS_THEN_MARKS = re.compile(r"([^\W\d_]*[^\W\d_\u0130])([!-&(-/:-@\[-`{-~]+)")
