@@ -12,9 +12,8 @@ A bucket sends the edges of a spanning forest, never all its pairs. Buckets abov
 compared at all: there each fingerprint visits all centres within ``radius / 2`` bits, and those that share a centre are linked
 to the least of them, which gives the same components in a number of rows linear in the bucket.
 
-Few bits apart means very alike: texts that share 0.8 of their shingles differ in about ten bits. Where a similarity is asked
-for, several independent fingerprints fill buckets, the nearest of each document up to ``wide`` bits survive the pivot
-table, and these pairs are compared by the Jaccard similarity of their shingles.
+Few bits apart is only a sign of likeness: texts that share 0.8 of their shingles differ in about ten bits, and some within four
+share less. Where a similarity is asked for, fingerprints propose nothing: ``similar`` finds all pairs of shingle sets exactly.
 
 Defined results: null and empty texts have fingerprint zero and link like any other; a text with fewer words than a shingle
 is one shingle; repeated rows share a class; null ids stay as rows and never name a component that has another id.
@@ -33,10 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import ready, slices, text_bytes, written
 from .components import components, forest
+from .similar import SAMPLE, data_of, frequent, gram_set, node_of, prefix, shingled, similar_links
 
 BUCKET = 1024
-#: So many ids of documents to compare go to all tasks at most.
-IDS_SENT = 500_000
 SEED = 42
 FAMILY_BIT = 52
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -217,52 +215,59 @@ def links(classes: DataFrame, *, families: int = 1, radius: int = 4, wide: int |
     return light
 
 
-def shingle_sets(docs: DataFrame, width: int, *, text: str = "text") -> DataFrame:
-    """``doc_id``, ``grams``: the distinct shingle hashes of each row."""
+def similar(docs: DataFrame, *, width: int, similarity: float, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """``doc_id``, ``fp``, ``node`` (of the shingle set) of every row; ``node``, ``least`` id; ``node``, ``root`` of linked nodes or None."""
+    data = data_of(docs, text, key)
+    hashes = lambda t: shingle_hashes(t, width)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [np.unique(np.array(shingle_hashes(t, width), np.uint64)).view(np.int64) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "grams"])
+    def sets(each: list[list[int]]) -> dict[str, pa.Array]:
+        grams = [gram_set(x) for x in each]
+        return {"node": pa.array([node_of(g) for g in grams], pa.int64()), "grams": pa.array(grams, pa.list_(pa.int64()))}
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        return shingled(data.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), hashes, "node bigint, grams array<bigint>", sets)
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes(text).alias("data")).mapInArrow(run, "doc_id bigint, grams array<bigint>")
+    share = -(-data.count() // SAMPLE) or 1
+    sample = data.where(F.pmod(F.xxhash64("doc_id", "data"), F.lit(share)) == 0)
+    common = docs.sparkSession.sparkContext.broadcast(frequent(shingled(sample, hashes, "node bigint, grams array<bigint>", sets)))
 
+    def prints(each: list[list[int]]) -> dict[str, pa.Array]:
+        grams = [gram_set(x) for x in each]
+        counts = np.array([len(x) for x in each])
+        fps = np.zeros(len(each), np.uint64)
+        if counts.any():
+            fps[counts > 0] = majority(np.concatenate([np.array(x, np.uint64) for x in each]), counts[counts > 0])
+        return {
+            "fp": pa.array(fps.view(np.int64)), "node": pa.array([node_of(g) for g in grams], pa.int64()),
+            "size": pa.array([len(g) for g in grams], pa.int32()), "prefix": pa.array([prefix(g, common.value, similarity) for g in grams], pa.list_(pa.int64())),
+        }
 
-def alike(pairs: DataFrame, classes: DataFrame, docs: DataFrame, *, width: int, similarity: float) -> DataFrame:
-    """The pairs (``a``, ``b``) of fingerprints whose classes' first documents have that Jaccard similarity of shingles."""
-    one = lambda side: classes.select(F.col("fp").alias(side), F.col("least").cast("long").alias(f"{side}_id"))
-    asked = written(pairs.join(one("a"), "a").join(one("b"), "b").where("a_id is not null and b_id is not null"))
-    ids = asked.select(F.col("a_id").alias("doc_id")).union(asked.select("b_id")).distinct()
-    if 2 * asked.count() <= IDS_SENT:  # else the texts are shuffled
-        ids = F.broadcast(ids)
-    sets = written(shingle_sets(docs.join(ids, "doc_id", "left_semi"), width).dropDuplicates(["doc_id"]))
-    of = lambda side: sets.select(F.col("doc_id").alias(f"{side}_id"), F.col("grams").alias(f"{side}_grams"))
-    both = asked.join(of("a"), "a_id").join(of("b"), "b_id")
-    common = F.size(F.array_intersect("a_grams", "b_grams"))
-    union = F.size("a_grams") + F.size("b_grams") - common
-    return both.where((union > 0) & (common >= similarity * union)).select("a", "b")
+    rows = written(shingled(data, hashes, "fp bigint, node bigint, size int, prefix array<bigint>", prints))
+    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least")))
+    reps = rows.select("node", "size", "prefix").dropDuplicates(["node"])
+    return rows.select("doc_id", "fp", "node"), nodes, similar_links(reps, nodes, sets_of, similarity)
 
 
-def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similarity: float | None = None, families: int = 3, wide: int = 14, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similarity: float | None = None, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id``, ``fp``, ``component_id`` (the smallest id reachable over links, itself included) of every row.
 
-    With ``similarity``, pairs up to ``wide`` bits apart that meet in a bucket of one of ``families`` independent fingerprints
-    also link if their shingles' Jaccard similarity reaches it. Links up to ``radius`` bits are complete whatever the families.
+    Fingerprints up to ``radius`` bits apart link. With ``similarity``, documents link instead if their sets of shingles are equal
+    or have that Jaccard similarity; then neither ``radius`` nor ``bucket`` plays a part.
     """
-    prints = written(fingerprints(docs, width=width, families=families if similarity else 1, text=text, key=key))
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min_by("others", "doc_id").alias("others")))
-    edges = links(classes, families=families if similarity else 1, radius=radius, wide=wide if similarity else None, bucket=bucket)
     if similarity:
-        edges = written(edges)
-        asked = edges.where("not sure").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-        edges = edges.where("sure").select("a", "b").union(alike(asked, classes, rows, width=width, similarity=similarity))
-    roots = components(edges)
-    linked = roots.join(classes, roots.node == classes.fp).select("node", "root", "least")
-    named = linked.groupBy("root").agg(F.min("least").alias("component"))
-    of = linked.join(named, "root").select(F.col("node").alias("fp"), "component")
-    final = classes.join(of, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return prints.select("doc_id", "fp").join(final, "fp").select("doc_id", "fp", "component_id")
+        prints, classes, roots = similar(docs, width=width, similarity=similarity, text=text, key=key)
+    else:
+        prints = written(fingerprints(docs, width=width, text=text, key=key)).withColumn("node", F.col("fp"))
+        classes = written(prints.groupBy("node").agg(F.min("doc_id").alias("least")))
+        roots = components(links(classes.select(F.col("node").alias("fp")), radius=radius, bucket=bucket))
+    if roots is None:
+        final = classes.select("node", F.col("least").alias("component_id"))
+    else:
+        linked = roots.join(classes, "node").select("node", "root", "least")
+        named = linked.groupBy("root").agg(F.min("least").alias("component"))
+        of = linked.join(named, "root").select("node", "component")
+        final = classes.join(of, "node", "left").select("node", F.coalesce("component", "least").alias("component_id"))
+    return prints.join(final, "node").select("doc_id", "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, *, width: int = 5, radius: int = 4, similarity: float | None = 0.8) -> DataFrame:

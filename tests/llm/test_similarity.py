@@ -105,6 +105,43 @@ def test_simhash_keeps_one_of_each_group(spark):
     assert hot <= len(kept) + 3
 
 
+def similar_groups(texts):
+    """The smallest index of each group that pairs with a Jaccard similarity of 0.8 or equal sets join."""
+    sets, root = [grams(t) for t in texts], list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a == sets[j] or alike(a, sets[j]):
+                x, y = root[i], root[j]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+    return dict(enumerate(root))
+
+
+def found_groups(spark, texts, **options):
+    return {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, texts), width=5, similarity=0.8, **options).collect()}
+
+
+def edited(rng, words, n, edits):
+    """``n`` texts, each with that many runs of other words in the same 300."""
+    out = []
+    for _ in range(n):
+        text = list(words)
+        for at in rng.sample(range(len(text) // 10), edits):
+            text[10 * at] = f"x{rng.random()}"
+        out.append(" ".join(text))
+    return out
+
+
+def test_all_pairs_above_the_similarity_are_found(spark):
+    rng = random.Random(8)
+    texts = []
+    for k in range(120):
+        base = [f"w{k}-{i}" for i in range(200)]
+        texts += [" ".join(base), *edited(rng, base, 1, 1 + k % 6)]
+    want = similar_groups([*texts, *EDGES])
+    assert len(set(want.values())) < 160
+    assert found_groups(spark, [*texts, *EDGES]) == want
+
+
 def test_pivots_discard_no_link():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 500, dtype=np.uint64)
