@@ -142,6 +142,13 @@ def test_all_pairs_above_the_similarity_are_found(spark):
     assert found_groups(spark, [*texts, *EDGES]) == want
 
 
+def test_hot_groups_of_near_copies(spark):
+    rng = random.Random(9)
+    texts = [t for k in range(2) for t in edited(rng, [f"w{k}-{i}" for i in range(300)], 150, 4)]
+    want = similar_groups(texts)
+    assert found_groups(spark, texts, bucket=1) == found_groups(spark, texts, bucket=1024) == want
+
+
 def test_pivots_discard_no_link():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 500, dtype=np.uint64)
