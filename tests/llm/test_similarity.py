@@ -149,6 +149,17 @@ def test_hot_groups_of_near_copies(spark):
     assert found_groups(spark, texts, bucket=1) == found_groups(spark, texts, bucket=1024) == want
 
 
+def test_a_nearer_text_hides_no_partner(spark):
+    rng = random.Random(10)
+    shared = [f"s{i}" for i in range(150)]
+    texts = []
+    for k in range(60):  # a passage of all, and three texts of each kind, of which the first two are alike
+        own = [f"o{k}-{i}" for i in range(50)]
+        texts += edited(rng, shared + own, 2, 2) + edited(rng, shared + own, 1, 9)
+    want = similar_groups(texts)
+    assert found_groups(spark, texts) == want
+
+
 def test_pivots_discard_no_link():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 500, dtype=np.uint64)
