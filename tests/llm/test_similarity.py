@@ -160,6 +160,13 @@ def test_a_nearer_text_hides_no_partner(spark):
     assert found_groups(spark, texts) == want
 
 
+def test_equal_fingerprints_need_the_similarity(spark):
+    often = "same " * 400
+    texts = [often + " ".join(f"{x}{i}" for i in range(40)) for x in "ab"]
+    assert fingerprint(texts[0], 5) == fingerprint(texts[1], 5) and not alike(*map(grams, texts))
+    assert found_groups(spark, texts) == {0: 0, 1: 1}
+
+
 def test_pivots_discard_no_link():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 500, dtype=np.uint64)
