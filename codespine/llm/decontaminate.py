@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import portions, ready, slices, text_bytes, written
+from .common import free_name, portions, ready, slices, text_bytes, written
 
 BLOCK_BYTES = 16 << 20
 #: A-Z to lower case; what is neither an ASCII letter or digit nor part of a longer UTF-8 sequence to a space.
@@ -248,25 +249,45 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, lo
 
     Spans of ``longest`` or more words are removed, shorter ones (whole short items) where all spans together cover
     more than ``coverage`` of the document's words; a document left without a word goes. Clean rows stay as they are.
-    A narrow map for each block of items: block after block finds and removes, so no rows are shuffled.
+    A narrow map for each block of items, and no rows are shuffled: of several blocks each adds its spans to those found before
+    on the text as it was, and what all together decide is cut once, so the size of the blocks changes no result.
     """
     ready(docs.sparkSession)
-    place = docs.schema.fieldNames().index(text)
-    for part in _blocks(benchmark, "item_id", "text", block_bytes):
-        automaton = _shared(docs, part.collect(), window)
-
-        def clean(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
+    place, schema = docs.schema.fieldNames().index(text), docs.schema
+
+    def cut(batch: pa.RecordBatch, raw: list[bytes], each: list[tuple[int, list[tuple[int, int]]]]) -> pa.RecordBatch:
+        texts, keep = batch.column(place).to_pylist(), []
+        for k, (n, spans) in enumerate(each):
+            if sum(b - a for a, b in spans) <= coverage * n:
+                spans = [(a, b) for a, b in spans if b - a >= longest]
+            if spans:
+                left = cleaned(raw[k], spans)
+                texts[k] = left.decode("utf-8", "replace")
+            keep.append(not spans or bool(words(left)))
+        return batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type)).filter(pa.array(keep, pa.bool_()))
+
+    def step(df: DataFrame, automaton, last: bool, carried: bool) -> DataFrame:
+        """``df`` with the spans of one more block in its last column, or without that column and cut."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in portions(batches, place):
-                texts, keep = batch.column(place).to_pylist(), []
-                raw = [(t or "").encode() for t in texts]
-                for k, (n, spans, _) in enumerate(find(automaton.value, raw)):
-                    if sum(b - a for a, b in spans) <= coverage * n:
-                        spans = [(a, b) for a, b in spans if b - a >= longest]
-                    if spans:
-                        left = cleaned(raw[k], spans)
-                        texts[k] = left.decode("utf-8", "replace")
-                    keep.append(not spans or bool(words(left)))
-                yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type)).filter(pa.array(keep, pa.bool_()))
-
-        docs = docs.mapInArrow(clean, docs.schema)
+                raw = [(t or "").encode() for t in batch.column(place).to_pylist()]
+                each = [(n, spans) for n, spans, _ in find(automaton.value, raw)]
+                if carried:
+                    old = batch.column(batch.num_columns - 1).to_pylist()
+                    each = [(n, united([*spans, *((s["first"], s["after"]) for s in x)])) for (n, spans), x in zip(each, old, strict=True)]
+                    batch = batch.select(range(batch.num_columns - 1))
+                if last:
+                    yield cut(batch, raw, each)
+                else:
+                    spans = pa.array([[{"first": a, "after": b} for a, b in s] for _, s in each], SPAN)
+                    yield pa.RecordBatch.from_arrays([*batch.columns, spans], names=[*batch.schema.names, held])
+
+        return df.mapInArrow(run, schema if last else wider)
+
+    held = free_name(docs, "spans")
+    wider = StructType([*schema.fields, StructField(held, ArrayType(StructType([StructField("first", IntegerType()), StructField("after", IntegerType())])))])
+    parts = _blocks(benchmark, "item_id", "text", block_bytes)
+    for k, part in enumerate(parts):
+        docs = step(docs, _shared(docs, part.collect(), window), k == len(parts) - 1, k > 0)
     return docs

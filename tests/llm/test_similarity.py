@@ -287,6 +287,15 @@ def test_decontaminated_texts_hold_no_long_match(spark, sf_dir):
     assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0
 
 
+def test_blocks_of_items_change_no_cut(spark):
+    rng = random.Random(6)
+    say = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    items = spark.createDataFrame([(k, say(rng.randrange(2, 12))) for k in range(14)], "item_id long, text string")
+    docs = documents(spark, [say(rng.randrange(0, 40)) + " z " + say(5) for _ in range(80)] + EDGES, extra=True).withColumn("spans", F.lit(1))
+    one, many = (decontaminate.decontaminate(docs, items, window=6, longest=6, block_bytes=size).orderBy("doc_id").collect() for size in (1 << 20, 30))
+    assert one == many and 0 < len(one)
+
+
 def test_cleaning_keeps_the_rest():
     data = b"one two, three four"
     assert decontaminate.cleaned(data, [(1, 3)]) == b"one  four"
