@@ -219,6 +219,13 @@ def test_few_or_no_vectors(spark):
     assert sorted(r.vec_id for r in few) == [1, 2]
 
 
+def test_few_vectors_with_the_default_probes(spark):
+    df, _ = vectors(spark)
+    for n in (3, 4, 5, 6, 7):
+        got = ann.search(df.where(F.col("vec_id") < n), F.lit(True)).collect()
+        assert {q: sum(r.query_id == q for r in got) for q in range(n)} == dict.fromkeys(range(n), min(5, n - 1))
+
+
 def recall_of(spark, sf_dir):
     rows = catalog.op1_ann(spark, sf_dir).collect()
     pdf = table(spark, sf_dir, "embeddings").toPandas()
