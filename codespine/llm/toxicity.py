@@ -2,20 +2,23 @@
 
 A document is the set of its terms, hashed: words, and the first few bytes of words. Its score is the logistic function of a bias, a weight of each term, and
 for each pair of terms the product of their factor vectors, which sees that two words together mean more (or less) than
-each alone. Terms come from a screening of the fitting sample: those whose share of toxic documents is too far from the whole sample's to be chance
-(by Chernoff's bound, with all terms seen taken into account). Other terms carry no weight, so long documents gather no noise.
-In each round of fitting a part of every document's terms is hidden, so that one telling term alone has to do.
+each alone. Every term of the fitting sample takes part, with a weight and factors of its own; none is screened out, as a term
+may tell nothing alone and much in a pair. A term's value is between ``LEAST_VALUE`` and 1: it grows with how many documents have
+the term or with how far its share of toxic documents is from chance (Chernoff's bound, with all terms seen taken into account). So what is seen well
+is learned first, and the thousands of terms that a single long document has carry little. In each step of fitting a part of
+every document's terms is hidden, so that one telling term alone has to do.
 
-The model is fitted on at most ``SAMPLE`` labelled rows, whatever the size of the table, and has at most ``TERMS`` terms.
+The model is fitted on at most ``SAMPLE`` labelled rows, whatever the size of the table, and has the terms of those rows.
 
 Defined results: null and empty texts have no terms and get the bias alone; repeated words count once, repeated rows get
-equal scores; without both labels every document gets score 0.
+equal scores; without both labels every document gets score 0. A column that has the score's name already is an error.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +27,16 @@ from pyspark.sql import Column, DataFrame
 from .common import ready, schema_ddl, slices, text_bytes
 from .labelled import sample
 
-SAMPLE = 8000
+SAMPLE = 6000
 BITS = 22
 BEGINNINGS = (4, 5, 6, 7)
-TERMS = 400
 SHOWN = 0.8
 FACTORS = 4
+LEAST_VALUE = 0.1
+#: Mean square length of the documents' frequent terms at most; long documents would make the steps too long.
+MEAN_LENGTH = 8.0
+#: Share of the documents from which a term has its full value, whatever it tells alone.
+WELL_SEEN = 0.1
 CACHED_WORDS = 200_000
 #: A-Z to lower case; what is neither an ASCII letter or digit nor part of a longer UTF-8 sequence to a space.
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -54,64 +61,95 @@ def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["label", "x"])
 
 
+def summed(lines: np.ndarray, by: np.ndarray, size: int) -> np.ndarray:
+    """In each line, the sums of the values with the same number."""
+    return np.stack([np.bincount(by, line, minlength=size) for line in lines]).astype(np.float32)
+
+
+def logits(bias: float, of: np.ndarray, who: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each document: bias, weights and products of all pairs; and its sums. ``of``: weight and factors of each term of each document."""
+    total = summed(of, who, size)
+    alone = np.bincount(who, np.einsum("ij,ij->j", of[1:], of[1:]), minlength=size)
+    return bias + total[0] + 0.5 * ((total[1:] ** 2).sum(0) - alone), total
+
+
+class Part:
+    """Some documents of the sample: the terms of all, one after the other, and whose each is."""
+
+    def __init__(self, own: list[np.ndarray], y: np.ndarray, value: np.ndarray):
+        self.y, self.who = y.astype(np.float32), np.repeat(np.arange(len(own), dtype=np.int32), [len(r) for r in own])
+        self.terms, term = np.unique(np.concatenate(own), return_inverse=True)
+        self.term = term.astype(np.int32)
+        self.value = value[self.terms][term]
+
+
 class Model:
-    """Bias, weights and factors of the screened terms, fitted by Adam on the whole sample."""
+    """Bias, and by term a weight and factors (``own``: lines, the weight first), fitted by stochastic gradients with momentum."""
 
-    def __init__(self, rows: list[np.ndarray], y: np.ndarray, *, rounds: int = 200, rate: float = 0.08, penalty: float = 2e-5, seed: int = 11):
-        n = np.bincount(np.concatenate(rows), minlength=1 << BITS)
-        k = np.bincount(np.concatenate([r for r, t in zip(rows, y, strict=True) if t]), minlength=1 << BITS)
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray, *, rounds: int = 8, batch: int = 128, rate: float = 0.5, penalty: float = 1e-4, seed: int = 11):
+        self.found, place = np.unique(np.concatenate(rows), return_inverse=True)
+        place = place.astype(np.int32)
+        size, count = len(self.found), np.array([len(r) for r in rows])
         share = y.mean()
-        rate_of = np.clip(k / np.maximum(n, 1), 1e-12, 1 - 1e-12)
+        n, k = np.bincount(place, minlength=size), np.bincount(place, np.repeat(y, count), minlength=size)
+        rate_of = np.clip(k / n, 1e-12, 1 - 1e-12)
         far = n * (rate_of * np.log(rate_of / share) + (1 - rate_of) * np.log((1 - rate_of) / (1 - share)))
-        found = np.flatnonzero(far > np.log(10 * (n > 0).sum()))
-        self.found = found[np.argsort(-far[found], kind="stable")][:TERMS]
-        place = np.full(1 << BITS, -1)
-        place[self.found] = np.arange(len(self.found))
-        own = [p[p >= 0] for p in (place[r] for r in rows)]
-        whole = np.zeros((len(rows), len(self.found)), np.float32)
-        for i, p in enumerate(own):
-            whole[i, p] = 1
+        often = np.minimum(1, n / (WELL_SEEN * len(rows)))
+        length = (often[place] ** 2).sum() / len(rows)
+        often *= min(1.0, np.sqrt(MEAN_LENGTH / length))
+        value = (LEAST_VALUE + (1 - LEAST_VALUE) * np.maximum(np.minimum(1, far / np.log(10 * size)), often)).astype(np.float32)
         rng = np.random.default_rng(seed)
-        self.bias, self.w, self.v = np.log(share / (1 - share)), np.zeros(len(self.found), np.float32), rng.normal(0, 0.05, (len(self.found), FACTORS)).astype(np.float32)
-        held = [np.zeros(1 + self.w.size + self.v.size, np.float32) for _ in range(2)]
-        for t in range(1, rounds + 1):
-            x = whole * (rng.random(whole.shape, np.float32) < SHOWN)
-            xv = x @ self.v
-            p = self.logistic(self.bias + x @ self.w + 0.5 * ((xv**2).sum(1) - x @ (self.v**2).sum(1)))
-            e = ((p - y) / len(y)).astype(np.float32)
-            xe = x.T @ e
-            slope = np.concatenate([[e.sum()], xe + penalty * self.w, (x.T @ (e[:, None] * xv) - xe[:, None] * self.v + penalty * self.v).ravel()])
-            held[0] = 0.9 * held[0] + 0.1 * slope
-            held[1] = 0.999 * held[1] + 0.001 * slope**2
-            step = rate * (held[0] / (1 - 0.9**t)) / (np.sqrt(held[1] / (1 - 0.999**t)) + 1e-8)
-            self.bias -= step[0]
-            self.w -= step[1 : 1 + self.w.size]
-            self.v -= step[1 + self.w.size :].reshape(self.v.shape)
+        w = np.zeros((1 + FACTORS, size), np.float32)
+        w[1:] = rng.normal(0, 0.05, (FACTORS, size))
+        self.bias, slope, bias_slope = float(np.log(share / (1 - share))), np.zeros_like(w), 0.0
+        each = np.split(place, np.cumsum(count)[:-1])
+        some = rng.permutation(np.flatnonzero(count))  # documents without a term teach the bias only, which is given
+        parts = [Part([each[i] for i in own], y[own], value) for own in np.split(some, range(batch, len(some), batch)) if len(own)]
+        for step in range(rounds * len(parts)):
+            part = parts[step % len(parts)]
+            now = rate * (1 - step / (rounds * len(parts)))
+            x = part.value * (rng.random(part.value.shape, np.float32) < SHOWN)
+            of = w[:, part.terms][:, part.term] * x
+            score, total = logits(self.bias, of, part.who, len(part.y))
+            error = ((self.logistic(score) - part.y) / len(part.y)).astype(np.float32)
+            back = error[part.who] * x
+            rest = total[1:][:, part.who] - of[1:]
+            slope *= 0.9
+            slope[:, part.terms] += summed(np.concatenate([back[None], back * rest]), part.term, len(part.terms))
+            w *= 1 - now * penalty
+            w -= now * slope
+            bias_slope = 0.9 * bias_slope + float(error.sum())
+            self.bias -= 0.1 * now * bias_slope
+        self.own = w * value
 
     @staticmethod
     def logistic(s: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(s, -30, 30)))
 
+    def places(self, words: list[bytes]) -> Iterator[tuple[bytes, tuple[int, ...]]]:
+        """Each word with the places of those of its terms that the sample had."""
+        each = list(map(hashes, words))
+        code = np.fromiter(chain.from_iterable(each), np.int64)
+        at = np.minimum(np.searchsorted(self.found, code), len(self.found) - 1)
+        known = iter(np.where(self.found[at] == code, at, -1).tolist())
+        return ((w, tuple(p for p in islice(known, len(e)) if p >= 0)) for w, e in zip(words, each, strict=True))
+
     def score(self, rows: list[list[int]]) -> np.ndarray:
-        """By document: places of its screened terms, each once."""
-        n = np.array([len(r) for r in rows])
-        at = np.array([p for r in rows for p in r], np.int64)
-        who = np.repeat(np.arange(len(rows)), n)
-        linear = np.bincount(who, self.w[at] - 0.5 * (self.v[at] ** 2).sum(1), minlength=len(rows))
-        pairs = sum(np.bincount(who, column, minlength=len(rows)) ** 2 for column in self.v[at].T)
-        return self.logistic(self.bias + linear + 0.5 * pairs)
+        """By document: places of its terms, each once."""
+        n = np.array([len(r) for r in rows], np.int64)
+        at = np.fromiter(chain.from_iterable(rows), np.int64, int(n.sum()))
+        return self.logistic(logits(self.bias, self.own[:, at], np.repeat(np.arange(len(rows)), n), len(rows))[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None, most: int = SAMPLE) -> Model | None:
-    """None where the sample lacks one of the labels or no term sets them apart."""
+    """None where the sample lacks one of the labels or has no term."""
     ready(docs.sparkSession)
     rows = sample(docs, labels, "toxic", allowed=allowed, most=most).select("label", text_bytes().alias("data"))
     got = sorted((r.label, bytes(r.x)) for r in rows.mapInArrow(features, "label int, x binary").collect())  # order must not depend on tasks
     y = np.array([a for a, _ in got], np.float64)
-    if not 0 < y.sum() < len(y):
+    if not 0 < y.sum() < len(y) or not any(b for _, b in got):
         return None
-    model = Model([np.frombuffer(b, "<i4") for _, b in got], y)
-    return model if len(model.found) else None
+    return Model([np.frombuffer(b, "<i4") for _, b in got], y)
 
 
 #: Of this process: a model's terms by word.
@@ -129,7 +167,6 @@ def scored(docs: DataFrame, model: Model | None, name: str = "toxic_score") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        where = {int(h): i for i, h in enumerate(own.found)} if own else {}
         mark = own.found.tobytes() if own else b""
         if mark not in _PLACES:
             _PLACES.clear()
@@ -141,9 +178,9 @@ def scored(docs: DataFrame, model: Model | None, name: str = "toxic_score") -> D
             rows = []
             for t in batch.column(place).to_pylist():
                 words = set((t or "").encode().translate(FOLD).split())
-                for w in [w for w in words if w not in known]:
-                    known[w] = tuple({where[h] for h in hashes(w) if h in where})
-                rows.append(list(set().union(*filter(None, map(known.__getitem__, words)))))
+                if own and (new := [w for w in words if w not in known]):
+                    known.update(own.places(new))
+                rows.append(list(set().union(*filter(None, map(known.get, words)))))
             score = own.score(rows) if own else np.zeros(len(rows))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 

@@ -49,17 +49,88 @@ def test_classifiers_score_every_row(spark, sf_dir, module):
     assert module.scored(odd, None).count() == len(EDGES) and module.scored(documents(spark, []), model).count() == 0
 
 
-def test_a_machine_learns_a_pair_that_single_terms_dont_tell():
+def test_a_machine_learns_a_pair_that_single_terms_dont_tell(spark):
     rng = np.random.default_rng(0)
-    rows, y = [], []
-    for _ in range(2000):
+    rows = []
+    for k in range(4000):
         a, b = rng.random() < 0.5, rng.random() < 0.5
-        rows.append(np.array([1] * a + [2] * b + [3], np.int32))
-        y.append(float(a and b))
-    model = toxicity.Model(rows, np.array(y), rounds=300)
-    place = {int(h): k for k, h in enumerate(model.found)}
-    one, other, both = (model.score([[place[h] for h in t if h in place]])[0] for t in ([1, 3], [2, 3], [1, 2, 3]))
-    assert both > 0.5 > max(one, other)
+        rows.append((k, " ".join(["amber"] * a + ["basil"] * b + [f"f{x}" for x in rng.integers(0, 40, 5)]), int(a != b)))
+    docs = spark.createDataFrame([(k, t) for k, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, allowed=F.col("doc_id") % 4 != 0)
+    held = toxicity.scored(docs.where("doc_id % 4 = 0"), model).collect()
+    assert sum((r.toxic_score >= 0.5) == bool(rows[r.doc_id][2]) for r in held) >= 0.98 * len(held)
+
+
+def words_of(data):
+    return set("".join(c.lower() if c.isascii() else c for c in map(chr, data)).translate({k: " " for k in range(128) if not chr(k).isalnum()}).encode("latin-1").split(b" ")) - {b""}
+
+
+def test_toxicity_scores_are_the_sums_over_all_pairs(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, allowed=F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2)
+    own = {int(h): model.own[:, k].astype(float) for k, h in enumerate(model.found)}
+    some = {r.doc_id: (r.text or "").encode() for r in docs.where("length(text) < 600").limit(40).collect()} | {-1: b"", -2: b"trash moron nobody"}
+    rows = spark.createDataFrame([(k, t.decode()) for k, t in some.items()], "doc_id long, text string")
+    for r in toxicity.scored(rows, model).collect():
+        found = {zlib.crc32(x) % (1 << 22) for w in words_of(some[r.doc_id]) for x in (w, *(b"^" + w[:n] for n in range(4, 8) if len(w) >= n))}
+        of = [own[h] for h in found if h in own]
+        logit = model.bias + sum(v[0] for v in of) + sum(float(a[1:] @ b[1:]) for i, a in enumerate(of) for b in of[:i])
+        assert abs(1 / (1 + math.exp(-logit)) - r.toxic_score) < 1e-4
+    got = {r.doc_id: r for r in catalog.op10_toxicity(spark, sf_dir).collect()}
+    assert len(got) == docs.count()
+    for r in toxicity.scored(docs, model).collect():
+        q = got[r.doc_id]
+        assert (q.held_out, q.predicted) == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2, int(q.score >= 0.3)) and abs(q.score - r.toxic_score) < 1e-6
+
+
+def naive_measures(data):
+    """The surface of a text by counting, in the order of the module's docstring and constants."""
+    words, lines, size = data.split(), [x for x in data.split(b"\n") if x.strip()], max(len(data), 1)
+    n, out = max(len(words), 1), [math.log1p(len(words)), math.log1p(len(data))]
+    counts = [sum(data.count(bytes([b])) for b in group) for group in quality.CLASSES]
+    for c in [*counts, len(data) - sum(counts)]:
+        out += [c / size, math.sqrt(c / size), c / n]
+    different, stops = len(set(lines)), sum(data.count(x) for x in (b".", b"!", b"?"))
+    return out + [
+        len(data) / n, len(set(words)) / n, math.log1p(len(words)) - math.log1p(len(set(words))), different / max(len(lines), 1), math.log1p(len(lines) - different),
+        stops / n, len(words) / max(len(lines), 1), float(not data), sum(len(w) == 1 for w in words) / n,
+    ]
+
+
+def test_quality_scores_by_hand(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, allowed=F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1)
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    got = {r.doc_id: r for r in catalog.op8_quality(spark, sf_dir).collect()}
+    assert set(got) == set(texts)
+    for k, t in texts.items():
+        z = [max(-8.0, min(8.0, (x - m) / s)) for x, m, s in zip(naive_measures(t), model.mean, model.scale, strict=True)]
+        score = 1 / (1 + math.exp(-sum(a * b for a, b in zip(z, model.w, strict=True)) + model.threshold))
+        assert abs(score - got[k].score) < 1e-9 and got[k].predicted == int(got[k].score >= 0.5)
+        assert got[k].held_out == (zlib.crc32(str(k).encode()) % 3 == 1)
+    known = {r.doc_id: r.quality for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    rejected = sum(got[k].predicted == 0 for k in known)
+    assert abs(rejected - sum(y == 0 for y in known.values())) <= 1  # the threshold is the quantile of label 0's share
+
+
+def test_ranking_weights_minimise_the_loss_on_pairs():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, quality.WIDTH))
+    y = (x[:, 0] + 0.5 * rng.normal(size=300) > 0).astype(int)
+    model = quality.Model(x, y, pairs=2000)
+    again = np.random.default_rng(7)
+    z = model.standard(x)
+    d = z[again.choice(np.flatnonzero(y == 1), 2000)] - z[again.choice(np.flatnonzero(y == 0), 2000)]
+    loss = lambda w: np.log1p(np.exp(-d @ w)).mean() + 0.5e-3 * w @ w
+    best = loss(model.w)
+    assert all(loss(model.w + step) >= best for step in rng.normal(scale=0.02, size=(200, quality.WIDTH)))
+
+
+@pytest.mark.parametrize(("module", "name"), [(quality, "quality_score"), (toxicity, "toxic_score")])
+def test_a_column_with_the_scores_name_is_an_error(spark, module, name):
+    with pytest.raises(ValueError, match="already"):
+        module.scored(documents(spark, ["a"]).withColumn(name, F.lit(1)), None)
 
 
 def spelled(vocab, weight, word):
