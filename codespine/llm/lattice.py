@@ -1,21 +1,24 @@
 """Language-model scores from a subword lattice: the marginal probability of a text over all its segmentations.
 
-The pieces and their order of merit come from an existing sentencepiece vocabulary. A word is spelled by every path of
+The pieces and their scores come from an existing sentencepiece vocabulary. A word is spelled by every path of
 pieces through its characters (a leading mark, then the word; any character also by its UTF-8 bytes), and a forward
 recursion in log space adds the paths up. Words are independent given their borders, so a document's log probability is
-the sum over its words and one end token.
+the sum over its words and one end token. Nothing else makes up the score: a word met in training has no other path than one not met.
 
-The vocabulary's scores give the first weights of the pieces (in proportion to 1 / (merit + 10)); expectation maximisation over the
-distinct words of all training documents then refits them. A word met in training has one more
-path, an arc of its own across all of it, weighted by its frequency; the paths of pieces share the probability that Good and
-Turing leave to unseen words (the share of words met once). Beside it stands the base score: add-one word
-frequencies of the training documents.
+A piece's weight comes from the vocabulary's score and from the corpus. The scores of a vocabulary of merges are ranks, which stand for
+probabilities in proportion to 1 / (rank + 10), after Zipf. Expectation maximisation over all words of the training documents, each as often as it
+occurs, then moves the weights; in every round the vocabulary's own probabilities count as ``PRIOR`` of all uses, so a piece
+that the corpus lacks keeps its standing. Beside it stands the base score: add-one word frequencies of the training documents.
+
+Pieces and the end token have probabilities that add up to one, and every text is the end of different paths, so the probabilities of all
+texts add up to one at most. A text's own mark characters (U+2581) are spelled by bytes only, as a piece's mark means the border of a word.
 
 Words are counted by partial counts in the tasks and one shuffle. Counts of the ``FREQUENT`` most frequent words go to the
-workers (a bound on what is sent); all other words of a document are joined to the whole count table.
+workers (a bound on what is sent) for the base score; all other words of a document are joined to the whole count table.
 
 Defined results: null and empty texts hold the end token alone; repeated rows count and are scored each; without
-training documents all counts are zero and the pieces keep the vocabulary's weights.
+training documents all counts are zero and the pieces keep the vocabulary's weights. In fitting, words above ``LONG_WORD`` characters count in
+parts of that length; in scoring every word is whole.
 """
 
 from __future__ import annotations
@@ -39,7 +42,9 @@ LONG_WORD = 48
 #: Stands for the end token among words, which hold no white space.
 END = b"\n"
 MARK = "▁"
-PRIOR = 0.01
+#: What stands for a text's own mark character: above all characters, so that no piece has it.
+OWN_MARK = 0x110000
+PRIOR = 0.1
 
 
 class Pieces:
@@ -76,10 +81,6 @@ class Pieces:
         self.final = np.array(final)
         edges = sorted((n << 21 | c, to) for n, kids in enumerate(children) for c, to in kids.items())
         self.edge, self.target = np.array([e for e, _ in edges]), np.array([t for _, t in edges])
-        opening = np.zeros(self.size, bool)
-        opening[[i for i in range(size) if lib.id_to_piece(i).startswith(MARK)]] = True
-        opening[self.end] = True
-        self.opening = opening
         weight = 1 / (merit + 10)
         weight[self.end] = weight.max()
         self.first = np.log(weight / weight.sum())
@@ -110,6 +111,20 @@ def pieces(path: str) -> Pieces:
     return _LOADED[path]
 
 
+def codes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of marked words, one after the other, and the words' lengths."""
+    n = np.array([len(w) + 1 for w in words])
+    chars = np.frombuffer("".join(MARK + w for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    own = chars == ord(MARK)
+    own[np.cumsum(n) - n] = False
+    chars[own] = OWN_MARK
+    return chars, n
+
+
+def bytes_of(code: int) -> list[int]:
+    return list((MARK if code == OWN_MARK else chr(code)).encode("utf-8", "replace"))
+
+
 def added(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Log of the sum of exponentials of each run of values that begins at ``first``."""
     top = np.maximum.reduceat(values, first)
@@ -122,9 +137,7 @@ class Lattice:
     """Words side by side: a node for each place between characters, an arc for each piece."""
 
     def __init__(self, vocab: Pieces, weight: np.ndarray, words: list[str]):
-        text = [MARK + w for w in words]
-        chars = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        n = np.array([len(t) for t in text])
+        chars, n = codes_of(words)
         word_end = np.cumsum(n)
         self.origin = np.concatenate([[0], np.cumsum(n + 1)[:-1]])  # each word has a node more than characters
         self.goal = self.origin + n
@@ -133,7 +146,7 @@ class Lattice:
         single = np.arange(len(chars))
         # the arc of a character's bytes: one arc, numbered after the pieces by the character
         kinds, kind = np.unique(chars, return_inverse=True)
-        self.spelled = [[int(vocab.byte_id[x]) for x in chr(c).encode("utf-8", "replace")] for c in kinds.tolist()]
+        self.spelled = [[int(vocab.byte_id[x]) for x in bytes_of(c)] for c in kinds.tolist()]
         raw = np.array([weight[s].sum() for s in self.spelled]) if len(kinds) else np.zeros(0)
         self.size = vocab.size
         who = np.concatenate([owner[a], owner])
@@ -189,7 +202,7 @@ def marginals(vocab: Pieces, weight: np.ndarray, words: list[bytes]) -> np.ndarr
 
 def long_word(vocab: Pieces, weight: np.ndarray, word: str) -> float:
     """The same recursion for one word of any length, in blocks whose arcs fit in memory."""
-    chars = np.frombuffer((MARK + word).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    chars, _ = codes_of([word])
     score = np.full(len(chars) + 1, -np.inf)
     score[0] = 0.0
     for at in range(0, len(chars), 8192):
@@ -199,7 +212,7 @@ def long_word(vocab: Pieces, weight: np.ndarray, word: str) -> float:
         to, w = b[order], weight[piece[order]]
         cut = np.searchsorted(a[order], np.arange(at, start[-1] + 2))
         for k, c in enumerate(chars[start].tolist()):
-            i, raw = at + k, weight[vocab.byte_id[list(chr(c).encode("utf-8", "replace"))]].sum()
+            i, raw = at + k, weight[vocab.byte_id[bytes_of(c)]].sum()
             score[i + 1] = np.logaddexp(score[i + 1], score[i] + raw)
             for t, x in zip(to[cut[k] : cut[k + 1]].tolist(), w[cut[k] : cut[k + 1]].tolist(), strict=True):
                 score[t] = np.logaddexp(score[t], score[i] + x)
@@ -234,10 +247,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def refit(counts: DataFrame, path: str, rounds: int = 2) -> np.ndarray:
-    """Log weights of the pieces after rounds of expectation maximisation over the counted words, each once.
+    """Log weights of the pieces after rounds of expectation maximisation over the counted words, each as often as it counts.
 
-    Pieces are there to spell words that were not met, and these are like the many rare words, not like the few
-    frequent ones, which have arcs of their own.
     What a round sends to the driver is one number for each piece of the vocabulary, whatever the corpus.
     """
     spark = counts.sparkSession
@@ -249,27 +260,35 @@ def refit(counts: DataFrame, path: str, rounds: int = 2) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own, total = pieces(path), None
             for batch in slices(batches, 4096):
-                words = sorted((utf8(w) for w in batch.column(0).to_pylist() if w != END), key=len)
                 total = np.zeros(own.size) if total is None else total
-                total[own.end] += batch.num_rows - len(words)
-                # long words in parts
-                parts = [w if len(w) <= LONG_WORD else w[at : at + LONG_WORD] for w in words for at in range(0, max(len(w), 1), LONG_WORD)]
+                parts = []
+                for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if word == END:
+                        total[own.end] += n
+                    else:
+                        w = utf8(word)
+                        parts += [(w[at : at + LONG_WORD], n) for at in range(0, len(w), LONG_WORD)]
                 if parts:
-                    total += Lattice(own, shared.value, parts).expected(np.ones(len(parts)))
+                    parts.sort(key=lambda x: len(x[0]))
+                    total += Lattice(own, shared.value, [w for w, _ in parts]).expected(np.array([n for _, n in parts], np.float64))
             if total is not None:
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "uses"])
 
         uses = np.zeros(vocab.size)
-        for r in counts.select("word").mapInArrow(run, "piece bigint, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
+        for r in counts.select("word", "n").mapInArrow(run, "piece bigint, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect():
             uses[r.piece] = r.uses
         if not uses.any():
             return weight
-        uses += PRIOR
-        weight = np.log(uses / uses.sum())
+        weight = posterior(vocab, uses)
     return weight
 
 
+def posterior(vocab: Pieces, uses: np.ndarray) -> np.ndarray:
+    """Log weights from expected uses and the vocabulary's own probabilities."""
+    return np.log((1 - PRIOR) * uses / uses.sum() + PRIOR * np.exp(vocab.first))
+
+
 def frequent_from(counts: DataFrame, most: int) -> int:
     """The least count such that ``most`` words at most have it or more; what comes to the driver is a row for each of the
     counts from which at least a word has it, cut to those that matter."""
@@ -290,16 +309,12 @@ _SCORED: dict[str, dict[bytes, float]] = {}
 def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, rounds: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` (log10) of every row.
 
-    The score is proper: given that a word or the end comes next, the probabilities of all words and of the end add up to 1
-    (the share of pieces that open a word, by which a first piece would be divided, is also what a word's last piece is followed by).
-
     ``training``: which rows the counts and weights are learned from.
     """
     spark = docs.sparkSession
     ready(spark)
     counts = written(word_counts(docs.where(training).select(text_bytes(text).alias("data"))))
-    total, distinct, once = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count(F.when(F.col("n") == 1, 1))).first()
-    unseen = (once + 1) / (total + 1)  # what the paths of pieces share; 1 without training documents
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     weight = refit(counts, path, rounds)
     least = frequent_from(counts, FREQUENT)
     frequent = {bytes(r.word): r.n for r in counts.where(F.col("n") >= least).collect()}
@@ -313,11 +328,10 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counted, weight = shared.value
         vocab = pieces(path)
-        opens = np.exp(weight[vocab.opening]).sum()  # a document's next piece begins a word, or ends it
         if model not in _SCORED:
             _SCORED.clear()
             _SCORED[model] = {}
-        end_score = float(np.log10((1 - unseen) * counted.get(END, 0) / max(total, 1) + unseen * np.exp(weight[vocab.end]) / opens))
+        end_score = float(weight[vocab.end] / np.log(10))
         end_base, end_seen = float(np.log10(counted.get(END, 0) + 1)), END in counted
         for batch in portions(batches, 2):
             known = _SCORED[model]
@@ -337,16 +351,13 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
             who = np.repeat(np.arange(len(cut)), sizes)
             n_of = np.array([counted.get(w, 0) for w in words], np.float64)
             spelled = np.array(got, np.float64) / np.log(10)
-            with np.errstate(divide="ignore", under="ignore"):
-                known_score = np.log10((1 - unseen) * n_of / max(total, 1) + unseen * 10**spelled)
-            score_of = np.where(n_of > 0, known_score, np.log10(unseen) + spelled if whole else 0.0)
             base, seen = np.log10(n_of + 1)[at], (n_of > 0)[at]
             sums = lambda x, n=len(cut): np.bincount(who, x, minlength=n)
-            score = sums(score_of[at]) + end_score
+            score = sums(spelled[at]) + end_score
             pairs, times = np.unique(who[~seen] * len(words) + at[~seen], return_counts=True) if not whole else (np.zeros(0, np.int64),) * 2
             offsets = np.searchsorted(pairs, np.arange(len(cut) + 1) * max(len(words), 1)).astype(np.int32)
             which = pairs % max(len(words), 1)
-            rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()).take(pa.array(which)), pa.array(times.astype(np.int32)), pa.array(spelled[which])], ["word", "n", "spelled"])
+            rest = pa.StructArray.from_arrays([pa.array(words, pa.binary()).take(pa.array(which)), pa.array(times.astype(np.int32))], ["word", "n"])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(1), pa.array(sizes + 1, pa.int64()), pa.array(sums(seen).astype(np.int64) + end_seen),
@@ -357,20 +368,18 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
 
     rows = docs.select(F.col(key).alias("key"), held_out.alias("held_out"), text_bytes(text).alias("data"))
     kind = docs.schema[key].dataType.simpleString()
-    first = rows.mapInArrow(run, f"key {kind}, held_out boolean, n_tokens bigint, seen bigint, base double, score double, rest array<struct<word: binary, n: int, spelled: double>>")
+    first = rows.mapInArrow(run, f"key {kind}, held_out boolean, n_tokens bigint, seen bigint, base double, score double, rest array<struct<word: binary, n: int>>")
     final = [F.col("key").alias(key), "held_out", "n_tokens"]
     if whole:  # every counted word went to the workers
         done = first.select(*final, F.col("seen").alias("n_known"), F.lit(int(total)).alias("train_tokens"), (F.col("base") - F.col("n_tokens") * F.lit(floor)).alias("base_score"), "score")
         return done
     first = written(first.withColumn("row", F.monotonically_increasing_id()))
-    rare = first.select("row", F.explode("rest").alias("r")).select("row", "r.word", F.col("r.n").alias("k"), "r.spelled")
+    rare = first.select("row", F.explode("rest").alias("r")).select("row", "r.word", F.col("r.n").alias("k"))
     n = F.coalesce("n", F.lit(0))
-    by_count = F.log10((1 - unseen) * n / float(max(total, 1)) + unseen * F.pow(F.lit(10.0), F.col("spelled")))
     sums = (
         rare.join(counts, "word", "left").groupBy("row")
         .agg(
             F.sum(F.when(n > 0, F.col("k")).otherwise(0)).alias("more_seen"), F.sum(F.col("k") * F.log10(n + 1)).alias("more_base"),
-            F.sum(F.col("k") * F.when(n > 0, by_count).otherwise(F.log10(F.lit(unseen)) + F.col("spelled"))).alias("more_score"),
         )
     )
     both = first.drop("rest").join(sums, "row", "left")
@@ -379,7 +388,7 @@ def scores(docs: DataFrame, path: str, *, training: Column, held_out: Column, ro
         (F.col("seen") + F.coalesce("more_seen", F.lit(0))).alias("n_known"),
         F.lit(int(total)).alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0)) - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
+        "score",
     )
 
 

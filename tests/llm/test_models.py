@@ -156,6 +156,52 @@ def test_lattice_sums_all_segmentations():
     assert np.allclose(got, [spelled(vocab, vocab.first, w) for w in words], atol=1e-9)
 
 
+def every_path(vocab, known, text):
+    """All segmentations of a text into pieces or single characters' bytes, each as a list of piece numbers."""
+    if not text:
+        return [[]]
+    out = []
+    for n in range(1, len(text) + 1):
+        head = [[known[text[:n]]]] if text[:n] in known else []
+        head += [[int(vocab.byte_id[b]) for b in text[0].encode()]] if n == 1 else []
+        out += [h + rest for h in head for rest in every_path(vocab, known, text[n:])]
+    return out
+
+
+def test_scores_by_enumerating_every_segmentation(spark):
+    import sentencepiece
+
+    lib, vocab = sentencepiece.SentencePieceProcessor(model_file=PIECES), lattice.pieces(PIECES)
+    known = {lib.id_to_piece(i): i for i in range(lib.get_piece_size()) if not (lib.is_byte(i) or lib.is_control(i) or lib.is_unknown(i))}
+    texts = ["the cat THE", "a naïf cat", None, "", "zq the", "café zzz a"]
+    training, held_out = lattice.split_by_id()
+    docs = documents(spark, texts)
+    learned = [t for k, t in enumerate(texts) if zlib.crc32(str(k).encode()) % 7 != 2]
+    weight = vocab.first
+    for _ in range(2):
+        uses = np.zeros(vocab.size)
+        for t in learned:
+            uses[vocab.end] += 1
+            for w in (t or "").lower().split():
+                paths = every_path(vocab, known, "▁" + w)
+                p = np.exp([weight[x].sum() for x in paths])
+                for x, share in zip(paths, p / p.sum(), strict=True):
+                    np.add.at(uses, x, share)
+        weight = np.log((1 - lattice.PRIOR) * uses / uses.sum() + lattice.PRIOR * np.exp(vocab.first))
+    for r in lattice.scores(docs, PIECES, training=training, held_out=held_out).collect():
+        logs = [np.logaddexp.reduce([weight[x].sum() for x in every_path(vocab, known, "▁" + w)]) for w in (texts[r.doc_id] or "").lower().split()]
+        assert abs(r.score - (sum(logs) + weight[vocab.end]) / math.log(10)) < 1e-9
+
+
+def test_a_texts_own_mark_is_no_border(spark):
+    vocab = lattice.pieces(PIECES)
+    apart, own = lattice.marginals(vocab, vocab.first, [b"a", b"b"]).sum(), lattice.marginals(vocab, vocab.first, ["a▁b".encode(), ("a▁b" * 40).encode()])
+    assert own[0] < apart - 5 and own[1] < own[0]
+    spelled_own = sum(vocab.first[vocab.byte_id[b]] for b in "▁".encode())
+    a, b = vocab.first[[vocab.byte_id[x] for x in b"ab"]]
+    assert own[0] > spelled_own + a + b + vocab.first.min()  # the bytes of the mark are one way through
+
+
 def test_expected_uses_spell_the_words():
     vocab = lattice.pieces(PIECES)
     words, counts = ["thesis", "naïve", "zz"], np.array([3.0, 1.0, 2.0])
