@@ -6,7 +6,8 @@ recorded with the placeholder's ordinal, and its expanded token count is added:
 ``PATCH`` pixels begun, audio ``AUDIO_TOKENS`` a second begun, a document ``PAGE_TOKENS`` a page; unknown kinds count none.
 
 A turn is rendered as ``<|im_start|>role``, line feed, content, ``<|im_end|>``, line feed. In contents each ``<``,
-backslashes, ``|`` gets one backslash more, so that no control string can come from a text; reading back takes it away again. Roles
+backslashes, ``|`` gets one backslash more, so that no control string can come from a text; reading back takes it away again. Neighbouring
+text parts are escaped as the one text that they become, so that none can come from their joints either. Roles
 are written with ``%``, ``<`` and line feeds as percent codes.
 
 The loss mask is an array of spans, one for each turn, in code points of the formatted text; it covers the contents of
@@ -58,7 +59,7 @@ def _field(part: Column, fields: set[str], name: str, kind: str) -> Column:
 
 
 def visited(part: Column, fields: set[str]) -> Column:
-    """What a part contributes: its content, whether it is an attachment, its tokens."""
+    """What a part contributes: a plain text, or a placeholder and an attachment with its tokens."""
     get = lambda name, kind: _field(part, fields, name, kind)
     kind = F.coalesce(get("kind", "string"), F.lit("text"))
     is_text = kind == "text"
@@ -71,11 +72,21 @@ def visited(part: Column, fields: set[str]) -> Column:
     )
     placeholder = F.concat(F.lit("<|"), F.when(kind.isin(*KINDS), kind).otherwise("part"), F.lit("|>"))
     return F.struct(
-        F.when(is_text, escaped(F.coalesce(get("text", "string"), F.lit("")))).otherwise(placeholder).alias("content"),
+        F.when(is_text, F.coalesce(get("text", "string"), F.lit(""))).alias("plain"), F.when(~is_text, placeholder).alias("placeholder"),
         F.when(~is_text, F.struct(kind.alias("kind"), F.coalesce(get("ref", "string"), F.lit("")).alias("ref"), tokens.cast("long").alias("tokens"))).alias("attachment"),
     )
 
 
+def content(seen: Column) -> Column:
+    """Placeholders as they are, each run of texts between them escaped as one."""
+    start = F.struct(F.lit("").alias("done"), F.lit("").alias("open"))
+    return F.aggregate(
+        seen, start,
+        lambda x, s: F.when(s["placeholder"].isNull(), F.struct(x["done"].alias("done"), F.concat(x["open"], s["plain"]).alias("open"))).otherwise(F.struct(F.concat(x["done"], escaped(x["open"]), s["placeholder"]).alias("done"), F.lit("").alias("open"))),
+        lambda x: F.concat(x["done"], escaped(x["open"])),
+    )
+
+
 def formatted(messages: DataFrame, *, trained: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """One row for each conversation of ``conv_id``, ``turn``, ``role``, ``parts``.
 
@@ -86,7 +97,7 @@ def formatted(messages: DataFrame, *, trained: tuple[str, ...] = ("assistant",))
     seen = F.transform(F.coalesce("parts", F.array().cast(messages.schema["parts"].dataType)), lambda p: visited(p, fields))
     turns = messages.select("conv_id", "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), seen.alias("seen"))
     turns = turns.select(
-        "conv_id", "turn", "role", F.array_join(F.transform("seen", lambda s: s["content"]), "").alias("content"),
+        "conv_id", "turn", "role", content(F.col("seen")).alias("content"),
         F.filter(F.transform("seen", lambda s: s["attachment"]), lambda a: a.isNotNull()).alias("attachments"),
     )
     head = F.concat(F.lit(START), role_written(F.col("role")), F.lit("\n"))
