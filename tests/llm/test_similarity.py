@@ -2,6 +2,8 @@
 
 import random
 import re
+import textwrap
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -309,27 +311,68 @@ def test_cleaning_keeps_the_rest():
 
 
 def licence_brute(text):
-    known = licences.known_bigrams(licences.TEMPLATES)
-    lines = (text or "").split("\n")
-    best, n = None, 0
-    for s in [*lines, (text or "").replace("\n", " ")] if len(lines) > 1 else lines:
-        grams = licences.bigrams(licences.normal_words(s))
-        match = [(-2.0 * len(set(grams) & set(t)) / (len(grams) + len(t)), name) for name, t in known.items() if grams and 2 * len(set(grams) & set(t)) >= 0.8 * (len(grams) + len(t))]
-        if match:
-            n += 1
-            best = min([min(match), *([best] if best else [])])
+    """Every run that begins or ends where the template would around one of its anchors."""
+    words = licences.normal_words(text or "")
+    grams, found = licences.bigrams(words), []
+    for name, template in licences.known_bigrams(licences.TEMPLATES).items():
+        want, where = Counter(template), licences.anchors(template, 0.8)
+        starts = {k - where[g] for k, g in enumerate(grams) if g in where}
+        for n in range(1, 2 * len(template)):
+            for at in {s for s in starts} | {s + len(template) - n for s in starts}:
+                score = 2.0 * sum((Counter(grams[at : at + n]) & want).values()) / (n + len(template)) if 0 <= at <= len(grams) - n else 0.0
+                if score >= 0.8:
+                    found.append((at + n + 1, at, -score, name))
+    n, after = 0, 0
+    for end, at, *_ in sorted(found):
+        if at >= after:
+            n, after = n + 1, end
+    best = min(((m, name) for _, _, m, name in found), default=None)
     return n, best and best[1], best and -best[0]
 
 
+def family(name):
+    """A notice holds the shorter statements of the same licence whole, of which the first name wins."""
+    return name and name.split("-")[0]
+
+
+def check_licences(spark, texts):
+    got = {r.doc_id: (r.n_matches, r.licence, r.score) for r in licences.scan(documents(spark, texts, extra=True)).collect()}
+    for k, t in enumerate(texts):
+        n, name, score = licence_brute(t)
+        assert got[k][:2] == (n, name) and (score is None) == (got[k][2] is None) and (score is None or abs(score - got[k][2]) < 1e-12), t
+    return got
+
+
 def test_licences(spark):
     rng = random.Random(3)
-    texts = [*licences.TEMPLATES.values(), "x\nReleased under the MIT License!\nz", "Licensed under  CC-BY NC 4.0 today", *EDGES]
+    texts = [*licences.TEMPLATES.values(), "x\nReleased under the MIT License!\nz", "Licensed under  CC-BY NC 4.0 today", *EDGES, "Released under the MIT License. " * 40]
     for t in licences.TEMPLATES.values():
         w = t.split()
         del w[rng.randrange(len(w))]
         texts.append("Before.\n" + " ".join(w).upper() + "\nAfter that.")
-    got = {r.doc_id: (r.n_matches, r.licence, r.score) for r in licences.scan(documents(spark, texts, extra=True)).collect()}
-    for k, t in enumerate(texts):
-        n, name, score = licence_brute(t)
-        assert got[k][:2] == (n, name) and (score is None) == (got[k][2] is None) and (score is None or abs(score - got[k][2]) < 1e-12), t
+    got = check_licences(spark, texts)
+    names = list(licences.TEMPLATES)
+    assert all(family(got[k][1]) == family(name) and got[k][2] == 1 for k, name in enumerate(names))
+    assert got[len(names)][:2] == (1, "MIT") and got[len(names) + 2 + len(EDGES)][:2] == (40, "MIT")
     assert licences.scan(documents(spark, [])).count() == 0
+
+
+def test_wrapped_and_shared_lines(spark):
+    def wrapped(t, mark):
+        return f"import os\n{mark} Copyright 2020 somebody\n" + "".join(f"{mark} {x}\n" for x in textwrap.wrap(t, 44)) + "\ndef f(x):\n    return x + 1\n"
+
+    templates = list(licences.TEMPLATES.items())
+    texts = [wrapped(t, mark) for _, t in templates for mark in ("#", " *")] + [f"We thank all who wrote parts of this small tool. {t} And more is to come." for _, t in templates]
+    got = check_licences(spark, texts)
+    assert [family(got[k][1]) for k in range(len(texts))] == [family(n) for n, _ in templates for _ in range(2)] + [family(n) for n, _ in templates]
+    assert all(got[k][2] == 1 for k in got)
+
+
+def test_every_match_has_an_anchor_and_a_marker():
+    known = licences.known_bigrams(licences.TEMPLATES)
+    marks, rng = licences.markers(known, 0.8), random.Random(4)
+    for t in known.values():
+        few = licences.sizes(t, 0.8)[0]
+        for _ in range(200):
+            held = {t[k] for k in rng.sample(range(len(t)), few)}
+            assert held & set(licences.anchors(t, 0.8)) and any(m in g for m in marks for g in held)
