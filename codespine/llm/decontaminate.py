@@ -6,7 +6,11 @@ item, or the whole item where it has fewer. Before the automaton runs, numpy fin
 neighbouring words also neighbour in some item: a window can only lie within such a stretch.
 
 Items above ``BLOCK_BYTES`` of text in all are taken in blocks, each with an automaton of its own, and the documents' hits
-are united; so what is sent to the workers at once keeps its bound however large the benchmark.
+are united; so what is sent to the workers at once keeps its bound however large the benchmark. The automaton is built in dictionaries (some 90 bytes
+for each byte of items, on the driver, one block at a time) and sent as flat arrays, about a tenth of that.
+
+Where a passage is cut out, what was before and after it become neighbours and may make a window that wasn't there. So cutting is repeated
+until nothing is left to cut.
 
 Defined results: null or word-less texts and items have no words, no windows and no hits; a repeated item is found
 under each of its ids; repeated document rows each get their row; an empty benchmark leaves every document clean.
@@ -15,17 +19,20 @@ under each of its ids; repeated document rows each get their row; an empty bench
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from .common import free_name, portions, ready, slices, text_bytes, written
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 #: A-Z to lower case; what is neither an ASCII letter or digit nor part of a longer UTF-8 sequence to a space.
 FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 WORD = re.compile(rb"[^\x20]+")
@@ -55,17 +62,44 @@ class Automaton:
         self.pairs = np.unique(np.array([a * base + b for _, s in texts for a, b in zip(s, s[1:], strict=False)], np.int64))
         self.known = np.zeros(base, bool)
         self.known[1:] = True
-        #: By state: the items of the window (or of the shorter whole item) that ends there.
-        self.windows: dict[int, set[int]] = {}
-        self.whole: dict[int, list[tuple[int, int]]] = {}
+        ends, wholes = [], []
         for item, seq in texts:
             state = 0
             for n, w in enumerate(seq, 1):
                 state = self.step[state][w]
                 if n >= window:
-                    self.windows.setdefault(self.covering(state, window), set()).add(item)
+                    ends.append((self.covering(state, window), item))
             if len(seq) < window:
-                self.whole.setdefault(self.covering(state, len(seq)), []).append((len(seq), item))
+                wholes.append((self.covering(state, len(seq)), len(seq), item))
+        self.freeze(ends, wholes)
+
+    def freeze(self, ends: list[tuple[int, int]], wholes: list[tuple[int, int, int]]) -> None:
+        """Flat arrays instead of the dictionaries: steps by (state, word); by state the items of the window that ends there,
+        and the shorter whole items that end there."""
+        base = len(self.vocabulary) + 1
+        code = np.fromiter((s * base + w for s, step in enumerate(self.step) for w in step), np.int64)
+        target = np.fromiter(chain.from_iterable(step.values() for step in self.step), np.int32, len(code))
+        order = np.argsort(code)
+        self.base, self.code, self.target = base, array("q", code[order].tobytes()), array("i", target[order].tobytes())
+        self.link, self.length = array("i", self.link), array("i", self.length)
+        del self.step
+        ends.sort()
+        self.window_state, self.window_item = array("q", [s for s, _ in ends]), array("q", [i for _, i in ends])
+        self.whole: dict[int, list[tuple[int, int]]] = {}
+        for state, size, item in wholes:
+            self.whole.setdefault(state, []).append((size, item))
+
+    def after(self, state: int, w: int) -> int:
+        """The state that a word leads to, or -1."""
+        want = state * self.base + w
+        at = bisect_left(self.code, want)
+        return self.target[at] if at < len(self.code) and self.code[at] == want else -1
+
+    def items_at(self, state: int) -> Iterator[int]:
+        at = bisect_left(self.window_state, state)
+        while at < len(self.window_state) and self.window_state[at] == state:
+            yield self.window_item[at]
+            at += 1
 
     def extend(self, last: int, w: int) -> int:
         """Appends a word to the sequence that ends in ``last``; sequences that are known already share their states."""
@@ -126,13 +160,15 @@ class Automaton:
         """Hit spans and items of one stretch."""
         spans, items, state, n = [], set(), 0, 0
         for at, w in enumerate(ids, 1):
-            while state and w not in self.step[state]:
+            to = self.after(state, w)
+            while state and to < 0:
                 state = self.link[state]
                 n = self.length[state]
-            if w in self.step[state]:
-                state, n = self.step[state][w], n + 1
+                to = self.after(state, w)
+            if to >= 0:
+                state, n = to, n + 1
             if n >= self.window:
-                items |= self.windows.get(self.covering(state, self.window), set())
+                items.update(self.items_at(self.covering(state, self.window)))
                 spans.append((at - n, at))
             up = state
             while up > 0 and self.whole:
@@ -249,45 +285,76 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, lo
 
     Spans of ``longest`` or more words are removed, shorter ones (whole short items) where all spans together cover
     more than ``coverage`` of the document's words; a document left without a word goes. Clean rows stay as they are.
-    A narrow map for each block of items, and no rows are shuffled: of several blocks each adds its spans to those found before
-    on the text as it was, and what all together decide is cut once, so the size of the blocks changes no result.
+    Cutting is repeated until no span is left that these rules remove.
+
+    With one block of items that is a single narrow map. With several, each adds its spans to those found before on the text as it was, what all
+    together decide is cut once, and the rows that were cut are gone through again, as long as there are any; so the size of the blocks changes no result.
+    No rows are shuffled.
     """
     ready(docs.sparkSession)
     place, schema = docs.schema.fieldNames().index(text), docs.schema
+    held, again = free_name(docs, "spans"), free_name(docs, "again")
+    span = ArrayType(StructType([StructField("first", IntegerType()), StructField("after", IntegerType())]))
+
+    def removed(n: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        return spans if sum(b - a for a, b in spans) > coverage * n else [(a, b) for a, b in spans if b - a >= longest]
 
-    def cut(batch: pa.RecordBatch, raw: list[bytes], each: list[tuple[int, list[tuple[int, int]]]]) -> pa.RecordBatch:
-        texts, keep = batch.column(place).to_pylist(), []
-        for k, (n, spans) in enumerate(each):
-            if sum(b - a for a, b in spans) <= coverage * n:
-                spans = [(a, b) for a, b in spans if b - a >= longest]
-            if spans:
-                left = cleaned(raw[k], spans)
-                texts[k] = left.decode("utf-8", "replace")
-            keep.append(not spans or bool(words(left)))
+    def put(batch: pa.RecordBatch, texts: list[str | None], keep: list[bool]) -> pa.RecordBatch:
         return batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type)).filter(pa.array(keep, pa.bool_()))
 
-    def step(df: DataFrame, automaton, last: bool, carried: bool) -> DataFrame:
-        """``df`` with the spans of one more block in its last column, or without that column and cut."""
+    parts = _blocks(benchmark, "item_id", "text", block_bytes)
+    if len(parts) == 1:
+        automaton = _shared(docs, parts[0].collect(), window)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in portions(batches, place):
-                raw = [(t or "").encode() for t in batch.column(place).to_pylist()]
-                each = [(n, spans) for n, spans, _ in find(automaton.value, raw)]
-                if carried:
-                    old = batch.column(batch.num_columns - 1).to_pylist()
-                    each = [(n, united([*spans, *((s["first"], s["after"]) for s in x)])) for (n, spans), x in zip(each, old, strict=True)]
-                    batch = batch.select(range(batch.num_columns - 1))
-                if last:
-                    yield cut(batch, raw, each)
-                else:
-                    spans = pa.array([[{"first": a, "after": b} for a, b in s] for _, s in each], SPAN)
-                    yield pa.RecordBatch.from_arrays([*batch.columns, spans], names=[*batch.schema.names, held])
-
-        return df.mapInArrow(run, schema if last else wider)
-
-    held = free_name(docs, "spans")
-    wider = StructType([*schema.fields, StructField(held, ArrayType(StructType([StructField("first", IntegerType()), StructField("after", IntegerType())])))])
-    parts = _blocks(benchmark, "item_id", "text", block_bytes)
-    for k, part in enumerate(parts):
-        docs = step(docs, _shared(docs, part.collect(), window), k == len(parts) - 1, k > 0)
-    return docs
+                texts = batch.column(place).to_pylist()
+                raw = {k: (t or "").encode() for k, t in enumerate(texts)}
+                cut: set[int] = set()
+                while raw:
+                    found = zip(raw.items(), find(automaton.value, list(raw.values())), strict=True)
+                    raw = {k: cleaned(data, spans) for (k, data), (n, every, _) in found if (spans := removed(n, every))}
+                    cut.update(raw)
+                    for k, data in raw.items():
+                        texts[k] = data.decode("utf-8", "replace")
+                yield put(batch, texts, [k not in cut or bool(words((t or "").encode())) for k, t in enumerate(texts)])
+
+        return docs.mapInArrow(run, schema)
+
+    wide = StructType([*schema.fields, StructField(again, BooleanType()), StructField(held, span)])
+    automata = [_shared(docs, part.collect(), window) for part in parts]
+
+    def look(df: DataFrame, automaton) -> DataFrame:
+        """Adds a block's spans to those of the rows that are to be gone through."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in portions(batches, place):
+                due, old = batch.column(len(schema)).to_pylist(), batch.column(len(schema) + 1).to_pylist()
+                rows = [k for k, d in enumerate(due) if d]
+                raw = batch.column(place).take(pa.array(rows, pa.int64())).to_pylist()
+                spans = [[(s["first"], s["after"]) for s in x] for x in old]
+                for k, (_, more, _) in zip(rows, find(automaton.value, [(t or "").encode() for t in raw]), strict=True):
+                    spans[k] = united([*spans[k], *more])
+                yield batch.set_column(len(schema) + 1, held, pa.array([[{"first": a, "after": b} for a, b in x] for x in spans], SPAN))
+
+        return df.mapInArrow(run, wide)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches, place):
+            texts, spans = batch.column(place).to_pylist(), batch.column(len(schema) + 1).to_pylist()
+            due, keep = [False] * len(texts), [True] * len(texts)
+            for k, some in enumerate(spans):
+                data = (texts[k] or "").encode()
+                if some and (out := removed(len(words(data)), [(s["first"], s["after"]) for s in some])):
+                    left = cleaned(data, out)
+                    texts[k], due[k], keep[k] = left.decode("utf-8", "replace"), True, bool(words(left))
+            done = batch.set_column(len(schema), again, pa.array(due)).set_column(len(schema) + 1, held, pa.array([[]] * len(texts), SPAN))
+            yield put(done, texts, keep)
+
+    rows = docs.select("*", F.lit(True).alias(again), F.array().cast(span).alias(held))
+    while True:
+        for automaton in automata:
+            rows = look(rows, automaton)
+        rows = written(rows.mapInArrow(cut, wide))
+        if rows.where(again).isEmpty():
+            return rows.select(*docs.columns)

@@ -1,5 +1,6 @@
 """SimHash, search, decontamination and licences against brute force."""
 
+import pickle
 import random
 import re
 import textwrap
@@ -305,6 +306,31 @@ def test_blocks_of_items_change_no_cut(spark):
     assert one == many and 0 < len(one)
 
 
+@pytest.mark.parametrize("block_bytes", [8, 1 << 20])
+def test_a_cut_leaves_no_new_window(spark, block_bytes):
+    a, b = [f"a{k}" for k in range(10)], [f"b{k}" for k in range(10)]
+    items = [(1, " ".join(a)), (2, " ".join(b)), (3, "x y z x y z x y z x")]
+    docs = documents(spark, ["p q " + " ".join(a[:5] + b + a[5:]) + " z", " ".join(a[:5] + b + a[5:]), "p " + " ".join(a[:4]) + " " + " ".join(b + b) + " q"])
+    got = {r.doc_id: r.text.split() for r in decontaminate.decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes).collect()}
+    assert got == {0: ["p", "q", "z"], 2: ["p", *a[:4], "q"]}
+
+
+@pytest.mark.parametrize("block_bytes", [6, 1 << 20])
+def test_coverage_is_of_all_items_together(spark, block_bytes):
+    items = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "item_id long, text string")
+    docs = documents(spark, ["a b c x1 x2 x3 x4 d e f", "a b c x1 x2 x3 x4 x5"])
+    got = {r.doc_id: (r.text or "").split() for r in decontaminate.decontaminate(docs, items, block_bytes=block_bytes).collect()}
+    assert got == {0: ["x1", "x2", "x3", "x4"], 1: "a b c x1 x2 x3 x4 x5".split()}
+
+
+def test_a_full_block_is_small_on_the_workers():
+    rng = random.Random(9)
+    vocabulary = [f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{k}" for k in range(20_000)]
+    items = [(k, " ".join(rng.choices(vocabulary, k=60)).encode()) for k in range(1200)]
+    size = sum(len(t) for _, t in items)
+    assert len(pickle.dumps(decontaminate.Automaton(items, 10))) <= 16 * size  # 64 MB of a block of 4 MB
+
+
 def test_cleaning_keeps_the_rest():
     data = b"one two, three four"
     assert decontaminate.cleaned(data, [(1, 3)]) == b"one  four"
