@@ -224,7 +224,7 @@ def test_few_or_no_vectors(spark):
 
 def test_few_vectors_with_the_default_probes(spark):
     df, _ = vectors(spark)
-    for n in (3, 4, 5, 6, 7):
+    for n in range(2, 13):
         got = ann.search(df.where(F.col("vec_id") < n), F.lit(True)).collect()
         assert {q: sum(r.query_id == q for r in got) for q in range(n)} == dict.fromkeys(range(n), min(5, n - 1))
 
@@ -249,6 +249,35 @@ def test_recall_on_the_table(spark, sf_dir):
     assert recall_of(spark, sf_dir) >= 0.9
 
 
+@pytest.mark.parametrize("clusters", [0, 60])
+def test_recall_on_ten_thousand_vectors(spark, clusters):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(10_000, 24))
+    if clusters:
+        x = 0.15 * x + rng.normal(size=(clusters, 24))[rng.integers(0, clusters, len(x))]
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    rows = ann.search(df, F.col("vec_id") % 100 == 0).collect()
+    u = x.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, len(x), 100):
+        cos = u @ u[q]
+        cos[q] = -2
+        mine = [r for r in rows if r.query_id == q]
+        assert [r.rank for r in sorted(mine, key=lambda r: (-r.score, r.vec_id))] == [1, 2, 3, 4, 5] and all(abs(r.score - cos[r.vec_id]) < 1e-12 for r in mine)
+        hits += len({r.vec_id for r in mine} & set(np.argsort(-cos)[:5].tolist()))
+    assert hits >= 0.9 * 500
+
+
+def test_clustered_vectors_need_few_cells_and_a_short_list():
+    rng = np.random.default_rng(8)
+    x = ann.unit(0.1 * rng.normal(size=(4000, 24)) + rng.normal(size=(40, 24))[rng.integers(0, 40, 4000)])
+    model = ann.Quantiser.fit(x, 60, 12)
+    visited, places = ann.measured(model, x, 5)
+    assert visited <= 12 and places <= 400
+
+
 def words_of(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
