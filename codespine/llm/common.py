@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +14,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import workers
+
 ROWS_AT_ONCE = 256
 BATCH_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 4096, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
-_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,24 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def ready(spark: SparkSession) -> None:
     """Prepares the session for Python workers.
 
-    They import this package by name, so that their word caches outlive a task: on a cluster it is shipped (``--py-files``)
-    or installed, locally its folder is added to the workers' path. Arrow batches get a bound in rows and bytes, as
+    The package is sent to them, and imported by name, so that their word caches outlive a task. Arrow batches get a bound in rows and bytes, as
     the default of 10,000 rows can be gigabytes of long texts; smaller bounds of the session stay.
     """
+    workers.ready(spark)
     for name, most in BATCH_BOUNDS.items():
         held = spark.conf.get(name, None)
         if held is None or not held.lstrip("-").isdigit() or not 0 < int(held) <= most:
             spark.conf.set(name, str(most))
-    env = spark.sparkContext.environment
-    old = env.get("PYTHONPATH", "")
-    if _ROOT not in old.split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, old) if x)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path under ``spark.checkpoint.dir``; where that is unset (tests), under a temporary folder of this process."""
+    """A new path under ``spark.checkpoint.dir``. A local session without one (tests) gets a temporary folder of this process;
+    on a cluster that would be one machine's folder, so there it is an error.
+    """
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         top = tempfile.mkdtemp(prefix="codespine-")
         atexit.register(shutil.rmtree, top, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", top)

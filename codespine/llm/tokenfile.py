@@ -4,7 +4,8 @@ The ids of all documents are counted, and each id is replaced with its rank by f
 A rank takes 1 to 4 data bytes; a control byte holds the lengths of four ranks, two bits each. The reader looks lengths
 up in a table of 256 rows and gathers the data bytes with numpy, without a loop over tokens.
 
-A folder holds ``ranks/`` (Parquet: id, rank) and one ``NNNNNNNN.tok`` file for each range of ascending document ids;
+A folder holds ``ranks/`` (Parquet: id, rank), ``index/`` (Parquet: file, docs, tokens) and one ``NNNNNNNN.tok`` file for each range of ascending document ids,
+of ``FILE_TOKENS`` tokens, or of more where that would be above ``MOST_FILES`` files. Files are written and read block by block, so their size takes no memory;
 a file is a run of blocks, each ``MAGIC, docs, tokens, data bytes`` (unsigned 32-bit) followed by the doc ids (signed
 64-bit), tokens of each document (unsigned 32-bit), control bytes and data bytes.
 
@@ -34,6 +35,8 @@ from .common import portions, ready, shared_dir, slices, text_bytes, utf8, writt
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
 FILE_TOKENS = 6_000_000
+MOST_FILES = 16_384
+INDEX = "file int, docs bigint, tokens bigint"
 CACHED_WORDS = 600_000
 PORTION_BYTES = 10 << 20
 CACHED_CHARS = 64
@@ -181,29 +184,29 @@ def block(docs: list[int], ranks: list[np.ndarray]) -> bytes:
     return head + np.array(docs, "<i8").tobytes() + counts.tobytes() + control + data
 
 
-def blocks(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Doc ids, tokens of each and ranks, block by block."""
-    at, view = 0, np.frombuffer(raw, np.uint8)
-    while at < len(raw):
-        magic, docs, tokens, size = struct.unpack_from("<4I", raw, at)
+def blocks(source) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Doc ids, tokens of each and ranks, block by block from an open file."""
+    while head := source.read(16):
+        magic, docs, tokens, size = struct.unpack("<4I", head)
         if magic != MAGIC:
             raise ValueError("not a token file")
-        ids = at + 16
-        counts = ids + 8 * docs
-        control = counts + 4 * docs
-        data = control + -(-tokens // 4)
-        at = data + size
-        yield view[ids:counts].view("<i8"), view[counts:control].view("<u4"), unpacked(view[control:data], view[data:at], tokens)
+        ids, counts = np.frombuffer(source.read(8 * docs), "<i8"), np.frombuffer(source.read(4 * docs), "<u4")
+        control, data = (np.frombuffer(source.read(n), np.uint8) for n in (-(-tokens // 4), size))
+        if len(data) < size:
+            raise ValueError("a token file that ends too early")
+        yield ids, counts, unpacked(control, data, tokens)
 
 
-def save(path: str, name: str, parts: Iterator[bytes]) -> None:
-    """Writes a file whole or not at all: first under a name of this attempt, then renamed."""
+def store_of(path: str):
+    """The file system and the path in it."""
     from pyarrow import fs
 
-    if "://" in path or path.startswith("file:"):
-        store, top = fs.FileSystem.from_uri(path)
-    else:
-        store, top = fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def save(path: str, name: str, parts: Iterator[bytes]) -> None:
+    """Writes a file whole or not at all: first under a name of this attempt, then renamed."""
+    store, top = store_of(path)
     store.create_dir(top, recursive=True)
     task = TaskContext.get()
     trial = f"{top}/.{name}.{task.taskAttemptId() if task else 0}"
@@ -273,7 +276,7 @@ def write(docs: DataFrame, vocabulary: str, folder: str, *, end_id: int | None =
     rank_of[[i for i, _ in counts]] = np.arange(len(counts))
     spark.createDataFrame([(int(i), k) for k, (i, _) in enumerate(counts)], "id long, rank long").coalesce(1).write.parquet(f"{folder}/ranks")
     shared = spark.sparkContext.broadcast(rank_of)
-    files = max(8, -(-sum(n for _, n in counts) // file_tokens))
+    files = min(max(8, -(-sum(n for _, n in counts) // file_tokens)), MOST_FILES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, seen = shared.value, [0, 0]
@@ -302,14 +305,20 @@ def write(docs: DataFrame, vocabulary: str, folder: str, *, end_id: int | None =
         yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([seen[0]], pa.int64()), pa.array([seen[1]], pa.int64())], names=["file", "docs", "tokens"])
 
     ordered = tokens.where("counts is null").select("doc", "ids").repartitionByRange(files, "doc").sortWithinPartitions("doc", "ids")
-    return written(ordered.mapInArrow(run, "file int, docs bigint, tokens bigint"))
+    ordered.mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
+    return index(spark, folder)
+
+
+def index(spark: SparkSession, folder: str) -> DataFrame:
+    """``file`` int, ``docs`` long, ``tokens`` long: a row for each file, ``MOST_FILES`` at most."""
+    return spark.read.schema(INDEX).parquet(f"{folder}/index")
 
 
 def read(spark: SparkSession, folder: str, *, crc: bool = True) -> DataFrame:
     """Reads a folder's files back: ``file`` int, ``at`` long (place in the file), ``doc_id``, ``first`` (ids before it in
     the file), ``n_tokens`` long, and ``ids_crc32`` long or else ``ids`` binary.
 
-    One task holds one file and the ids of one block.
+    One task reads one file, and holds one block of it.
     """
     ready(spark)
     id_of = np.zeros(spark.read.parquet(f"{folder}/ranks").count(), "<u4")
@@ -318,23 +327,24 @@ def read(spark: SparkSession, folder: str, *, crc: bool = True) -> DataFrame:
     shared = spark.sparkContext.broadcast(id_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = shared.value
-        for batch in slices(batches, 1):
-            number, at, first = int(batch.column(0)[0].as_py()), 0, 0
-            for docs, counts, ranks in blocks(batch.column(1)[0].as_py()):
-                ids = ids_of[ranks].tobytes()
-                ends = np.cumsum(counts.astype(np.int64))
-                view, starts = memoryview(ids), ends - counts
-                each = [view[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                last = pa.array([zlib.crc32(x) for x in each], pa.int64()) if crc else pa.array([bytes(x) for x in each], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * len(docs), pa.int32()), pa.array(range(at, at + len(docs)), pa.int64()), pa.array(docs, pa.int64(), mask=docs == NO_ID), pa.array(first + starts, pa.int64()), pa.array(counts.astype(np.int64)), last],
-                    names=["file", "at", "doc_id", "first", "n_tokens", "last"],
-                )
-                at, first = at + len(docs), first + int(counts.sum())
-
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.tok").load(folder)
-    rows = raw.select(F.regexp_extract("path", r"(\d+)\.tok$", 1).cast("int").alias("file"), "content")
+        ids_of, (store, top) = shared.value, store_of(folder)
+        for number in chain.from_iterable(batch.column(0).to_pylist() for batch in batches):
+            at = first = 0
+            with store.open_input_stream(f"{top}/{number:08d}.tok") as source:
+                for docs, counts, ranks in blocks(source):
+                    ids = ids_of[ranks].tobytes()
+                    ends = np.cumsum(counts.astype(np.int64))
+                    view, starts = memoryview(ids), ends - counts
+                    each = [view[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                    last = pa.array([zlib.crc32(x) for x in each], pa.int64()) if crc else pa.array([bytes(x) for x in each], pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([number] * len(docs), pa.int32()), pa.array(range(at, at + len(docs)), pa.int64()), pa.array(docs, pa.int64(), mask=docs == NO_ID), pa.array(first + starts, pa.int64()), pa.array(counts.astype(np.int64)), last],
+                        names=["file", "at", "doc_id", "first", "n_tokens", "last"],
+                    )
+                    at, first = at + len(docs), first + int(counts.sum())
+
+    files = index(spark, folder)
+    rows = files.select("file").repartitionByRange(max(1, files.count()), "file")
     out = rows.mapInArrow(run, f"file int, at bigint, doc_id bigint, first bigint, n_tokens bigint, last {'bigint' if crc else 'binary'}")
     return out.withColumnRenamed("last", "ids_crc32" if crc else "ids")
 
@@ -346,5 +356,6 @@ def round_trip(docs: DataFrame, vocabulary: str, *, end_id: int | None = 1, fold
     files = write(docs, vocabulary, folder, end_id=end_id)
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # one task for the sums over files, whose number is bounded
     before = files.select("file", (F.sum("tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))).alias("before"))
     return read(spark, folder).join(before, "file").select("doc_id", (F.coalesce("before", F.lit(0)) + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
