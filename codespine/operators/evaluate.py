@@ -98,3 +98,20 @@ def rollup(checks: DataFrame) -> DataFrame:
     """The worst status."""
     names = F.array(*map(F.lit, SEVERITY))
     return checks.agg(F.element_at(names, F.max(F.array_position(names, F.col("status"))).cast("int")).alias("status"))
+
+
+def eligible_releases(releases: DataFrame) -> DataFrame:
+    """Published releases (neither ``draft`` nor ``prerelease``) whose ``tag`` names a day, with that ``day``."""
+    day = F.try_to_date(F.regexp_extract("tag", r"\A(?:data-)?(\d{4}\.\d{2}\.\d{2})\z", 1), "yyyy.MM.dd")
+    return releases.where(~F.col("draft") & ~F.col("prerelease")).withColumn("day", day).where("day is not null")
+
+
+def newest_release(releases: DataFrame) -> DataFrame:
+    """The eligible release with the latest day (ties: the greatest tag), one row or none."""
+    return eligible_releases(releases).orderBy(F.desc("day"), F.desc("tag")).limit(1)
+
+
+def over_budget(errors: DataFrame, budget: DataFrame) -> DataFrame:
+    """``code``, ``n``, ``allowed`` of the error codes that come up more often than ``budget`` (code, allowed) lets them; codes without one have none."""
+    n = errors.groupBy("code").agg(F.count("*").alias("n"))
+    return n.join(budget, "code", "left").select("code", "n", F.coalesce("allowed", F.lit(0)).cast("long").alias("allowed")).where("n > allowed")

@@ -145,3 +145,18 @@ def forward_filled(df: DataFrame, value: str, *, order: list[Column], partition:
     """Blank cells take the last value above them."""
     w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(value, F.last(F.when(F.trim(value) != "", F.col(value)), ignorenulls=True).over(w))
+
+
+def in_level_order(df: DataFrame) -> DataFrame:
+    """Parents before children: by level from the top, then by code; unknown levels last."""
+    rank = F.array_position(F.array(*map(F.lit, codes.LEVELS.values())), F.col("level"))
+    return df.orderBy(F.asc_nulls_last(F.nullif(rank, F.lit(0))), F.asc_nulls_last("code"))
+
+
+#: The table that holds each level.
+TABLE_OF = {"hs2": "hs_version", "hs4": "hs_version", "hs6": "hs_version", "fraccion8": "fraction_version", "nico10": "nico_version"}
+
+
+def routed(df: DataFrame) -> DataFrame:
+    """Adds ``table``: where rows of a level are kept; null for a level without one. Writing partitioned by it routes all rows in one pass."""
+    return df.withColumn("table", F.element_at(F.create_map(*[F.lit(x) for pair in TABLE_OF.items() for x in pair]), F.col("level")))

@@ -33,6 +33,11 @@ def row_checks() -> dict[str, Column]:
     }
 
 
+def certified_origin() -> Column:
+    """The certification's form of ``invalid_value_origin``: compared null-safe, so a rate level without an origin is a breach there."""
+    return F.coalesce(F.col("level").isin("fraccion8", "nico10"), F.lit(False)) & ~F.col("values_from_level").eqNullSafe("fraccion8")
+
+
 def single_pass(records: DataFrame, checks: dict[str, Column] | None = None) -> DataFrame:
     """One row with a count for each row-local check and ``duplicate_record_ids``."""
     counts = [F.count(F.when(condition, 1)).alias(name) for name, condition in (checks or row_checks()).items()]

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import codes, dates, duty, hashing, text, trade
+from ..functions import codes, dates, duty, hashing, lists, text, trade
 from ..operators import consolidate, diff, evaluate, hierarchy, search, validate
 from ..sources import html
-from . import inputs
+from . import inputs, views
 from .inputs import CLASSIFICATION_SQL, RATE_SQL, TREE_SQL, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -314,11 +314,11 @@ def change_routing(spark: SparkSession, d: str) -> DataFrame:
     return diff.routed_jobs(changes)
 
 
-_HREF_SQL = html.HREF.replace("'", "''")
+_HREF_SQL = r"""(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>"""
 
 
 @_query(f"""WITH l AS (SELECT page_id, url, list_distinct(list_transform(regexp_extract_all(html, '{_HREF_SQL}', 1), lambda x: trim(x))) AS u FROM pages), x AS (SELECT page_id, unnest(u) AS href FROM l)
-  SELECT page_id, href FROM x WHERE href <> ''""")
+  SELECT page_id, replace(href, '&amp;', '&') AS href FROM x WHERE href <> '' AND NOT starts_with(href, '#')""")
 def page_links(spark: SparkSession, d: str) -> DataFrame:
     return html.links(table(spark, d, "pages"), frames=False).select("page_id", "href")
 
@@ -426,14 +426,70 @@ def section_of_chapter(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.with_section(table(spark, d, "customer").select("c_custkey", chapter.alias("chapter")), F.col("chapter"))
 
 
-@_query("""WITH q AS (SELECT o_orderstatus AS role, o_orderdate::DATE AS day FROM orders WHERE o_orderkey % 50 = 0), e AS (SELECT o_orderstatus AS role, o_orderdate::DATE AS day FROM orders WHERE o_orderkey % 3 = 0)
+@_query("""WITH q AS (SELECT o_orderstatus AS role, o_orderdate::DATE AS day FROM orders), e AS (SELECT o_orderstatus AS role, o_orderdate::DATE AS day FROM orders WHERE o_orderkey % 3 = 0)
   SELECT DISTINCT 'missing_dof_evidence:' || role || ':' || day AS discrepancy FROM q WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.role = q.role AND e.day = q.day)""")
 def reconcile_evidence(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("role"), F.to_date("o_orderdate").alias("day"))
-    required = rows.where(F.col("o_orderkey") % 50 == 0).select("role", "day").distinct()
+    required = rows.select("role", "day").distinct()
     return evaluate.reconciliation(required, rows.where(F.col("o_orderkey") % 3 == 0).select("role", "day"))
 
 
+_PAGE_NOTES = "'<h2>' || CASE WHEN page_id % 3 = 0 THEN 'Sección II' ELSE 'Capítulo ' || (page_id % 97 + 1) END || '</h2><p>0 no note</p><p>1. Nota <b>' || page_id || '</b></p><p>que sigue</p><p>2. Otra &amp; más</p><h2>TRANSITORIOS</h2><p>3. fuera</p>'"
+
+
+@_query("""WITH p AS (SELECT page_id, page_id % 3 = 0 AS s, lpad((page_id % 97 + 1)::VARCHAR, 2, '0') AS c FROM pages), n AS (SELECT page_id, s, c, unnest(['1', '2']) AS note_number FROM p)
+  SELECT unnest(CASE WHEN s THEN ['06', '07', '08', '09', '10', '11', '12', '13', '14'] ELSE [c] END) AS chapter, CASE WHEN s THEN 'section' ELSE 'chapter' END AS scope_type, CASE WHEN s THEN 'II' ELSE c END AS scope_value, note_number,
+    CASE note_number WHEN '1' THEN 'Nota ' || page_id || ' que sigue' ELSE 'Otra & más' END AS text, 'p-' || page_id AS source_document_id FROM n""")
+def notes_of_pages(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "pages").select(F.concat(F.lit("p-"), F.col("page_id").cast("string")).alias("source_document_id"), F.expr(_PAGE_NOTES).alias("html"))
+    return html.national_notes(rows)
+
+
+@_query("""WITH p AS (SELECT page_id, page_id % 3 = 0 AS s, lpad((page_id % 97 + 1)::VARCHAR, 2, '0') AS c FROM pages), n AS (SELECT page_id, s, c, unnest(['1', '2']) AS note_number FROM p WHERE s OR c = '07')
+  SELECT note_number, CASE WHEN s THEN 'section' ELSE 'chapter' END AS scope_type, CASE note_number WHEN '1' THEN 'Nota ' || page_id || ' que sigue' ELSE 'Otra & más' END AS text, 'p-' || page_id AS source_document_id FROM n""")
+def notes_by_chapter(spark: SparkSession, d: str) -> DataFrame:
+    return views.notes_of_chapter(notes_of_pages(spark, d), "07").select("note_number", "scope_type", "text", "source_document_id")
+
+
+@_query(f"""WITH {TREE_SQL} SELECT code, level, CASE WHEN length(code) < 8 THEN 'hs_version' WHEN length(code) = 8 THEN 'fraction_version' ELSE 'nico_version' END AS "table" FROM tree""")
+def level_routing(spark: SparkSession, d: str) -> DataFrame:
+    return hierarchy.in_level_order(hierarchy.routed(inputs.tree(spark, d).select("code", "level")))
+
+
+_LISTS = """CASE event_id % 6 WHEN 0 THEN '["a", "b-' || user_id || '"]' WHEN 1 THEN '{"a": 1}' WHEN 2 THEN '[1, "a"]' WHEN 3 THEN '[]' WHEN 4 THEN 'no json' END"""
+
+
+@_query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'a,b-' || user_id WHEN 3 THEN '' END AS ids, event_id % 6 = 0 AS has_a FROM events""")
+def json_id_list(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").select("event_id", F.expr(_LISTS).alias("j"))
+    return rows.select("event_id", F.array_join(lists.id_list(F.col("j")), ",").alias("ids"), lists.listed(F.col("j"), F.lit("a")).alias("has_a"))
+
+
+@_query("""WITH r AS (SELECT strftime(o_orderdate, 'data-%Y.%m.%d') AS tag, o_orderdate::DATE AS day FROM orders WHERE o_orderstatus <> 'F' AND o_orderkey % 5 <> 0 AND o_orderkey % 4 = 0)
+  SELECT DISTINCT tag, day FROM r WHERE day = (SELECT max(day) FROM r)""")
+def newest_release(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(F.when(key % 4 == 0, F.date_format("o_orderdate", "'data-'yyyy.MM.dd")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("tag"), (F.col("o_orderstatus") == "F").alias("draft"), (key % 5 == 0).alias("prerelease"))
+    return evaluate.newest_release(rows).select("tag", "day")
+
+
+@_query("""WITH b(code, allowed) AS (VALUES ('purchase', 3), ('view', 1000000000)), n AS (SELECT event_type AS code, count(*) AS n FROM events GROUP BY 1)
+  SELECT code, n, coalesce(allowed, 0)::BIGINT AS allowed FROM n LEFT JOIN b USING (code) WHERE n > coalesce(allowed, 0)""")
+def error_budget(spark: SparkSession, d: str) -> DataFrame:
+    budget = spark.createDataFrame([("purchase", 3), ("view", 1_000_000_000)], "code string, allowed long")
+    return evaluate.over_budget(table(spark, d, "events").select(F.col("event_type").alias("code")), budget)
+
+
+@_query(f"""WITH {TREE_SQL}, r AS (SELECT level, CASE right(code, 1) WHEN '1' THEN 'fraccion8' WHEN '2' THEN 'hs6' END AS v FROM tree WHERE level IN ('fraccion8', 'nico10'))
+  SELECT count(*) FILTER (v <> 'fraccion8') AS built, count(*) FILTER (v IS DISTINCT FROM 'fraccion8') AS certified FROM r""")
+def value_origin(spark: SparkSession, d: str) -> DataFrame:
+    last = F.substring("code", -1, 1)
+    none = F.lit(None).cast("string")
+    rows = inputs.tree(spark, d).where(F.length("code") >= 8).select("level", "code", F.when(last == "1", "fraccion8").when(last == "2", "hs6").alias("values_from_level"), *[none.alias(c) for c in ("unit_code", "igi_text", "ige_text")])
+    n = lambda c: F.count(F.when(c, 1))
+    return rows.agg(n(validate.row_checks()["invalid_value_origin"]).alias("built"), n(validate.certified_origin()).alias("certified"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -1,6 +1,7 @@
 """Serving tables: releases partitioned by tag, and a pointer of one row that is switched last.
 
-Parquet has no transactions: a tag's rows are written whole before the pointer names it, and readers go through the pointer.
+Parquet has no transactions: a tag's rows are written whole before the pointer names it, and readers go through the pointer. Pointers are
+numbered and added, never overwritten, and the last whole one holds; so a stop at any time leaves the release active that was.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ def promote(records: DataFrame, tag: str, root: str, *, generated_at: str, expec
     known = _exists(spark, f"{root}/releases") and not spark.read.parquet(f"{root}/releases").where(F.col("release_tag") == tag).isEmpty()
     if not known:
         row.write.mode("append").parquet(f"{root}/releases")
-    row.select("release_tag").coalesce(1).write.mode("overwrite").parquet(f"{root}/active")
+    row.select("release_tag").coalesce(1).write.parquet(f"{root}/active/{max(_pointers(spark, root), default=0) + 1:010d}")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -43,10 +44,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _pointers(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the pointers that are whole."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/active")
+    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(top):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(top)]
+    return [int(n) for n in names if n.isdigit() and _exists(spark, f"{root}/active/{n}/_SUCCESS")]
+
+
 def active_tag(spark: SparkSession, root: str) -> str:
-    if not _exists(spark, f"{root}/active"):
+    whole = _pointers(spark, root)
+    if not whole:
         raise PromotionError("no release is active")
-    return spark.read.parquet(f"{root}/active").first().release_tag
+    return spark.read.parquet(f"{root}/active/{max(whole):010d}").first().release_tag
 
 
 def active_records(spark: SparkSession, root: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.evaluate import provenance_lists
+from ..operators.hierarchy import chapter_code
 
 
 def public_view(records: DataFrame, provenance: DataFrame, sources: DataFrame) -> DataFrame:
@@ -27,6 +28,18 @@ def indicators_view(indicators: DataFrame, methodologies: DataFrame) -> DataFram
     return indicators.join(methodologies, "methodology_id", "left")
 
 
+def notes_of_chapter(view: DataFrame, chapter: str) -> DataFrame:
+    """A chapter's notes in their order; every null place is explicit. Raises for what isn't two digits."""
+    order = [F.asc_nulls_last(c) for c in ("note_number", "scope_type", "scope_value", "source_document_id", "national_note_version_id") if c in view.columns]
+    return view.where(F.col("chapter") == chapter_code(chapter)).orderBy(*order)
+
+
+def register(views: dict[str, DataFrame]) -> None:
+    """Names the views in their session, for SQL."""
+    for name, view in views.items():
+        view.createOrReplaceTempView(name)
+
+
 def note_tables(notes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Parsed notes as three tables (note, version, applicability) with identifiers from their content."""
     from ..functions.hashing import surrogate

@@ -1,46 +1,154 @@
 """HTML sources: links, iframes, tables, national notes, fraction sheets, document ledgers.
 
-Simple extraction is done with regular expressions in the JVM; nested tables go through an Arrow UDF over a small parser of the
-standard library. Every extractor is a column function or a DataFrame operator, so pages are parsed where they are.
+Pages go through Arrow UDFs over small parsers of the standard library, which yield lines, links and tables; what follows from these is
+column functions, windows and joins. Every extractor is a column function or a DataFrame operator, so pages are parsed where they are.
 """
 
 from __future__ import annotations
 
 import html as entities
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import codes, dates, text
 from ..operators.hierarchy import section_chapters
+from ..workers import ready
 
-HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>"""
-FRAME = r"""(?is)<iframe\s[^>]*?src\s*=\s*["']([^"']*)["'][^>]*>"""
+#: Elements whose start or end ends a line of text, and those whose content is no text.
+BLOCKS = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "tr", "br", "table", "ul", "ol"}
+SILENT = {"script", "style"}
 
 
-def absolute(link: Column, base: Column) -> Column:
-    """A link resolved against its page's address (scheme, host and folder; ``..`` isn't folded)."""
-    site = F.regexp_extract(base, r"\A([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
-    folder = F.regexp_replace(F.regexp_replace(F.regexp_replace(base, r"[?#].*\z", ""), r"\A([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*)\z", "$1/"), r"/[^/]*\z", "/")
-    return (
-        F.when(link.rlike(r"\A[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(F.regexp_extract(base, r"\A([^:]*:)", 1), link))
-        .when(link.startswith("/"), F.concat(site, link))
-        .when(link.startswith("#") | link.startswith("?"), F.concat(F.regexp_replace(base, r"[?#].*\z", ""), link))
-        .otherwise(F.concat(folder, link))
-    )
+class _Page(HTMLParser):
+    """Lines of text, and links with their labels, headings and table rows, of one page."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.lines: list[list[str]] = [[]]
+        self.links: list[dict] = []
+        self.heading, self.row, self.silent = "", -1, 0
+        self.label: list[str] | None = None
+        self.head: list[str] | None = None
+        self.row_text: list[list[str]] = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in SILENT:
+            self.silent += 1
+        if tag in BLOCKS:
+            self.lines.append([])
+        if tag == "tr":
+            self.row += 1
+            self.row_text.append([])
+        if tag in ("td", "th") and self.row_text:
+            self.row_text[-1].append(" ")
+        if len(tag) == 2 and tag[0] == "h" and tag[1].isdigit():
+            self.head = []
+        at = {"a": "href", "iframe": "src"}.get(tag)
+        address = next((v for k, v in attrs if k == at and v), None) if at else None
+        if address is not None:
+            self.label = []
+            self.links.append({"kind": tag, "href": address.strip(), "label": self.label, "heading": self.heading, "row": self.row})
+
+    def handle_data(self, data: str) -> None:
+        if self.silent:
+            return
+        self.lines[-1].append(data)
+        for held in (self.label, self.head, self.row_text[-1] if self.row_text else None):
+            if held is not None:
+                held.append(data)
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in SILENT:
+            self.silent = max(0, self.silent - 1)
+        if tag in BLOCKS:
+            self.lines.append([])
+        if tag in ("a", "iframe"):
+            self.label = None
+        if self.head is not None and len(tag) == 2 and tag[0] == "h":
+            self.heading, self.head = " ".join("".join(self.head).split()), None
+
+
+def _read(page: str | None) -> _Page:
+    parser = _Page()
+    parser.feed(page or "")
+    parser.close()
+    return parser
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _lines(pages: pd.Series) -> pd.Series:
+    return pages.map(lambda p: [x for x in (" ".join("".join(line).split()) for line in _read(p).lines) if x])
+
+
+ANCHOR = T.StructType([T.StructField(n, T.IntegerType() if n == "row" else T.StringType()) for n in ("kind", "href", "target", "label", "heading", "row", "title")])
+
+
+@F.pandas_udf(T.ArrayType(ANCHOR))
+def _anchors(pages: pd.Series, urls: pd.Series) -> pd.Series:
+    def one(page: str | None, url: str | None) -> list[dict]:
+        read = _read(page)
+        titles = [" ".join("".join(r).split()) for r in read.row_text]
+        return [{**x, "target": joined(url, x["href"]), "label": " ".join("".join(x["label"]).split()), "title": titles[x["row"]] if x["row"] >= 0 else ""} for x in read.links]
+
+    return pd.Series([one(p, u) for p, u in zip(pages, urls, strict=True)])
+
+
+def joined(base: str | None, link: str) -> str:
+    """A link resolved against its page's address; one that can't be is left as it is."""
+    try:
+        return urljoin(base or "", link)
+    except ValueError:
+        return link
+
+
+def text_lines(html: Column | str) -> Column:
+    """Lines of a page's text in order: character references resolved, single spaces, without scripts and styles."""
+    ready()
+    return _lines(html)
+
+
+def anchors(html: Column | str, url: Column | str) -> Column:
+    """Links and frames of a page in order, with label, the heading before and the text of the table row around (row -1: none)."""
+    ready()
+    return _anchors(html, url)
 
 
 def links(pages: DataFrame, *, html: str = "html", url: str = "url", frames: bool = True) -> DataFrame:
-    """One row for each distinct link of a page, in the order of its first place: ``position``, ``href``, ``target``."""
-    found = F.regexp_extract_all(html, F.lit(HREF), 1)
-    if frames:
-        found = F.concat(found, F.regexp_extract_all(html, F.lit(FRAME), 1))
-    rows = pages.select(*[c for c in pages.columns if c != html], F.posexplode(F.array_distinct(F.transform(found, lambda x: F.trim(x)))).alias("position", "href"))
-    return rows.where("href <> ''").withColumn("target", absolute(F.col("href"), F.col(url)))
+    """One row for each distinct link of a page, in the order of its first place: ``position``, ``href``, ``target``.
+
+    Places on the page itself (``#``) and empty links are left out.
+    """
+    found = F.filter(anchors(html, url), lambda x: (x["href"] != "") & ~x["href"].startswith("#") & (F.lit(frames) | (x["kind"] == "a")))
+    each = F.transform(found, lambda x: F.struct(x["href"].alias("href"), x["target"].alias("target")))
+    rest = [c for c in pages.columns if c != html]
+    return pages.select(*rest, F.posexplode(F.array_distinct(each)).alias("position", "_l")).select(*rest, "position", F.col("_l.href").alias("href"), F.col("_l.target").alias("target"))
+
+
+#: Fixed value: addresses in attributes and scripts of old pages.
+RAW_URL = r"""(?i)(?:href|src|action|location(?:\.href)?)\s*=\s*["']([^"'#]+)["']"""
+
+
+def raw_links(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:
+    """Addresses that attributes or scripts name, each once, in the order of their first place."""
+    found = F.transform(F.array_distinct(F.regexp_extract_all(html, F.lit(RAW_URL), 1)), lambda x: F.trim(x))
+    rows = pages.select(*[c for c in pages.columns if c != html], F.posexplode(found).alias("position", "href"))
+    return rows.withColumn("target", resolved(F.col("href"), F.col(url)))
+
+
+@F.pandas_udf(T.StringType())
+def _resolved(links: pd.Series, bases: pd.Series) -> pd.Series:
+    return pd.Series([None if a is None else joined(b, entities.unescape(a)) for a, b in zip(links, bases, strict=True)])
+
+
+def resolved(link: Column, base: Column) -> Column:
+    """A link resolved against its page's address, ``..`` folded; null stays null."""
+    ready()
+    return _resolved(link, base)
 
 
 def document_links(found: DataFrame, hosts: list[str], suffix: str = ".pdf") -> DataFrame:
@@ -84,36 +192,34 @@ def classified(candidates: DataFrame, registry: list[dict]) -> DataFrame:
     return candidates.withColumn("_r", result).select(*candidates.columns, F.col("_r.dataset_key").alias("dataset_key"), F.col("_r.document_role").alias("document_role"))
 
 
-def plain_lines(html: Column) -> Column:
-    """Text of a page, with line ends for breaks and block ends and the usual entities resolved."""
-    out = F.regexp_replace(html, r"(?is)<(script|style).*?</\1>", " ")
-    out = F.regexp_replace(out, r"(?i)<br\s*/?>|</(p|div|h[1-6]|li|tr)>", "\n")
-    out = unescaped(F.regexp_replace(out, r"<[^>]+>", " "))
-    return F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r"\n{2,}", "\n")
-
-
-@F.pandas_udf(T.StringType())
-def unescaped(texts: pd.Series) -> pd.Series:
-    """Character references resolved; texts without an ampersand pass as they are."""
-    return texts.map(lambda t: t if t is None or "&" not in t else entities.unescape(t))
-
-
-SCOPE = r"(?ium)(?=^[ \t]*(?:Cap[ií]tulo\s+\d{1,2}(?![.\d])|Secci[oó]n\s+[IVXLCDM]+\b|Art[ií]culo\s+|TRANSITORIOS\b))"
+#: How lines begin that name a scope, end the notes, or open a note.
+OF_CHAPTER = r"(?iu)\ACap[ií]tulo\s+(\d{1,2})(?![.\d])"
+OF_SECTION = r"(?iu)\ASecci[oó]n\s+([IVXLCDM]+)\b"
+OF_NOTHING = r"(?iu)\A(?:Art[ií]culo\s+|TRANSITORIOS\b)"
+NOTE = r"\A(\d+)\.\s+"
 
 
 def national_notes(pages: DataFrame, *, html: str = "html", source: str = "source_document_id") -> DataFrame:
     """Numbered notes with their scope, one row for each chapter they apply to: ``chapter``, ``scope_type``, ``scope_value``,
     ``note_number``, ``text``, ``source_document_id``. Section notes apply to all of the section's chapters.
+
+    A line sets the scope, opens a note, or goes on with the note before it; the last scope and the last note before a line are windows over a page's lines.
+    Lines outside of a scope, or before its first note, belong to none. A note without a text is left out.
     """
-    blocks = pages.select(source, F.explode(F.split(plain_lines(F.col(html)), SCOPE)).alias("block"))
-    chapter = F.regexp_extract("block", r"(?iu)Cap[ií]tulo\s+(\d{1,2})(?![.\d])", 1)
-    section = F.upper(F.regexp_extract("block", r"(?iu)Secci[oó]n\s+([IVXLCDM]+)\b", 1))
-    scoped = blocks.select(source, "block", F.when(chapter != "", "chapter").when(section != "", "section").alias("scope_type"), F.when(chapter != "", F.lpad(chapter, 2, "0")).otherwise(section).alias("scope_value"))
-    each = scoped.where("scope_type is not null").select(source, "scope_type", "scope_value", F.explode(F.split("block", r"(?m)(?=^\s*\d+\.\s+)")).alias("note"))
-    notes = each.select(source, "scope_type", "scope_value", F.regexp_extract("note", r"\A\s*(\d+)\.\s+", 1).alias("note_number"), text.single_spaced(F.regexp_replace("note", r"\A\s*\d+\.\s+", "")).alias("text")).where("note_number <> ''")
+    one = lambda pattern: F.regexp_extract("line", pattern, 1)
+    numbered = pages.select(F.monotonically_increasing_id().alias("page"), F.col(source).alias("source"), text_lines(html).alias("lines"))
+    lines = numbered.select("page", "source", F.posexplode("lines").alias("k", "line"))
+    of = lambda kind, value: F.struct(F.lit(kind).alias("type"), value.alias("value"))
+    scope = F.when(one(OF_CHAPTER) != "", of("chapter", F.lpad(one(OF_CHAPTER), 2, "0"))).when(one(OF_SECTION) != "", of("section", F.upper(one(OF_SECTION)))).when(F.col("line").rlike(OF_NOTHING), of("none", F.lit("")))
+    before = Window.partitionBy("page").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    marked = lines.withColumns({"scope": scope, "opens": F.when(scope.isNotNull(), -1).when(one(NOTE) != "", F.col("k"))})
+    placed = marked.withColumns({"scope": F.last("scope", ignorenulls=True).over(before), "note": F.last("opens", ignorenulls=True).over(before), "number": one(NOTE)}).where("note >= 0 and scope.type in ('chapter', 'section')")
+    part = F.struct("k", F.when(F.col("k") == F.col("note"), F.regexp_replace("line", NOTE, "")).otherwise(F.col("line")).alias("line"))
+    notes = placed.groupBy("page", "source", "scope", "note").agg(F.max(F.when(F.col("k") == F.col("note"), F.col("number"))).alias("note_number"), F.array_sort(F.collect_list(part)).alias("parts"))
+    whole = notes.select("source", F.col("scope.type").alias("scope_type"), F.col("scope.value").alias("scope_value"), "note_number", text.single_spaced(F.array_join(F.col("parts.line"), " ")).alias("text")).where("text <> ''")
     to = section_chapters(pages.sparkSession).select(F.col("roman").alias("scope_value"), F.col("chapter").alias("_chapter"))
-    spread = notes.join(F.broadcast(to), "scope_value", "left")  # 97 rows
-    return spread.select(F.when(F.col("scope_type") == "chapter", F.col("scope_value")).otherwise(F.col("_chapter")).alias("chapter"), "scope_type", "scope_value", "note_number", "text", F.col(source).alias("source_document_id")).where("chapter is not null")
+    spread = whole.join(F.broadcast(to), "scope_value", "left")  # 97 rows
+    return spread.select(F.when(F.col("scope_type") == "chapter", F.col("scope_value")).otherwise(F.col("_chapter")).alias("chapter"), "scope_type", "scope_value", "note_number", "text", F.col("source").alias("source_document_id")).where("chapter is not null")
 
 
 class _Tables(HTMLParser):
@@ -146,9 +252,14 @@ class _Tables(HTMLParser):
                 self.tables.append(rows)
 
 
-@F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.StringType()))))
-def tables(pages: pd.Series) -> pd.Series:
+def tables(html: Column | str) -> Column:
     """Tables, rows, cells of each page; blank rows and empty tables are left out."""
+    ready()
+    return _tables(html)
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.StringType()))))
+def _tables(pages: pd.Series) -> pd.Series:
 
     def one(page: str | None) -> list:
         parser = _Tables()
@@ -160,20 +271,60 @@ def tables(pages: pd.Series) -> pd.Series:
 
 
 def fraction_sheet(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:
-    """Third-party sheets: ``code`` (eight digits of the address), rows that begin with the code or an item of it."""
+    """Third-party sheets: ``code`` (eight digits of the address), and rows with the code, or an item of it, in any cell; what follows that cell is
+    the description and the duties."""
     code = F.regexp_extract(file_name(F.col(url)), r"(\d{8})", 1)
-    rows = pages.select(code.alias("code"), F.explode(F.flatten(tables(F.col(html)))).alias("cells"))
-    digits = F.regexp_replace(F.element_at("cells", 1), r"[^0-9]", "")
-    item = F.when(F.length(digits) == 2, codes.nico_code(F.col("code"), digits)).when(F.length(digits).isin(8, 10), digits)
-    at = lambda k: F.try_element_at("cells", F.lit(k))
-    return rows.select("code", item.alias("item"), at(2).alias("description"), at(3).alias("igi"), at(4).alias("ige")).where((F.col("code") != "") & F.col("item").startswith(F.col("code")))
+    rows = pages.select(code.alias("code"), F.explode(F.flatten(tables(html))).alias("cells")).where("code <> ''")
+
+    def item(cell: Column) -> Column:
+        digits = F.regexp_replace(cell, r"[.\s]", "")
+        return F.when(digits.rlike(r"\A\d{2}\z"), codes.nico_code(F.col("code"), digits)).when(digits.rlike(r"\A(?:\d{8}|\d{10})\z") & digits.startswith(F.col("code")), digits)
+
+    # an item of two digits counts in the first cell only, where it can't be a duty
+    found = F.transform("cells", lambda c, k: F.when((k == 0) | (F.length(F.regexp_replace(c, r"[.\s]", "")) > 2), item(c)))
+    placed = rows.withColumn("found", found).withColumn("place", F.array_position(F.transform("found", lambda x: x.isNotNull()), True).cast("int")).where("place > 0")
+    # of a code and an item beside it, the item
+    last = F.when(F.try_element_at("cells", F.col("place") + 1).rlike(r"\A\d{2}\z") & (F.length(F.element_at("found", F.col("place"))) == 8), 1).otherwise(0)
+    beside = placed.withColumn("more", last)
+    own = F.when(F.col("more") == 1, F.concat("code", F.element_at("cells", F.col("place") + 1))).otherwise(F.element_at("found", F.col("place")))
+    at = lambda k: F.try_element_at("cells", F.col("place") + F.col("more") + k)
+    return beside.select("code", own.alias("item"), at(1).alias("description"), at(2).alias("igi"), at(3).alias("ige"))
+
+
+def link_role(label: Column, url: Column) -> Column:
+    """What a link leads to, by its label first and its suffix then; ``label`` folded."""
+    suffix = F.lower(F.regexp_extract(file_name(url), r"(\.[A-Za-z0-9]+)\z", 1))
+    return F.when(label.contains("dof"), "dof").when(label.contains("word") | (suffix == ".doc"), "word").when(suffix == ".pdf", "pdf").otherwise("document")
+
+
+#: Families of file names of the law's own documents.
+LAW_FILES = {"original": r"(?i)^ligie_2022_orig(?:_|$)", "law_reform": r"(?i)^ligie_2022_ref\d+(?:_|$)", "tariff_decree": r"(?i)^ligie_2022_tarifa\d+(?:_|$)"}
+
+
+def file_category(url: Column) -> Column:
+    """The family of a document's file name, or null."""
+    stem = F.regexp_replace(file_name(url), r"\.[^.]*\z", "")
+    out = F.lit(None).cast("string")
+    for name, pattern in LAW_FILES.items():
+        out = F.when(stem.rlike(pattern), name).otherwise(out)
+    return out
+
+
+def title_category(title: Column) -> Column:
+    """The category of a complementary document by its folded title."""
+    return (
+        F.when(title.contains("nota") & title.contains("nacional"), "national_notes").when(title.contains("nico") | title.contains("identificacion comercial"), "nico_agreement")
+        .when(title.contains("correlacion"), "correlation").otherwise("unknown")
+    )
 
 
 def ledger(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:
-    """Links of a legal ledger with the row's text, its date and the link's role."""
-    rows = pages.select(F.col(url), F.posexplode(F.split(html, r"(?i)<tr\b")).alias("row", "part"))
-    plain = text.single_spaced(unescaped(F.regexp_replace("part", r"<[^>]+>", " ")))
-    found = rows.select(url, "row", plain.alias("title"), F.explode(F.regexp_extract_all("part", F.lit(HREF), 1)).alias("href"))
-    name = F.lower(F.col("href"))
-    role = F.when(name.endswith(".pdf"), "pdf").when(name.endswith(".doc") | name.endswith(".docx"), "word").when(name.contains("dof"), "dof").otherwise("page")
-    return found.select(url, "row", "title", absolute(F.col("href"), F.col(url)).alias("target"), role.alias("role"), F.coalesce(dates.numeric_date(F.col("title")), dates.named_date(text.fold(F.col("title")))).alias("day"))
+    """Links in the table rows of a legal ledger: the heading above (``section``), the row's text and date, the link's label, role and category."""
+    each = pages.select(F.col(url), F.explode(F.filter(anchors(html, url), lambda x: (x["row"] >= 0) & (x["kind"] == "a") & ~x["href"].startswith("#"))).alias("x"))
+    rows = each.select(url, F.col("x.row").alias("row"), F.col("x.heading").alias("section"), F.col("x.title").alias("title"), F.col("x.label").alias("label"), F.col("x.target").alias("target"))
+    folded = rows.withColumns({"_label": text.fold("label"), "_title": text.fold("title")})
+    found = folded.withColumns({
+        "role": link_role(F.col("_label"), F.col("target")), "category": F.coalesce(file_category(F.col("target")), title_category(F.col("_title"))),
+        "day": F.coalesce(dates.numeric_date(F.col("title")), dates.named_date(F.col("_title"))),
+    })
+    return found.drop("_label", "_title")

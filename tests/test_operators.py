@@ -207,7 +207,10 @@ PAGE = '<a href="a.pdf">A</a><A class="x" HREF=\'/b/c.xlsx?d=1\'>B</A><iframe sr
 def test_links(spark):
     pages = spark.createDataFrame([("https://s.mx/p/i.html", PAGE)], "url string, html string")
     found = html.links(pages)
-    assert [r.target for r in found.orderBy("position").collect()] == ["https://s.mx/p/a.pdf", "https://s.mx/b/c.xlsx?d=1", "https://s.mx/p/i.html#top", "https://h.mx/f.htm"]
+    assert [r.target for r in found.orderBy("position").collect()] == ["https://s.mx/p/a.pdf", "https://s.mx/b/c.xlsx?d=1", "https://h.mx/f.htm"]
+    odd = spark.createDataFrame([("https://s.mx/p/q/i.html", '<a href=../x.pdf?a=1&amp;b=2>x</a><a href="">e</a><script>var u = "<a href=no>"; location = "old.xls"</script>')], "url string, html string")
+    assert [(r.href, r.target) for r in html.links(odd).collect()] == [("../x.pdf?a=1&b=2", "https://s.mx/p/x.pdf?a=1&b=2")]
+    assert "https://s.mx/p/q/old.xls" in [r.target for r in html.raw_links(odd).collect()]
     assert [r.target for r in html.document_links(found, ["S.MX"]).collect()] == ["https://s.mx/p/a.pdf"]
     registry = [{"dataset_key": "ligie", "pages": ["https://s.mx/p/i.html"], "allowed_hosts": ["s.mx"], "media_types": ["application/pdf"], "families": [("snapshot", ["A.*\\.PDF"])]}]
     rows = html.classified(found.select(F.col("url").alias("page"), "target", html.media_type(F.col("target")).alias("media_type")), registry)
@@ -221,8 +224,20 @@ def test_tables_and_sheets(spark):
     assert [(r.item, r.description, r.igi) for r in html.fraction_sheet(pages).orderBy("item").collect()] == [("01012101", "Puros & vivos", "10"), ("0101210105", "Otros", None)]
 
 
+def test_fractions_after_a_label(spark):
+    page = "<table><tr><td>Fracción</td><td>0101.21.01</td><td>Puros</td><td>10</td></tr><tr><td>0101.21.01</td><td>05</td><td>Otros</td></tr><tr><td>x</td><td>10</td></tr></table>"
+    pages = spark.createDataFrame([("https://v.mx/buildHojas1.01012101.html", page)], "url string, html string")
+    assert [(r.item, r.description, r.igi) for r in html.fraction_sheet(pages).orderBy("item").collect()] == [("01012101", "Puros", "10"), ("0101210105", "Otros", None)]
+
+
+def test_ledger_labels_and_categories(spark):
+    page = '<h3>Leyes</h3><table><tr><td>Original</td><td><a href="ligie_2022_orig_1.pdf">DOF</a><a href="ligie_2022_ref02_1.doc">Word</a></td></tr></table><h3>Otros</h3><table><tr><td>Notas Nacionales 1/2/2023</td><td><a href="n.pdf">PDF</a></td></tr></table>'
+    rows = html.ledger(spark.createDataFrame([("https://d.mx/i.htm", page)], "url string, html string")).collect()
+    assert [(r.section, r.role, r.category, r.day) for r in rows] == [("Leyes", "dof", "original", None), ("Leyes", "word", "law_reform", None), ("Otros", "pdf", "national_notes", dt.date(2023, 2, 1))]
+
+
 def test_ledger(spark):
-    page = '<table><tr><td>Decreto DOF 07-06-2022</td><td><a href="x/l.pdf">pdf</a></td></tr><tr><td>7 de junio de 2023</td><td><a href="http://dof.mx/n">nota</a></td></tr></table>'
+    page = '<table><tr><td>Decreto DOF 07-06-2022</td><td><a href="x/l.pdf">pdf</a></td></tr><tr><td>7 de junio de 2023</td><td><a href="http://dof.mx/n">Nota del DOF</a></td></tr></table>'
     rows = html.ledger(spark.createDataFrame([("https://d.mx/i.htm", page)], "url string, html string")).orderBy("row").collect()
     assert [(r.target, r.role, r.day) for r in rows] == [("https://d.mx/x/l.pdf", "pdf", dt.date(2022, 6, 7)), ("http://dof.mx/n", "dof", dt.date(2023, 6, 7))]
 
