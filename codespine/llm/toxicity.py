@@ -86,7 +86,7 @@ class Part:
 class Model:
     """Bias, and by term a weight and factors (``own``: lines, the weight first), fitted by stochastic gradients with momentum."""
 
-    def __init__(self, rows: list[np.ndarray], y: np.ndarray, *, rounds: int = 8, batch: int = 128, rate: float = 0.5, penalty: float = 1e-4, seed: int = 11):
+    def __init__(self, rows: list[np.ndarray], y: np.ndarray, *, rounds: int = 6, batch: int = 128, rate: float = 0.5, penalty: float = 1e-4, seed: int = 11):
         self.found, place = np.unique(np.concatenate(rows), return_inverse=True)
         place = place.astype(np.int32)
         size, count = len(self.found), np.array([len(r) for r in rows])
