@@ -45,20 +45,26 @@ def scored(records: DataFrame, text: str, *, folded: str = "folded") -> DataFram
     )
 
 
-def ranked(found: DataFrame, *, by_chapter: bool, description: str = "description") -> tuple[DataFrame, list[Column]]:
-    """The rows and their stable order: the chapter's best score first (texts only), then score, code, description."""
-    order = [F.desc("score"), F.asc_nulls_last("code"), F.asc_nulls_last(description)]
-    if by_chapter:
-        found = found.withColumn("_best", F.max("score").over(Window.partitionBy(F.substring("code", 1, 2))))
-        order = [F.desc("_best"), *order]
-    return found, order
+def ranked(found: DataFrame, *, by_chapter: bool, most: int, apart: Column | None = None, description: str = "description") -> tuple[DataFrame, list[Column]]:
+    """The rows and their stable order: the chapter's best score first (texts only), then score, code, description.
+
+    No more than ``most`` rows of a chapter can be among the first ``most`` of all, so others go before the chapters meet (Spark
+    cuts them in each task, before the shuffle), and the best stay. ``apart``: a condition whose two sides keep ``most`` rows each.
+    """
+    own = [F.desc("score"), F.asc_nulls_last("code"), F.asc_nulls_last(description)]
+    if not by_chapter:
+        return found, own
+    chapter = F.substring("code", 1, 2)
+    place = F.row_number().over(Window.partitionBy(chapter, *([] if apart is None else [apart])).orderBy(*own))
+    first = found.withColumn("_place", place).where(F.col("_place") <= most).drop("_place")
+    return first.withColumn("_best", F.max("score").over(Window.partitionBy(chapter))), [F.desc("_best"), *own]
 
 
 def search(records: DataFrame, text: str, *, limit: int, folded: str = "folded", description: str = "description") -> DataFrame:
-    """The first ``limit`` matches. Scores and the chapters' maxima are computed where the rows are; only the top rows meet."""
+    """The first ``limit`` matches. Scores are computed where the rows are; only the first rows of each chapter meet."""
     if limit <= 0:
         raise QueryError("a limit is above zero")
-    found, order = ranked(scored(records, text, folded=folded), by_chapter=code_candidate(text) is None, description=description)
+    found, order = ranked(scored(records, text, folded=folded), by_chapter=code_candidate(text) is None, most=limit, description=description)
     return found.orderBy(*order).limit(limit).drop("_best")
 
 
@@ -69,11 +75,13 @@ def suggest(records: DataFrame, text: str, *, limit: int = 5, ranking: int | Non
     """
     if limit <= 0:
         raise QueryError("a limit is above zero")
-    found, order = ranked(scored(records, text, folded=folded), by_chapter=code_candidate(text) is None, description=description)
+    fraction = F.length("code") == 8
+    kept = {"most": limit, "apart": fraction} if ranking is None else {"most": ranking}
+    found, order = ranked(scored(records, text, folded=folded), by_chapter=code_candidate(text) is None, description=description, **kept)
     if ranking is not None:
         found = found.orderBy(*order).limit(ranking)
-    any_fraction = found.agg(F.coalesce(F.max((F.length("code") == 8).cast("int")), F.lit(0)).alias("_any"))
-    preferred = found.crossJoin(F.broadcast(any_fraction)).where((F.col("_any") == 0) | (F.length("code") == 8))  # one row
+    any_fraction = found.agg(F.coalesce(F.max(fraction.cast("int")), F.lit(0)).alias("_any"))
+    preferred = found.crossJoin(F.broadcast(any_fraction)).where((F.col("_any") == 0) | fraction)  # one row
     return preferred.orderBy(*order).limit(limit).drop("_best", "_any")
 
 

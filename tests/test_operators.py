@@ -110,6 +110,21 @@ def test_tree_questions(records):
         hierarchy.deduplicated(records.select("description", "code"), "description")
 
 
+def test_search_keeps_the_first_rows_of_all_chapters(spark):
+    rows = [(f"{1 + k % 7:02d}" + f"{k * 37 % 90 + 10}" * (k % 4), " ".join(w for n, w in enumerate(("red", "small", "old")) if k * 7 % 11 >> n & 1)) for k in range(180)]
+    df = spark.createDataFrame([(c, t, t) for c, t in rows * 2], "code string, description string, folded string")
+    hits = [(300 + 25 * n + 5 * (n == 2), c, t) for c, t in rows * 2 if (n := ("red" in t) + ("small" in t))]
+    best = {}
+    for n, c, _ in hits:
+        best[c[:2]] = max(n, best.get(c[:2], 0))
+    ordered = [c for n, c, t in sorted(hits, key=lambda h: (-best[h[1][:2]], -h[0], h[1], h[2]))]
+    for limit in (1, 3, 40):
+        found = search.search(df, "red small", limit=limit)
+        assert [r.code for r in found.collect()] == ordered[:limit]
+        assert [r.code for r in search.suggest(df, "red small", limit=limit).collect()] == [c for c in ordered if len(c) == 8][:limit]
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_search(records):
     hits = search.search(records, "0101.21", limit=9).select("code", "score", "match_kind", "confidence").collect()
     assert [(h.code, h.score) for h in hits] == [("010121", 1000), ("01012101", 700), ("0101210100", 700)] and hits[1].confidence == 0.85
