@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, decontaminate, lattice, licences, quality, simhash, tokenfile, toxicity
+from . import align, ann, bpe, chat, counts, decontaminate, lattice, licences, phrases, quality, simhash, tokenfile, toxicity
 from .common import remainder, table
 
 
@@ -82,10 +82,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), limit=1024)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model"))[0]
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=30, top=2000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_ann, op2_chat, op3_token_files, op4_simhash, op5_licences, op6_decontaminate, op7_bpe, op8_quality, op9_lattice, op10_toxicity)
+    every = (
+        op1_ann, op2_chat, op3_token_files, op4_simhash, op5_licences, op6_decontaminate, op7_bpe, op8_quality, op9_lattice, op10_toxicity,
+        op11_token_counts, op12_alignment, op13_collocations,
+    )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": chat.oracle(), "op5_licences": licences.oracle()}
+    return {"op2_chat": chat.oracle(), "op5_licences": licences.oracle(), "op13_collocations": phrases.oracle()}

@@ -92,6 +92,20 @@ def portions(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20
             at = to
 
 
+def gathered(batches: Iterator[pa.RecordBatch], column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes in one column, put together from shorter ones."""
+    held, total = [], 0
+    for batch in portions(batches, column, size):
+        n = pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if held and total + n > size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, total = [], 0
+        held.append(batch)
+        total += n
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def utf8(data: bytes) -> str:
     return data.decode("utf-8", "replace")
 
