@@ -24,7 +24,6 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +33,9 @@ from pyspark.sql import functions as F
 
 from .bpe import _byte_of_char
 from .common import gathered, ready, text_bytes, utf8, written
-from .counts import sentencepiece_lengths, tokenizers_lengths, words
+from .counts import Met, sentencepiece_lengths, tokenizers_lengths, words
 
-PORTION_BYTES = 8 << 20
+PORTION_BYTES = 4 << 20
 KEPT_WORDS, KEPT_CHARS, KEPT_GROUPS = 300_000, 40, 400_000
 LEARNED_AT_ONCE = 20_000
 LINKS_AT_ONCE = 200_000
@@ -87,6 +86,7 @@ class Pair:
         self.keys: list[bytes] = []
         self.shapes: list[tuple[int, int]] = []
         self.texts: list[str] = []
+        self.met = Met()
 
     def group(self, key: bytes, n: int) -> int:
         """The number of a group, a new one where the key is new; ``n``: of its A ids."""
@@ -99,30 +99,40 @@ class Pair:
             self.texts.append(f"{','.join(map(str, a.tolist()))}|{','.join(map(str, b.tolist()))}")
         return got
 
-    def learn(self, new: list[str], known: dict[str, bytes], shown: dict[str, str]) -> None:
-        """Groups of words, each with the space before it. Words that don't come back as the same bytes stay out of ``known``."""
-        encoded = [e.ids for e in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)]
-        pieces = self.b.encode(new, num_threads=1)
-        at_a, at_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        good = [k for k, w in enumerate(new) if b"".join(map(at_a, encoded[k])) == (whole := b" " + w.encode()) == b"".join(map(at_b, pieces[k])) and whole]
-        a = np.fromiter(chain.from_iterable(encoded[k] for k in good), "<u4")
-        b = np.fromiter(chain.from_iterable(pieces[k] for k in good), "<u4")
+    def learn(self, new: list[str]) -> None:
+        """Groups of words, each with the space before it. Words that don't come back as the same bytes stay out.
+
+        Words that neither begin nor end in white space are encoded as one text, since both vocabularies end their tokens between them.
+        """
+        plain = [w for w in new if w and not w[0].isspace() and not w[-1].isspace() and "▁" not in w]
+        rest = [w for w in new if not w or w[0].isspace() or w[-1].isspace() or "▁" in w]
+        if plain and not self.met_groups(plain, " ".join(plain)):
+            rest = new
+        for w in rest:
+            self.met_groups([w], w)
+
+    def met_groups(self, new: list[str], text: str) -> bool:
+        """Keeps the groups of the words that make up a text; False where the text doesn't come back as the same bytes from both."""
+        whole = b" " + text.encode()
+        (encoded,), pieces = self.a.encode_batch_fast([" " + text], add_special_tokens=False), self.b.encode(text, num_threads=1)
+        a, b = np.array(encoded.ids, "<u4"), np.array(pieces, "<u4")
+        if not b"".join(map(self.bytes_a.__getitem__, a.tolist())) == whole == b"".join(map(self.bytes_b.__getitem__, pieces)):
+            return False
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        if not len(good):
-            return
         place = np.searchsorted(end_b, end_a)  # the last ends of both are equal
         cut = np.flatnonzero(end_b[place] == end_a)
         to_a, to_b = cut + 1, place[cut] + 1
         from_a, from_b = np.concatenate([[0], to_a[:-1]]), np.concatenate([[0], to_b[:-1]])
         raw_a, raw_b, group = a.tobytes(), b.tobytes(), self.group
         numbers = [group(n.to_bytes(4, "little") + raw_a[4 * s : 4 * e] + raw_b[4 * t : 4 * u], n) for s, e, t, u, n in zip(from_a.tolist(), to_a.tolist(), from_b.tolist(), to_b.tolist(), (to_a - from_a).tolist(), strict=True)]
-        last = np.cumsum([len(encoded[k]) for k in good])
-        ends = np.searchsorted(to_a, last, "right").tolist()
+        last = np.cumsum([len(w.encode()) + 1 for w in new])
+        ends = np.searchsorted(end_a[cut], last) + 1  # every word ends a group
         packed, texts, start = np.array(numbers, "<u4").tobytes(), self.texts, 0
-        for k, end in zip(good, ends, strict=True):
-            known[new[k]] = packed[4 * start : 4 * end]
-            shown[new[k]] = ";".join([texts[g] for g in numbers[start:end]])
+        for word, end in zip(new, ends.tolist(), strict=True):
+            self.known[word] = packed[4 * start : 4 * end]
+            self.shown[word] = ";".join([texts[g] for g in numbers[start:end]])
             start = end
+        return True
 
     def portion(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Group numbers of all texts, one after the other; how many each text has; each text's digest."""
@@ -130,25 +140,21 @@ class Pair:
             self.clear()
         cut = [words(t) if t else [] for t in texts]
         known, shown = self.known, self.shown
-        new = {w for ws in cut for w in ws if w not in known}
-        kept = [w for w in new if len(w) <= KEPT_CHARS]
-        rare: dict[str, bytes] = {}
-        seen: dict[str, str] = {}
-        for at in range(0, len(kept), LEARNED_AT_ONCE):
-            self.learn(kept[at : at + LEARNED_AT_ONCE], known, shown)
-        long = [w for w in new if len(w) > KEPT_CHARS]
-        for at in range(0, len(long), 256):
-            self.learn(long[at : at + 256], rare, seen)
+        new = list({w for ws in cut for w in ws if w not in known})
+        short, long = [w for w in new if len(w) <= KEPT_CHARS], [w for w in new if len(w) > KEPT_CHARS]
+        for group, size in ((short, LEARNED_AT_ONCE), (long, 256)):
+            for at in range(0, len(group), size):
+                self.learn(group[at : at + size])
         parts, digests = [], []
         for ws in cut:
-            found, listed = list(map(known.get, ws)), None
-            if None in found:
-                found = [known.get(w) or rare.get(w) for w in ws]
-                listed = None if None in found else [shown.get(w) or seen[w] for w in ws]
-            elif ws:
-                listed = map(shown.__getitem__, ws)
-            parts.append(b"" if listed is None else b"".join(found))
-            digests.append("" if listed is None else hashlib.sha256(";".join(listed).encode()).hexdigest())
+            found = list(map(known.get, ws))
+            good = bool(ws) and None not in found
+            parts.append(b"".join(found) if good else b"")
+            digests.append(hashlib.sha256(";".join(map(shown.__getitem__, ws)).encode()).hexdigest() if good else "")
+        for w in new:
+            if len(w) > KEPT_CHARS or not self.met.before(w):
+                known.pop(w, None)
+                shown.pop(w, None)
         return np.frombuffer(b"".join(parts), "<u4").astype(np.int64), np.array([len(p) // 4 for p in parts], np.int64), digests
 
 

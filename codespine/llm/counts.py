@@ -1,8 +1,8 @@
 """Token counts of whole texts, from the tokenizers' own libraries: batches of about the same bytes go through an Arrow function, lengths come back.
 
 A text is split where no token can cross: at a single space between two characters that aren't white space. The space leads the
-piece after it, so pieces are mostly words and come back often; a piece's length is asked of the library once as long as it is kept, and a long
-text is never handed over whole unless it has no such place. Pieces not met before go to the library in calls of about ``CALL_BYTES``.
+piece after it, so pieces are mostly words and come back often; the lengths of pieces met twice are kept, and a long text is never handed over whole
+unless it has no such place. Pieces whose length isn't known go to the library in calls of about ``CALL_BYTES``.
 A vocabulary whose pre-tokenizer, normaliser or pieces don't allow that split gets whole texts, balanced by bytes all the same.
 
 Defined results: null and empty texts have no bytes and no tokens; strings of special tokens inside a text count as the library takes them by default;
@@ -49,12 +49,26 @@ def by_bytes(texts: Iterable[str], size: int = CALL_BYTES) -> Iterator[list[str]
         yield held
 
 
+class Met:
+    """Whether a word was met before, by one bit a hash: words that come once aren't worth keeping. Equal hashes only keep a word too early."""
+
+    def __init__(self, bits: int = 23):
+        self.table, self.mask = bytearray(1 << (bits - 3)), (1 << bits) - 1
+
+    def before(self, word: str) -> bool:
+        at = hash(word) & self.mask
+        was = self.table[at >> 3] >> (at & 7) & 1
+        self.table[at >> 3] |= 1 << (at & 7)
+        return bool(was)
+
+
 class Lengths:
     """Numbers of tokens by one vocabulary file: ``.json`` by the tokenizers library, ``.model`` by sentencepiece."""
 
     def __init__(self, path: str):
         self.encoded, self.splits, self.lead = sentencepiece_lengths(path) if path.endswith(".model") else tokenizers_lengths(path)
         self.known: dict[str, int] = {}
+        self.met = Met()
 
     def ask(self, texts: Iterable[str]) -> list[int]:
         return [n for call in by_bytes(texts) for n in self.encoded(call)]
@@ -64,15 +78,17 @@ class Lengths:
             return self.ask(texts)
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
+            self.met = Met()
         cut = [words(t) if t else [] for t in texts]
         first = self.ask([w[0] for w in cut if w]) if self.lead else None  # a text's first word has no space before it
         rest = [w[1:] for w in cut] if self.lead else cut
-        known, rare = self.known, {}
-        new = {w for ws in rest for w in ws if w not in known}
-        for group, into in (([w for w in new if len(w) <= KEPT_CHARS], known), ([w for w in new if len(w) > KEPT_CHARS], rare)):
-            into.update(zip(group, self.ask([self.lead + w for w in group]), strict=True))
-        get = known.__getitem__ if not rare else lambda w: known[w] if w in known else rare[w]
-        counts = [sum(map(get, ws)) for ws in rest]
+        known = self.known
+        new = list({w for ws in rest for w in ws if w not in known})
+        known.update(zip(new, self.ask([self.lead + w for w in new]), strict=True))
+        counts = [sum(map(known.__getitem__, ws)) for ws in rest]
+        for w in new:
+            if len(w) > KEPT_CHARS or not self.met.before(w):
+                del known[w]
         if first is not None:
             heads = iter(first)
             counts = [n + (next(heads) if w else 0) for n, w in zip(counts, cut, strict=True)]
