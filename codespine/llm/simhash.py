@@ -30,9 +30,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, slices, text_bytes, written
+from .common import free_name, ready, slices, text_bytes, written
 from .components import components, forest
-from .similar import SAMPLE, data_of, frequent, gram_set, node_of, prefix, shingled, similar_links
+from .similar import NODES_SENT, SAMPLE, data_of, frequent, gram_set, node_of, prefix, shingled, similar_links
 
 BUCKET = 1024
 SEED = 42
@@ -271,10 +271,23 @@ def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similar
 
 
 def deduplicated(docs: DataFrame, *, width: int = 5, radius: int = 4, similarity: float | None = 0.8) -> DataFrame:
-    """One document of each component: that with the smallest id. The columns stay.
+    """One row of each component: that with the smallest id, and of several such rows that with the smallest hash of its columns. The columns stay.
 
-    ``doc_id`` names a document: rows that repeat one are copies, of which one stays. Rows without an id all stay.
+    Rows that share an id and differ in a column are documents of their own: alike ones are one component, others all stay.
+    Rows equal in all columns are one document (columns of maps don't count). Rows without an id all stay.
+    Ids and hashes decide; texts move between tasks only if more than ``NODES_SENT`` rows go, and once then.
     """
-    found = near_duplicates(docs, width=width, radius=radius, similarity=similarity)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    row = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind])
+    named = docs.select(F.when(F.col("doc_id").isNotNull(), F.struct(F.col("doc_id").alias("id"), row.alias("row"))).alias("doc_id"), "text")
+    found = near_duplicates(named, width=width, radius=radius, similarity=similarity).where("doc_id IS NOT NULL")
+    decided = written(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.first("component_id").alias("component_id")))
+    column = free_name(docs, "row_hash")
+    of = decided.select(F.col("doc_id.id").alias("doc_id"), F.col("doc_id.row").alias(column), "n", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    gone, several = of.where("NOT kept").drop("n", "kept"), of.where("kept AND n > 1").drop("n", "kept")
+    sent = lambda x: F.broadcast(x) if x.count() <= NODES_SENT else x
+    left = docs.withColumn(column, row).join(sent(gone), ["doc_id", column], "left_anti")
+    if several.isEmpty():
+        return left.select(*docs.columns)
+    several = sent(several)
+    once = left.join(several, ["doc_id", column], "left_semi").dropDuplicates(["doc_id", column])
+    return left.join(several, ["doc_id", column], "left_anti").unionByName(once).select(*docs.columns)
