@@ -2,49 +2,29 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..workers import ready
+from . import folding
 
 #: Words that say nothing about a description.
 STOPWORDS = ("de", "la", "el", "los", "las", "y", "o", "a", "en", "para", "con", "sin", "del", "al", "por", "un", "una", "que", "se", "su")
 NAME_LENGTH = 120
 
 
-def unmarked(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
-
-
-@F.pandas_udf(T.StringType())
-def _case_kept(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: "" if t is None else t if t.isascii() and " ".join(t.split()) == t else unmarked(" ".join(t.split())))
-
-
-@F.pandas_udf(T.StringType())
-def _search_form(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: "" if t is None else " ".join(unmarked(t).casefold().split()))
-
-
 def fold_case_kept(texts: Column | str) -> Column:
-    """Single spaces, compatibility forms resolved, marks stripped; null is empty. Spark has no such normalisation."""
-    ready()
-    return _case_kept(texts)
+    """Single spaces, compatibility forms resolved, marks stripped; null is empty."""
+    return folding.case_kept(F.col(texts) if isinstance(texts, str) else texts)
 
 
 def fold(texts: Column | str) -> Column:
     """The search form: as above, and full case folding (``ß`` becomes ``ss``)."""
-    ready()
-    return _search_form(texts)
+    return folding.search_form(F.col(texts) if isinstance(texts, str) else texts)
 
 
 def folded(text: str) -> str:
     """The search form of a query text, on the driver."""
-    return " ".join(unmarked(text).casefold().split())
+    return " ".join(folding.unmarked(text).casefold().split())
 
 
 def single_spaced(text: Column) -> Column:

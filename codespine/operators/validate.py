@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -44,6 +44,59 @@ def single_pass(records: DataFrame, checks: dict[str, Column] | None = None) ->
     return records.agg((F.count("*") - F.count_distinct("record_id")).alias("duplicate_record_ids"), *counts)
 
 
+def written_with_counts(records: DataFrame, path: str, checks: dict[str, Column] | None = None, *, key: str = "record_id") -> dict[str, int]:
+    """Writes the records to ``path`` and returns the counts of :func:`single_pass`, taken by the pass that writes.
+
+    The counts are observed metrics, so the records aren't read again. Metrics can't count distinct keys, so a key's rows are
+    numbered first, and all but its first count (rows without a key all count).
+    """
+    again = (F.row_number().over(Window.partitionBy(key).orderBy(key)) > 1) | F.col(key).isNull()
+    seen = Observation()
+    counts = [F.count(F.when(condition, 1)).alias(name) for name, condition in (checks or row_checks()).items()]
+    flagged = records.withColumn("_again", again).observe(seen, F.count(F.when(F.col("_again"), 1)).alias("duplicate_record_ids"), *counts)
+    flagged.drop("_again").write.parquet(path)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def published(records: DataFrame, path: str, checks: dict[str, Column] | None = None) -> DataFrame:
+    """Writes records beside ``path`` and renames them to it if every row-local invariant holds; else raises and leaves nothing at ``path``."""
+    spark, stage = records.sparkSession, f"{path}.staging"
+    where = spark._jvm.org.apache.hadoop.fs.Path
+    files = where(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(where(path)):
+        raise ValidationError(f"{path} is there already")
+    files.delete(where(stage), True)
+    counts = written_with_counts(records, stage, checks)
+    if any(counts.values()):
+        files.delete(where(stage), True)
+    require(counts)
+    files.rename(where(stage), where(path))
+    return spark.read.schema(records.schema).parquet(path)
+
+
+#: Levels and the level that their parent has, with the check that finds those without.
+PARENT_CHECKS = {
+    "current_nico_without_parent": ("nico10", "fraccion8"), "fraction_without_hs6_parent": ("fraccion8", "hs6"),
+    "hs6_without_hs4_parent": ("hs6", "hs4"), "hs4_without_hs2_parent": ("hs4", "hs2"),
+}
+
+
+def without_parents(records: DataFrame) -> DataFrame:
+    """``check`` and the rows of :func:`without_parent` for all levels, by one anti join on (parent level, parent code, version)."""
+    current = records.where("is_current")
+    child = F.create_map(*[F.lit(x) for name, (level, _) in PARENT_CHECKS.items() for x in (level, name)])
+    up = F.coalesce(*[F.when(F.col("level") == level, F.struct(F.lit(parent).alias("level"), F.col(parent).alias("code"))) for level, parent in PARENT_CHECKS.values()])
+    rows = current.where(F.col("level").isin([level for level, _ in PARENT_CHECKS.values()])).withColumns({"check": F.element_at(child, F.col("level")), "_up": up})
+    have = current.select(F.struct("level", "code").alias("_up"), "ligie_version")
+    return rows.join(have, ["_up", "ligie_version"], "left_anti").drop("_up")
+
+
+def note_cardinality(versions: DataFrame, applicability: DataFrame) -> DataFrame:
+    """Note versions that don't apply to exactly one chapter: ``national_note_version_id``, ``n``."""
+    n = applicability.groupBy("national_note_version_id").agg(F.count("applicability_id").alias("n"))
+    return versions.join(n, "national_note_version_id", "left").select("national_note_version_id", F.coalesce("n", F.lit(0)).alias("n")).where("n <> 1")
+
+
 def without_parent(records: DataFrame, level: str, parent_level: str) -> DataFrame:
     """Current records of a level whose parent of the same version isn't current."""
     current = records.where("is_current")
@@ -100,8 +153,7 @@ def report(records: DataFrame, provenance: DataFrame, notes: DataFrame | None =
         "nico_parent_value_mismatch": value_mismatches(records, INHERITED).count(),
     }
     if notes is not None and applicability is not None:
-        n = applicability.groupBy("national_note_version_id").agg(F.count("applicability_id").alias("n"))
-        out["national_note_applicability_cardinality"] = notes.join(n, "national_note_version_id", "left").where(F.coalesce("n", F.lit(0)) != 1).count()
+        out["national_note_applicability_cardinality"] = note_cardinality(notes, applicability).count()
     return {k: int(v) for k, v in out.items()}
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, dates, duty, hashing, lists, text, trade
 from ..operators import consolidate, diff, evaluate, hierarchy, search, validate
 from ..sources import html
-from . import inputs, views
+from . import inputs, records_catalog, views
 from .inputs import CLASSIFICATION_SQL, RATE_SQL, TREE_SQL, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +223,10 @@ def search_text_topk(spark: SparkSession, d: str) -> DataFrame:
     return search.search(_nodes(spark, d), _TEXT, limit=50).select(*_HIT)
 
 
+_SQL["search_indexed"] = _SQL["search_text_topk"]
+_QUERIES["search_indexed"] = records_catalog.search_indexed
+
+
 @_query(f"WITH {_search_sql(['07'], '07')} SELECT * FROM scored ORDER BY score DESC, code, description LIMIT 50")
 def search_code_topk(spark: SparkSession, d: str) -> DataFrame:
     return search.search(_nodes(spark, d), "07", limit=50).select(*_HIT)
@@ -490,8 +494,8 @@ def value_origin(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return _QUERIES | records_catalog.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return _SQL | records_catalog.SQL

@@ -76,3 +76,42 @@ def duty_text(k: Column) -> Column:
 
 def duty_sql(k: str) -> str:
     return f"list_extract({list(LITERALS)!r}, ({k} % {len(LITERALS)} + 1)::INT)"
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree as public records, with breaches of every invariant at places that the code's number gives."""
+    k, n = F.col("code").cast("bigint"), F.length("code")
+    at = lambda by, rest: k % by == rest
+    head = lambda w: F.when(n >= w, F.substring("code", 1, w))
+    kind = F.when(n >= 8, F.element_at(F.array(*map(F.lit, ("ad_valorem", "exento", "prohibida", "especifica"))), (k % 4 + 1).cast("int")))
+    start = F.when(~at(11, 0), F.date_add(F.lit("2020-01-01").cast("date"), (k % 400).cast("int")))
+    return tree(spark, sf_dir).select(
+        F.when(at(97, 5), F.concat(F.lit("r"), (k % 7).cast("string"))).otherwise(F.concat(F.lit("r-"), "code")).alias("record_id"), "code", "level",
+        F.when(at(89, 3), "  ").otherwise(F.col("description")).alias("description"), head(2).alias("hs2"),
+        F.when(at(101, 7) & (n >= 4), "9999").otherwise(head(4)).alias("hs4"), head(6).alias("hs6"), head(8).alias("fraccion8"), head(10).alias("nico10"),
+        F.when(n == 10, F.substring("code", 9, 2)).alias("nico2"), F.when(~at(103, 1), F.concat(F.lit("v"), (k % 100 % 2).cast("string"))).alias("ligie_version"),
+        F.lit("d1").alias("dataset_version"), F.lit("2").alias("schema_version"), (k % 10 != 9).alias("is_current"),
+        F.when((n >= 8) & at(53, 2), "hs6").when((n >= 8) & ~at(59, 4), "fraccion8").when((n < 8) & at(61, 8), "hs4").alias("values_from_level"),
+        F.when(n >= 8, F.concat(F.lit("u"), (k % 3).cast("string"))).alias("unit_code"), kind.alias("igi_text"), kind.alias("igi_kind"),
+        F.when((kind == "ad_valorem") | at(73, 2), F.lit("1.5").cast("decimal(18,6)")).alias("igi_value"),
+        *[F.lit(None).cast("string").alias(c) for c in ("ige_text", "ige_kind")], F.lit(None).cast("decimal(18,6)").alias("ige_value"),
+        start.alias("effective_from"), F.date_add(start, (100 - k % 130).cast("int")).alias("effective_to"),
+        F.lit('["a","b"]').alias("source_document_ids_json"), F.when(at(71, 6), 3).otherwise(2).cast("bigint").alias("source_count"),
+        F.when(at(83, 2), " ").otherwise("DOF").alias("primary_source_authority"), F.lit("https://example.org/a").alias("primary_source_url"),
+        F.when(~at(67, 3), F.lit("2024-01-01").cast("date")).alias("updated_at"),
+    )
+
+
+RECORDS_SQL = (
+    TREE_SQL
+    + """, numbered AS (SELECT *, code::BIGINT AS k, length(code) AS n, CASE WHEN length(code) >= 8 THEN list_extract(['ad_valorem', 'exento', 'prohibida', 'especifica'], (code::BIGINT % 4 + 1)::INT) END AS kind,
+    CASE WHEN code::BIGINT % 11 <> 0 THEN DATE '2020-01-01' + (code::BIGINT % 400)::INT END AS start FROM tree),
+  records AS (SELECT CASE WHEN k % 97 = 5 THEN 'r' || (k % 7) ELSE 'r-' || code END AS record_id, code, level, CASE WHEN k % 89 = 3 THEN '  ' ELSE description END AS description, left(code, 2) AS hs2,
+    CASE WHEN n >= 4 THEN CASE WHEN k % 101 = 7 THEN '9999' ELSE left(code, 4) END END AS hs4, CASE WHEN n >= 6 THEN left(code, 6) END AS hs6, CASE WHEN n >= 8 THEN left(code, 8) END AS fraccion8,
+    CASE WHEN n = 10 THEN code END AS nico10, CASE WHEN n = 10 THEN right(code, 2) END AS nico2, CASE WHEN k % 103 <> 1 THEN 'v' || (k % 100 % 2) END AS ligie_version, 'd1' AS dataset_version, '2' AS schema_version,
+    k % 10 <> 9 AS is_current, CASE WHEN n >= 8 AND k % 53 = 2 THEN 'hs6' WHEN n >= 8 AND k % 59 <> 4 THEN 'fraccion8' WHEN n < 8 AND k % 61 = 8 THEN 'hs4' END AS values_from_level,
+    CASE WHEN n >= 8 THEN 'u' || (k % 3) END AS unit_code, kind AS igi_text, kind AS igi_kind, CASE WHEN kind = 'ad_valorem' OR k % 73 = 2 THEN 1.5::DECIMAL(18, 6) END AS igi_value,
+    NULL::VARCHAR AS ige_text, NULL::VARCHAR AS ige_kind, NULL::DECIMAL(18, 6) AS ige_value, start AS effective_from, start + (100 - k % 130)::INT AS effective_to, '["a","b"]' AS source_document_ids_json,
+    CASE WHEN k % 71 = 6 THEN 3 ELSE 2 END AS source_count, CASE WHEN k % 83 = 2 THEN ' ' ELSE 'DOF' END AS primary_source_authority, 'https://example.org/a' AS primary_source_url,
+    CASE WHEN k % 67 <> 3 THEN DATE '2024-01-01' END AS updated_at FROM numbered)"""
+)
