@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import cards, consolidate, diff, hierarchy, search_index, validate
+from ..sources import layouts, pages
 from ..storage import shared_dir
 from . import inputs, serving
 from .inputs import CLASSIFICATION_SQL, RATE_SQL, RECORDS_SQL, TREE_SQL, table
@@ -195,3 +196,49 @@ def children_of(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"WITH {RECORDS_SQL} SELECT code, description FROM records WHERE level = 'hs2' AND is_current")
 def chapter_list(spark: SparkSession, d: str) -> DataFrame:
     return hierarchy.chapters(inputs.records(spark, d)).select("code", "description")
+
+
+_HEADS = (
+    ("Fracción", "Descripción", "UMT", "IMPORT.", "EXPORT."), ("FRACCION ARANCELARIA", "DESCRIPCION", "", "TASA", ""), ("Fracción", "Descripción", "Unidad", "Tasa", "Tasa"),
+    ("FRACCION", "FRACCION", "DESCRIPCION", "IGI", "IGE"), ("a", "b", "c", "d", "e"),
+)
+_BELOW = (("01012101", "x", "Kg", "10", "Ex."), ("", "", "", "Imp", "Exp"), ("", "", "", "x", "y"), ("01012101", "01", "x", "10", "Ex."), ("01012101", "x", "Kg", "10", "Ex."))
+_LAYOUT = ((5, 2, 3, "ok"), (4, 2, 4, "ok"), (None, None, None, "unresolved"), (None, None, None, "ambiguous"), (None, None, None, "unknown"))
+
+
+@_query("SELECT c_custkey AS file, " + ", ".join(f"CASE c_custkey % 5 {' '.join(f'WHEN {k} THEN {repr(x[at]) if at == 3 else x[at]}' for k, x in enumerate(_LAYOUT) if x[at] is not None)} END AS {name}" for at, name in ((0, "n_columns"), (1, "header_row"), (2, "data_row"), (3, "outcome"))) + " FROM customer")
+def sheet_layouts(spark: SparkSession, d: str) -> DataFrame:
+    row = lambda options: F.element_at(F.array(*[F.array(*map(F.lit, o)) for o in options]), (F.col("c_custkey") % 5 + 1).cast("int"))
+    files = table(spark, d, "customer").select(F.col("c_custkey").alias("file"), F.lit("Hoja1").alias("sheet"), F.lit(0).alias("sheet_at"), F.posexplode(F.array(F.array(F.col("c_name")), row(_HEADS), row(_BELOW))).alias("k", "cells"))
+    found = layouts.layouts(layouts.probed(files.select("file", "sheet", "sheet_at", (F.col("k") + 1).alias("row"), "cells")), "ligie_snapshot")
+    return found.select("file", F.when(F.col("error").isNull(), F.size("columns")).alias("n_columns"), "header_row", "data_row", F.coalesce(F.split_part("error", F.lit(" "), F.lit(1)), F.lit("ok")).alias("outcome"))
+
+
+_BODY_SQL = "coalesce(html, '')"
+for _pattern in pages.SILENT:
+    _BODY_SQL = f"regexp_replace({_BODY_SQL}, '{_pattern}', ' ', 'g')"
+
+
+@_query(f"""WITH t AS (SELECT page_id, generate_subscripts(l, 1) - 1 AS position, unnest(l) AS t FROM (SELECT page_id, regexp_extract_all({_BODY_SQL}, '{pages.TAG}', 1) AS l FROM pages)),
+  e AS (SELECT page_id, position, lower(ltrim(t, '/')) AS tag, CASE WHEN starts_with(t, '/') THEN -1 ELSE 1 END AS step FROM t WHERE lower(ltrim(t, '/')) IN {pages.PAIRED!r}),
+  o AS (SELECT *, sum(step) OVER (PARTITION BY page_id, tag ORDER BY position) AS open, sum(step) OVER (PARTITION BY page_id ORDER BY position) AS depth, CASE WHEN step = 1 AND regexp_matches(tag, '^h[1-6]$') THEN right(tag, 1)::INT END AS heading FROM e),
+  p AS (SELECT *, CASE WHEN step = 1 THEN depth ELSE depth + 1 END AS level, coalesce(heading > last_value(heading IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1, false) AS skips FROM o),
+  m AS (SELECT *, lag(tag) OVER (PARTITION BY page_id, level ORDER BY position) AS partner FROM p), a AS (SELECT page_id, count(*) AS n_tags, max(depth)::BIGINT AS depth, min(open) AS low, max(step = -1 AND partner IS DISTINCT FROM tag) AS crossed, max(skips) AS skips FROM m GROUP BY 1),
+  s AS (SELECT page_id, max(abs(n)) AS stays FROM (SELECT page_id, tag, sum(step) AS n FROM e GROUP BY ALL) GROUP BY 1)
+  SELECT page_id, coalesce(n_tags, 0) AS n_tags, coalesce(depth, 0) AS depth, CASE WHEN strlen(coalesce(html, '')) < {pages.MIN_BYTES} THEN 'small' WHEN NOT ({" OR ".join(f"contains(lower(coalesce(html, '')), '{m}')" for m in pages.MARKERS)}) THEN 'not_html' WHEN low < 0 OR stays > 0 THEN 'unbalanced' WHEN crossed THEN 'crossed' WHEN skips THEN 'heading_skipped' ELSE 'ok' END AS reason
+  FROM pages LEFT JOIN a USING (page_id) LEFT JOIN s USING (page_id)""")
+def page_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return pages.verdicts(table(spark, d, "pages"))
+
+
+_ADDRESS = r"""regexp_extract(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)"""
+
+
+@_query(rf"""WITH RECURSIVE p AS (SELECT page_id, {_ADDRESS} AS url, html FROM pages), l AS (SELECT DISTINCT url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS target FROM p WHERE url <> ''),
+  walk AS (SELECT DISTINCT url, 0 AS depth FROM p WHERE page_id < 5 AND url <> '' UNION SELECT l.target, depth + 1 FROM walk JOIN l USING (url) WHERE depth < 4 AND l.target <> '')
+  SELECT url, min(depth) AS depth FROM walk GROUP BY 1""")
+def registered_discovery(spark: SparkSession, d: str) -> DataFrame:
+    href = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+    rows = table(spark, d, "pages").select("page_id", F.regexp_extract("html", href, 1).alias("url"), "html").where("url <> ''")
+    targets = rows.select("url", F.explode(F.regexp_extract_all("html", F.lit(href), 1)).alias("target")).where("target <> ''")
+    return pages.discovered(rows, rows.where("page_id < 5"), rounds=4, targets=targets)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, duty
 
 PROBE_ROWS, PROBE_COLUMNS = 20, 30
-#: Headers that stand for a field, most specific first.
+#: Headers that stand for a field in sheets of no registered family (those are in ``layouts``), most specific first.
 ALIASES = {
     "code": ("FRACCION ARANCELARIA", "FRACCION", "CODIGO", "CLAVE"),
     "nico": ("NUMERO DE IDENTIFICACION COMERCIAL", "NICO"),
