@@ -118,10 +118,10 @@ def lookup(records: DataFrame, code: str) -> DataFrame:
     if not (digits.isascii() and digits.isdigit() and len(digits) in codes.LEVELS):
         raise QueryError(f"not a code: {code!r}")
     found = records.where((F.col("code") == digits) & F.col("is_current")).limit(2)
-    n = found.count()
-    if n != 1:
-        raise QueryError(f"{n or 'no'} current records of {digits}" if n < 2 else f"several current records of {digits}")
-    return found
+    rows = found.collect()  # two at most
+    if len(rows) != 1:
+        raise QueryError(f"several current records of {digits}" if rows else f"no current records of {digits}")
+    return records.sparkSession.createDataFrame(rows, found.schema)
 
 
 def chapters(records: DataFrame) -> DataFrame:

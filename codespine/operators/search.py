@@ -18,6 +18,29 @@ def code_candidate(text: str) -> str | None:
     return digits if digits.isascii() and digits.isdigit() and len(digits) <= 10 else None
 
 
+#: The most rows that the serving variants give.
+SEARCH_MOST, SUGGEST_MOST = 50, 20
+
+
+def checked_limit(limit: int, most: int | None = None) -> int:
+    """The limit; raises where it isn't above zero, or above ``most``."""
+    if not isinstance(limit, int) or isinstance(limit, bool) or limit <= 0:
+        raise QueryError("a limit is above zero")
+    if most is not None and limit > most:
+        raise QueryError(f"a limit is {most} at most")
+    return limit
+
+
+def served_search(records: DataFrame, text: str, *, limit: int = 20, **options: str) -> DataFrame:
+    """:func:`search` with the serving variant's limit."""
+    return search(records, text, limit=checked_limit(limit, SEARCH_MOST), **options)
+
+
+def served_suggest(records: DataFrame, text: str, *, limit: int = 5, **options: str) -> DataFrame:
+    """:func:`suggest` with the serving variant's limit and its cut of the ranking before the preference."""
+    return suggest(records, text, limit=checked_limit(limit, SUGGEST_MOST), ranking=SEARCH_MOST, **options)
+
+
 def scored(records: DataFrame, text: str, *, folded: str = "folded") -> DataFrame:
     """Records that match, with ``score``, ``match_kind``, ``matched``, ``confidence`` and ``scorer_version``.
 
@@ -62,8 +85,7 @@ def ranked(found: DataFrame, *, by_chapter: bool, most: int, apart: Column | Non
 
 def search(records: DataFrame, text: str, *, limit: int, folded: str = "folded", description: str = "description") -> DataFrame:
     """The first ``limit`` matches. Scores are computed where the rows are; only the first rows of each chapter meet."""
-    if limit <= 0:
-        raise QueryError("a limit is above zero")
+    checked_limit(limit)
     found, order = ranked(scored(records, text, folded=folded), by_chapter=code_candidate(text) is None, most=limit, description=description)
     return found.orderBy(*order).limit(limit).drop("_best")
 
@@ -73,8 +95,7 @@ def suggest(records: DataFrame, text: str, *, limit: int = 5, ranking: int | Non
 
     ``ranking`` (the serving variant has 50) cuts the ranking before the preference, not after it.
     """
-    if limit <= 0:
-        raise QueryError("a limit is above zero")
+    checked_limit(limit)
     fraction = F.length("code") == 8
     kept = {"most": limit, "apart": fraction} if ranking is None else {"most": ranking}
     found, order = ranked(scored(records, text, folded=folded), by_chapter=code_candidate(text) is None, description=description, **kept)

@@ -309,11 +309,11 @@ _EVENTS = list(diff.JOBS)
 
 
 @_query(f"""WITH route(event_type, step, job) AS (VALUES {", ".join(f"('{e}', {k}, '{j}')" for e, jobs in diff.JOBS.items() for k, j in enumerate(jobs))}),
-  c AS (SELECT event_id AS position, list_extract({_EVENTS!r}, (event_id % {len(_EVENTS)} + 1)::INT) AS event_type FROM events WHERE event_type = 'purchase'),
+  c AS (SELECT event_id AS position, list_extract({_EVENTS!r}, (event_id % {len(_EVENTS)} + 1)::INT) AS event_type FROM events),
   f AS (SELECT job, min((position, step)) AS p FROM c JOIN route USING (event_type) GROUP BY job) SELECT job, p[1] AS position, p[2] AS step FROM f""")
 def change_routing(spark: SparkSession, d: str) -> DataFrame:
     kind = F.element_at(F.array(*map(F.lit, _EVENTS)), (F.col("event_id") % len(_EVENTS) + 1).cast("int"))
-    changes = table(spark, d, "events").where("event_type = 'purchase'").select(F.col("event_id").alias("position"), kind.alias("event_type"))
+    changes = table(spark, d, "events").select(F.col("event_id").alias("position"), kind.alias("event_type"))
     return diff.routed_jobs(changes)
 
 
@@ -326,18 +326,6 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
     return html.links(table(spark, d, "pages"), frames=False).select("page_id", "href")
 
 
-_NOTES = [
-    ("dof-1", "<h2>Sección I</h2><p>Notas nacionales</p><p>1. Los animales vivos.</p><p>2. Dos &amp; tres<br/>líneas.</p><h3>Capítulo 3</h3><p>1. Los peces.</p>"),
-    ("dof-2", "<script>1. nada</script><div>CAPÍTULO 97</div><div>1. Las obras de arte.</div><div>TRANSITORIOS</div><p>1. No cuenta.</p>"),
-]
-_I = [f"('{c:02d}', 'section', 'I', '{n}', '{t}', 'dof-1')" for c in range(1, 6) for n, t in (("1", "Los animales vivos."), ("2", "Dos & tres líneas."))]
-
-
-@_query(f"""SELECT * FROM (VALUES {", ".join(_I)}, ('03', 'chapter', '03', '1', 'Los peces.', 'dof-1'), ('97', 'chapter', '97', '1', 'Las obras de arte.', 'dof-2')) v(chapter, scope_type, scope_value, note_number, text, source_document_id)""")
-def notes_scope_explode(spark: SparkSession, d: str) -> DataFrame:
-    return html.national_notes(spark.createDataFrame(_NOTES, "source_document_id string, html string"))
-
-
 @_query("""SELECT source, lang, doc_id, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY source, lang ORDER BY n_chars DESC NULLS LAST, doc_id) AS k FROM documents) WHERE k = 1""")
 def best_per_key(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select("source", "lang", "doc_id", "n_chars")

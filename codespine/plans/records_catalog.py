@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import hashing, text
 from ..operators import cards, consolidate, diff, hierarchy, search_index, validate
-from ..sources import layouts, pages
+from ..sources import html, layouts, pages
 from ..storage import shared_dir
 from . import inputs, serving
 from .inputs import CLASSIFICATION_SQL, RATE_SQL, RECORDS_SQL, TREE_SQL, table
@@ -242,3 +242,45 @@ def registered_discovery(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "pages").select("page_id", F.regexp_extract("html", href, 1).alias("url"), "html").where("url <> ''")
     targets = rows.select("url", F.explode(F.regexp_extract_all("html", F.lit(href), 1)).alias("target")).where("target <> ''")
     return pages.discovered(rows, rows.where("page_id < 5"), rounds=4, targets=targets)
+
+
+_TEXT_SQL = "'\"' || {0} || '\"'"
+
+
+def _object_sql() -> str:
+    """The canonical JSON of a record: the fields in their order, decimals trimmed, what isn't there null."""
+    kinds = {"is_current": "{0}::VARCHAR", "igi_value": _TEXT_SQL.format("rtrim(rtrim({0}::VARCHAR, '0'), '.')"), "ige_value": _TEXT_SQL.format("rtrim(rtrim({0}::VARCHAR, '0'), '.')"), "effective_from": _TEXT_SQL.format("{0}::VARCHAR"), "effective_to": _TEXT_SQL.format("{0}::VARCHAR"), "updated_at": _TEXT_SQL.format("{0}::VARCHAR")}
+    have = "code level description hs2 hs4 hs6 fraccion8 nico10 nico2 ligie_version dataset_version schema_version is_current values_from_level unit_code igi_text igi_kind igi_value ige_text ige_kind ige_value effective_from effective_to updated_at".split()
+    each = [f"""'"{n}":' || """ + (f"coalesce({kinds.get(n, _TEXT_SQL).format(n)}, 'null')" if n in have else "'null'") for n in hashing.SEMANTIC_FIELDS]
+    return "'{' || " + " || ',' || ".join(each) + " || '}'"
+
+
+@_query(f"WITH {RECORDS_SQL} SELECT code, sha256({_object_sql()}) AS record_hash FROM records")
+def semantic_hashes(spark: SparkSession, d: str) -> DataFrame:
+    return hashing.with_record_hash(inputs.records(spark, d)).select("code", "record_hash")
+
+
+_RATE = "CASE WHEN length(code) = 8 THEN to_json({{text: {0}_text, kind: {0}_kind, value: {0}_value::DOUBLE}})::VARCHAR END AS {0}_json"
+
+
+@_query(f"WITH {RECORDS_SQL} SELECT code, level, description, {_RATE.format('igi')}, {_RATE.format('ige')} FROM records")
+def public_records(spark: SparkSession, d: str) -> DataFrame:
+    rows = serving.public_record(inputs.records(spark, d))
+    return rows.select("code", "level", "description", *[F.to_json(c, {"ignoreNullFields": "false"}).alias(f"{c}_json") for c in ("igi", "ige")])
+
+
+@_query(f"WITH {RECORDS_SQL} SELECT 'data-2024.02.01' AS release_tag, code, level FROM records WHERE is_current AND code::BIGINT % 3 = 0")
+def active_records(spark: SparkSession, d: str) -> DataFrame:
+    rows, root = inputs.records(spark, d).select("code", "level", "is_current"), shared_dir(spark)
+    serving.promote(rows, "data-2024.01.01", root, generated_at="2024-01-01")
+    serving.promote(rows.where(F.col("code").cast("bigint") % 3 == 0), "data-2024.02.01", root, generated_at="2024-02-01")
+    return serving.active_records(spark, root).select("release_tag", "code", "level")
+
+
+_PROBLEMS = "CASE page_id % 5 WHEN 0 THEN '<h2>Sección XXX</h2><p>1. algo</p>' WHEN 1 THEN '<h2>Capítulo 3</h2><p>1. </p><p>2. dos</p>' WHEN 2 THEN '<h2>Capítulo 4</h2><p>1. uno</p><h2>TRANSITORIOS</h2>' ELSE '' END"
+
+
+@_query("""SELECT 'p-' || page_id AS source_document_id, CASE page_id % 5 WHEN 0 THEN 'unknown_section' ELSE 'no_notes' END AS reason, CASE page_id % 5 WHEN 0 THEN 'XXX' END AS scope_value, CASE page_id % 5 WHEN 0 THEN '1' END AS note_number FROM pages WHERE page_id % 5 IN (0, 3, 4)""")
+def note_problems(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "pages").select(F.concat(F.lit("p-"), F.col("page_id").cast("string")).alias("source_document_id"), F.concat(F.expr(_PROBLEMS), "html").alias("html"))
+    return html.note_problems(rows)

@@ -199,27 +199,61 @@ OF_NOTHING = r"(?iu)\A(?:Art[ií]culo\s+|TRANSITORIOS\b)"
 NOTE = r"\A(\d+)\.\s+"
 
 
-def national_notes(pages: DataFrame, *, html: str = "html", source: str = "source_document_id") -> DataFrame:
-    """Numbered notes with their scope, one row for each chapter they apply to: ``chapter``, ``scope_type``, ``scope_value``,
-    ``note_number``, ``text``, ``source_document_id``. Section notes apply to all of the section's chapters.
+class NotesError(ValueError):
+    """A page whose national notes can't all be told."""
 
-    A line sets the scope, opens a note, or goes on with the note before it; the last scope and the last note before a line are windows over a page's lines.
-    Lines outside of a scope, or before its first note, belong to none. A note without a text is left out.
-    """
+
+def _note_lines(pages: DataFrame, html: str, source: str) -> DataFrame:
+    """Lines of pages with the scope and the note that they belong to (windows over a page's lines)."""
     one = lambda pattern: F.regexp_extract("line", pattern, 1)
     numbered = pages.select(F.monotonically_increasing_id().alias("page"), F.col(source).alias("source"), text_lines(html).alias("lines"))
-    lines = numbered.select("page", "source", F.posexplode("lines").alias("k", "line"))
+    lines = numbered.select("page", "source", F.posexplode_outer("lines").alias("k", "line"))
     of = lambda kind, value: F.struct(F.lit(kind).alias("type"), value.alias("value"))
     scope = F.when(one(OF_CHAPTER) != "", of("chapter", F.lpad(one(OF_CHAPTER), 2, "0"))).when(one(OF_SECTION) != "", of("section", F.upper(one(OF_SECTION)))).when(F.col("line").rlike(OF_NOTHING), of("none", F.lit("")))
     before = Window.partitionBy("page").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     marked = lines.withColumns({"scope": scope, "opens": F.when(scope.isNotNull(), -1).when(one(NOTE) != "", F.col("k"))})
-    placed = marked.withColumns({"scope": F.last("scope", ignorenulls=True).over(before), "note": F.last("opens", ignorenulls=True).over(before), "number": one(NOTE)}).where("note >= 0 and scope.type in ('chapter', 'section')")
+    return marked.withColumns({"scope": F.last("scope", ignorenulls=True).over(before), "note": F.last("opens", ignorenulls=True).over(before), "number": one(NOTE)})
+
+
+def _notes(lines: DataFrame) -> DataFrame:
+    """Notes of the lines, those without a text too: ``page``, ``source``, ``scope_type``, ``scope_value``, ``note_number``, ``text``, and the section's ``_chapter``."""
+    placed = lines.where("note >= 0 and scope.type in ('chapter', 'section')")
     part = F.struct("k", F.when(F.col("k") == F.col("note"), F.regexp_replace("line", NOTE, "")).otherwise(F.col("line")).alias("line"))
     notes = placed.groupBy("page", "source", "scope", "note").agg(F.max(F.when(F.col("k") == F.col("note"), F.col("number"))).alias("note_number"), F.array_sort(F.collect_list(part)).alias("parts"))
-    whole = notes.select("source", F.col("scope.type").alias("scope_type"), F.col("scope.value").alias("scope_value"), "note_number", text.single_spaced(F.array_join(F.col("parts.line"), " ")).alias("text")).where("text <> ''")
-    to = section_chapters(pages.sparkSession).select(F.col("roman").alias("scope_value"), F.col("chapter").alias("_chapter"))
+    whole = notes.select("page", "source", F.col("scope.type").alias("scope_type"), F.col("scope.value").alias("scope_value"), "note_number", text.single_spaced(F.array_join(F.col("parts.line"), " ")).alias("text"))
+    to = section_chapters(lines.sparkSession).select(F.col("roman").alias("scope_value"), F.col("chapter").alias("_chapter"))
     spread = whole.join(F.broadcast(to), "scope_value", "left")  # 97 rows
-    return spread.select(F.when(F.col("scope_type") == "chapter", F.col("scope_value")).otherwise(F.col("_chapter")).alias("chapter"), "scope_type", "scope_value", "note_number", "text", F.col("source").alias("source_document_id")).where("chapter is not null")
+    return spread.withColumn("chapter", F.when(F.col("scope_type") == "chapter", F.col("scope_value")).otherwise(F.col("_chapter")))
+
+
+def national_notes(pages: DataFrame, *, html: str = "html", source: str = "source_document_id") -> DataFrame:
+    """Numbered notes with their scope, one row for each chapter they apply to: ``chapter``, ``scope_type``, ``scope_value``,
+    ``note_number``, ``text``, ``source_document_id``. Section notes apply to all of the section's chapters.
+
+    A line sets the scope, opens a note, or goes on with the note before it; the last scope and the last note before a line are windows over a page's lines.
+    Lines outside of a scope, or before its first note, belong to none. Notes without a text and notes of unknown sections are left out here and
+    are rows of :func:`note_problems`; :func:`required_notes` doesn't go on where there are any.
+    """
+    rows = _notes(_note_lines(pages, html, source)).where("text <> '' AND chapter IS NOT NULL")
+    return rows.select("chapter", "scope_type", "scope_value", "note_number", "text", F.col("source").alias("source_document_id"))
+
+
+def note_problems(pages: DataFrame, *, html: str = "html", source: str = "source_document_id") -> DataFrame:
+    """What :func:`national_notes` can't publish: ``source_document_id``, ``reason`` (no_notes, empty_note, unknown_section), ``scope_value``, ``note_number``."""
+    lines = _note_lines(pages, html, source)
+    notes = _notes(lines)
+    reason = F.when(F.col("text") == "", "empty_note").when(F.col("chapter").isNull(), "unknown_section")
+    bad = notes.select("source", reason.alias("reason"), "scope_value", "note_number").where("reason IS NOT NULL").distinct()
+    opened = lines.groupBy("page", "source").agg(F.max(F.coalesce((F.col("note") >= 0) & F.col("scope.type").isin("chapter", "section"), F.lit(False))).alias("some"))
+    none = opened.where("NOT some").select("source", F.lit("no_notes").alias("reason"), F.lit(None).cast("string").alias("scope_value"), F.lit(None).cast("string").alias("note_number"))
+    return bad.unionByName(none).withColumnRenamed("source", "source_document_id")
+
+
+def required_notes(pages: DataFrame, *, html: str = "html", source: str = "source_document_id") -> DataFrame:
+    """The notes of pages that all have notes, all with texts and known scopes; raises otherwise, so that no note of a legal text is lost unseen."""
+    if first := note_problems(pages, html=html, source=source).orderBy("source_document_id", "reason").head(1):
+        raise NotesError(f"{first[0].source_document_id}: {first[0].reason}, scope {first[0].scope_value}, note {first[0].note_number}")
+    return national_notes(pages, html=html, source=source)
 
 
 class _Tables(HTMLParser):

@@ -25,7 +25,9 @@ def ready(spark: SparkSession | None = None) -> None:
     folder = tempfile.mkdtemp(prefix="codespine-")  # read by the driver's file server only
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     archive = f"{folder}/codespine.zip"
-    with zipfile.PyZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-        out.writepy(str(Path(__file__).resolve().parent))
+    package = Path(__file__).resolve().parent
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:  # sources, so nothing is compiled into the package's own folder
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
     spark.sparkContext.addPyFile(archive)
     _SENT.add(spark.sparkContext.applicationId)

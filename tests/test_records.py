@@ -149,3 +149,38 @@ def test_cards(spark):
     hits = cards.suggestions(folded, "breeding other", limit=2, notes=notes).orderBy("rank").collect()
     assert [(h["rank"], h.code, len(h.national_notes)) for h in hits] == [(1, "01012101", 2), (2, "01012102", 2)] and all(h.disclaimer == cards.DISCLAIMER for h in hits)
     assert cards.suggestions(folded, "zzz").count() == 0
+
+
+def test_notes_that_would_be_lost(spark):
+    from codespine.sources import html
+
+    texts = ["<h2>Capítulo 3</h2><p>1. Los peces.</p>", "<h2>Sección XXIX</h2><p>1. algo</p>", "<p>nada</p>", None, "<h2>Capítulo 3</h2><p>1. <b></b></p><h2>Capítulo 4</h2><p>2. dos</p>"]
+    pages = spark.createDataFrame([(f"p{k}", t) for k, t in enumerate(texts)], "source_document_id string, html string")
+    got = {(r.source_document_id, r.reason, r.scope_value) for r in html.note_problems(pages).collect()}
+    assert {("p1", "unknown_section", "XXIX"), ("p2", "no_notes", None), ("p3", "no_notes", None)} <= got and not any(p == "p0" for p, _, _ in got)
+    assert html.required_notes(pages.where("source_document_id = 'p0'")).count() == 1
+    with pytest.raises(html.NotesError, match="p1: unknown_section"):
+        html.required_notes(pages.where("source_document_id < 'p3'"))
+
+
+def test_limits_of_the_serving_variants(spark):
+    from codespine.operators import search
+    from codespine.operators.hierarchy import QueryError
+
+    rows = spark.createDataFrame([("01", "abc", "abc")], "code string, description string, folded string")
+    assert search.served_search(rows, "abc", limit=50).count() == 1 and search.served_suggest(rows, "abc", limit=20).count() == 1
+    for ask, limit in ((search.served_search, 51), (search.served_suggest, 21), (search.served_search, 0)):
+        with pytest.raises(QueryError):
+            ask(rows, "abc", limit=limit)
+
+
+def test_a_read_only_package_goes_to_workers(spark, tmp_path, monkeypatch):
+    import zipfile
+
+    from codespine import workers
+
+    sent = []
+    monkeypatch.setattr(workers, "_SENT", set())
+    monkeypatch.setattr(type(spark.sparkContext), "addPyFile", lambda self, path: sent.append(zipfile.ZipFile(path).namelist()))
+    workers.ready(spark)
+    assert "codespine/workers.py" in sent[0] and "codespine/sources/html.py" in sent[0] and not any(n.endswith(".pyc") for n in sent[0])
