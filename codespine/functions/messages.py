@@ -21,13 +21,25 @@ FAILURES = (
 URL = r"https?://[^\s)\]>\"'`]+"
 
 
-def failure(message: Column) -> Column:
-    """The first category whose phrases a message has, else ``unexpected_error``."""
-    low = F.lower(message)
-    out = None
-    for name, ways in FAILURES:
-        hit = reduce(or_, (reduce(and_, (low.contains(p) for p in way)) for way in ways))
-        out = F.when(hit, name) if out is None else out.when(hit, name)
+#: Kinds of errors that tell a category by themselves, and the category before which they are asked.
+KINDS = (
+    ("source_discovery", "source_network", ("RequestException", "HTTPError", "ConnectionError", "Timeout", "ConnectTimeout", "ReadTimeout", "SSLError", "TooManyRedirects", "InvalidURL", "ChunkedEncodingError")),
+    ("parser", "parser", ("BadZipFile", "XLRDError")),
+    (None, "domain_error", ("ValueError", "OSError", "FileNotFoundError", "PermissionError", "UnicodeDecodeError", "JSONDecodeError", "TimeoutError")),
+)
+
+
+def failure(message: Column, kind: Column | None = None) -> Column:
+    """The first category whose phrases a message has, else ``unexpected_error``; with the error's ``kind`` (its class), kinds are asked in their place too."""
+    low = F.lower(F.coalesce(message, F.lit("")))
+    rules = [(name, reduce(or_, (reduce(and_, (low.contains(p) for p in way)) for way in ways))) for name, ways in FAILURES]
+    if kind is not None:
+        for before, name, classes in KINDS:
+            at = next((k for k, (n, _) in enumerate(rules) if n == before), len(rules))
+            rules.insert(at, (name, F.coalesce(kind.isin(*classes), F.lit(False))))
+    out = F.when(rules[0][1], rules[0][0])
+    for name, hit in rules[1:]:
+        out = out.when(hit, name)
     return out.otherwise("unexpected_error")
 
 

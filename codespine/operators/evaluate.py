@@ -90,6 +90,16 @@ def reconciliation(required: DataFrame, evidence: DataFrame) -> DataFrame:
     return lacking.select(F.concat_ws(":", F.lit("missing_dof_evidence"), "role", F.coalesce(F.col("day").cast("string"), F.lit("None"))).alias("discrepancy"))
 
 
+def discrepancy_report(found: DataFrame, by: str) -> DataFrame:
+    """``by``, ``publishable``, ``error_codes`` (each once, sorted) and ``n`` for each group of ``found`` (``by``, ``discrepancy``; a null is none).
+
+    The codes are few kinds, so sets stay small however many discrepancies a group has.
+    """
+    code = F.split_part("discrepancy", F.lit(":"), F.lit(1))
+    rows = found.groupBy(by).agg(F.count("discrepancy").alias("n"), F.array_sort(F.collect_set(F.when(F.col("discrepancy").isNotNull(), code))).alias("error_codes"))
+    return rows.select(by, (F.col("n") == 0).alias("publishable"), "error_codes", "n")
+
+
 #: Severity of check results.
 SEVERITY = ("pass", "warn", "fail")
 

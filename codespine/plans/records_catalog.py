@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import hashing, text
-from ..operators import cards, consolidate, diff, hierarchy, search_index, validate
+from ..functions import hashing, messages, text, trade
+from ..operators import cards, consolidate, diff, evaluate, hierarchy, search_index, validate
 from ..sources import html, layouts, pages
 from ..storage import shared_dir
 from . import inputs, serving
@@ -284,3 +284,80 @@ _PROBLEMS = "CASE page_id % 5 WHEN 0 THEN '<h2>Sección XXX</h2><p>1. algo</p>'
 def note_problems(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "pages").select(F.concat(F.lit("p-"), F.col("page_id").cast("string")).alias("source_document_id"), F.concat(F.expr(_PROBLEMS), "html").alias("html"))
     return html.note_problems(rows)
+
+
+_REVISIONS_SQL = f"""{TREE_SQL}, cl AS (SELECT code, level, code::BIGINT AS k, CASE WHEN code::BIGINT % 2 = 0 THEN 'observed_snapshot' ELSE 'dated' END AS basis, CASE WHEN code::BIGINT % 3 <> 0 THEN DATE '2020-01-01' + (code::BIGINT % 100)::INT END AS a FROM tree),
+  rate AS (SELECT code AS f8, NULL::DATE AS a, CASE WHEN k % 5 = 0 THEN DATE '2022-01-01' END AS b, 'exento' AS igi_kind, 'r1' AS src FROM cl WHERE length(code) = 8 UNION ALL SELECT code, DATE '2022-01-02', NULL, 'ad_valorem', 'r2' FROM cl WHERE length(code) = 8 AND k % 5 = 0),
+  three AS (SELECT c.code, c.level, c.basis, r.igi_kind, greatest(c.a, r.a) AS a, r.b, 2 AS sources FROM cl c JOIN rate r ON r.f8 = c.code UNION ALL
+    SELECT c.code, c.level, c.basis, r.igi_kind, greatest(c.a, r.a, p.a), r.b, 3 FROM cl c JOIN rate r ON r.f8 = left(c.code, 8) JOIN cl p ON p.code = r.f8 WHERE length(c.code) = 10 UNION ALL SELECT code, level, basis, NULL, a, NULL, 1 FROM cl WHERE length(code) < 8)"""
+
+
+@_query(f"""WITH {_REVISIONS_SQL} SELECT code, level, CASE WHEN length(code) >= 8 THEN 'fraccion8' END AS values_from_level, row_number() OVER (PARTITION BY code ORDER BY a NULLS FIRST, b DESC NULLS LAST)::INT AS record_version, a AS effective_from, b AS effective_to,
+  (a IS NULL OR a <= DATE '2024-01-01') AND (b IS NULL OR b >= DATE '2024-01-01') AND (a IS NOT NULL OR basis = 'observed_snapshot') AS is_current, igi_kind, sources::BIGINT AS source_count FROM three""")
+def consolidated_records(spark: SparkSession, d: str) -> DataFrame:
+    k, none = F.col("code").cast("bigint"), lambda kind: F.lit(None).cast(kind)
+    rows = inputs.tree(spark, d).select(
+        "level", "code", "description", F.lit("v1").alias("ligie_version"), F.when(k % 2 == 0, "observed_snapshot").otherwise("dated").alias("validity_basis"), none("date").alias("updated_at"), none("date").alias("published_at"),
+        F.when(k % 3 != 0, F.date_add(F.lit("2020-01-01").cast("date"), (k % 100).cast("int"))).alias("classification_effective_from"), none("date").alias("classification_effective_to"), F.concat(F.lit("c-"), "code").alias("source_document_id"),
+    )
+
+    def rates(kind: str, start, end, source: str) -> DataFrame:
+        values = {"unit_code": none("string"), "unit_name": none("string"), "igi_text": F.lit(kind), "igi_kind": F.lit(kind), "igi_value": none("decimal(18,6)"), "ige_text": none("string"), "ige_kind": none("string"), "ige_value": none("decimal(18,6)")}
+        return rows.where("level = 'fraccion8'").select("code", "ligie_version", *[c.alias(n) for n, c in values.items()], none("date").alias("updated_at"), none("date").alias("published_at"), start.alias("rate_effective_from"), end.alias("rate_effective_to"), F.lit(source).alias("source_document_id"))
+
+    day = lambda text: F.lit(text).cast("date")
+    every = rates("exento", none("date"), F.when(k % 5 == 0, day("2022-01-01")), "r1").unionByName(rates("ad_valorem", day("2022-01-02"), none("date"), "r2").where(k % 5 == 0))
+    out = consolidate.consolidate(rows, every, effective_as_of="2024-01-01", dataset_version="d1")
+    return out.select("code", "level", "values_from_level", "record_version", "effective_from", "effective_to", "is_current", "igi_kind", "source_count")
+
+
+_MESSAGES = ("Legal reconciliation failed", "SHA256 mismatch", "checksum", "unknown workbook profile", "bad PDF", "row_count differs", "something else", "missing official snapshot")
+_KINDS = ("ValueError", "ReadTimeout", "BadZipFile", "KeyError", "OSError")
+_CATEGORY = ("legal_reconciliation", "checksum", "checksum", "parser_profile", "parser", "validation", None, "source_discovery")
+
+
+@_query(f"""WITH e AS (SELECT event_id, (event_id % {len(_MESSAGES)})::INT AS m, (user_id % {len(_KINDS)})::INT AS t FROM events) SELECT event_id, CASE WHEN m = 0 THEN 'legal_reconciliation' WHEN t = 1 THEN 'source_network' WHEN m IN (7, 1, 2, 3) THEN list_extract({[c or '' for c in _CATEGORY]!r}, m + 1)
+  WHEN t = 2 OR m = 4 THEN 'parser' WHEN m = 5 THEN 'validation' WHEN t IN (0, 4) THEN 'domain_error' ELSE 'unexpected_error' END AS category FROM e""")
+def failure_classes(spark: SparkSession, d: str) -> DataFrame:
+    of = lambda values, c: F.element_at(F.array(*map(F.lit, values)), (F.col(c) % len(values) + 1).cast("int"))
+    return table(spark, d, "events").select("event_id", messages.failure(of(_MESSAGES, "event_id"), of(_KINDS, "user_id")).alias("category"))
+
+
+@_query("""WITH f AS (SELECT o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN 'missing_dof_evidence:' || o_orderstatus WHEN o_orderkey % 7 = 0 THEN 'other' END AS x FROM orders)
+  SELECT o_custkey, count(x) = 0 AS publishable, coalesce(array_to_string(list_sort(list(DISTINCT split_part(x, ':', 1)) FILTER (x IS NOT NULL)), ','), '') AS error_codes, count(x) AS n FROM f GROUP BY 1""")
+def discrepancy_codes(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select("o_custkey", F.when(k % 3 == 0, F.concat(F.lit("missing_dof_evidence:"), "o_orderstatus")).when(k % 7 == 0, "other").alias("discrepancy"))
+    return evaluate.discrepancy_report(rows, "o_custkey").withColumn("error_codes", F.array_join("error_codes", ","))
+
+
+_HAVE_SQL = [f"o_orderkey % {p} <> 0" for p in (2, 3, 5, 7, 11, 13, 17)]
+_CODE_SQL = "CASE o_orderkey % 4 WHEN 0 THEN '' WHEN 1 THEN '0101.21.01' WHEN 2 THEN '0101-2101 00' ELSE '0101' END"
+_URL_SQL = "CASE o_custkey % 5 WHEN 0 THEN 'https://www.snice.gob.mx/a' WHEN 1 THEN 'http://www.snice.gob.mx/a' WHEN 2 THEN 'https://www.snice.gob.mx:8443/a' WHEN 3 THEN 'https://example.org/' ELSE ' https://www.gob.mx/b ' END"
+_OFFICIAL_SQL = "o_custkey % 5 = 0 AND o_orderkey % 6 <> 0 AND o_orderkey % 9 <> 0"
+
+
+def _missing_sql(labels: tuple[str, ...], have: list[str]) -> str:
+    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN NOT coalesce({h}, false) THEN '{x}' END" for x, h in zip(labels, have, strict=True)) + "], lambda x: x IS NOT NULL), '|')"
+
+
+_RRNA_SQL = _missing_sql(trade.RRNA_LABELS, ["o_orderkey % 4 IN (1, 2)", _OFFICIAL_SQL, "true", "o_orderkey % 9 <> 0", _HAVE_SQL[0]])
+_PEDIMENTO_SQL = _missing_sql(trade.PEDIMENTO_LABELS, ["o_orderkey % 4 <> 0", "true", "o_orderkey % 10 <> 0", "o_totalprice > 100000", *_HAVE_SQL[:4], _OFFICIAL_SQL])
+_TMEC_SQL = _missing_sql(trade.TMEC_LABELS, _HAVE_SQL)
+
+
+@_query(f"""WITH x AS (SELECT o_orderkey, o_orderkey % 4 <> 0 AND o_orderkey % 10 <> 0 AS known, {_OFFICIAL_SQL.replace('= 0 AND', '= 4 AND', 1)} AS official, o_custkey % 80 < 40 AS below, {_TMEC_SQL} AS t, {_RRNA_SQL} AS r, {_PEDIMENTO_SQL} AS p FROM orders)
+  SELECT o_orderkey, CASE WHEN NOT known OR NOT official THEN 'evidence_required' WHEN below THEN 'threshold_not_met' WHEN t <> '' THEN 'evidence_required' ELSE 'evidence_review_required' END AS tmec_status, CASE WHEN NOT known OR official THEN t END AS tmec_missing,
+    CASE WHEN r <> '' THEN 'evidence_required' ELSE 'evidence_review_required' END AS rrna_status, r AS rrna_missing, CASE WHEN p = '' THEN 'review_required' ELSE 'incomplete' END AS pedimento_status, p AS pedimento_missing FROM x""")
+def trade_matrices(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_orderkey")
+    have = [k % p != 0 for p in (2, 3, 5, 7, 11, 13, 17)]
+    code, origin, consulted = F.expr(_CODE_SQL), F.when(k % 10 != 0, "US").otherwise(""), F.when(k % 6 != 0, "2026-01-02").otherwise("soon")
+    note = F.when(k % 9 != 0, "note").otherwise(" ")
+    reference = trade.official_reference(F.expr(_URL_SQL), consulted, note, "rrna")
+    t = trade.tmec_orientation(code, origin, (F.col("o_custkey") % 80).cast("double"), F.lit(40.0), trade.official_reference(F.expr(_URL_SQL), consulted, note, "tmec"), have)
+    r = trade.rrna_orientation(code, reference, consulted, note, have[0])
+    p = trade.pedimento_checklist(code, F.lit("A1"), origin, F.col("o_totalprice").cast("double") - 100000, *have[:4], reference)
+    every = {"tmec": t, "rrna": r, "pedimento": p}
+    columns = [c for name, x in every.items() for c in (x["status"].alias(f"{name}_status"), F.array_join(x["missing"], "|").alias(f"{name}_missing"))]
+    return table(spark, d, "orders").select("o_orderkey", *columns)
