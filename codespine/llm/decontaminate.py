@@ -26,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
@@ -214,13 +215,12 @@ def find(auto: Automaton, texts: list[bytes]) -> list[tuple[int, list[tuple[int,
     return [(n, united(hits[k][0]), sorted(hits[k][1])) if k in hits else (n, [], []) for k, n in enumerate(n_words)]
 
 
-def _shared(docs: DataFrame, items: list[Row], window: int):
+def _shared(docs: DataFrame, items: list[Row], window: int) -> Broadcast:
     return docs.sparkSession.sparkContext.broadcast(Automaton(((r[0], bytes(r[1])) for r in items), window))
 
 
-def _scan(docs: DataFrame, items: list[Row], window: int) -> DataFrame:
-    """``key``, ``n_words``, ``spans``, ``items`` against one block of items; ``docs``: key, data."""
-    automaton = _shared(docs, items, window)
+def _scan(docs: DataFrame, automaton: Broadcast) -> DataFrame:
+    """``key``, ``n_words``, ``spans``, ``items`` against one block's automaton; ``docs``: key, data."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, 1):
@@ -248,12 +248,14 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, text
     parts = _blocks(benchmark, item, text, block_bytes)
     rows = docs.select(F.col(key).cast("long").alias("key"), text_bytes(text).alias("data"))
     if len(parts) == 1:
-        return _scan(rows, parts[0].collect(), window).withColumnRenamed("key", key)
+        return _scan(rows, _shared(docs, parts[0].collect(), window)).withColumnRenamed("key", key)
     numbered = written(rows.withColumn("row", F.monotonically_increasing_id()))
-    each = [_scan(numbered.select(F.col("row").alias("key"), "data"), part.collect(), window) for part in parts]
-    found = each[0]
-    for more in each[1:]:
-        found = found.union(more)
+    found = None
+    for part in parts:  # one block's automaton at a time
+        automaton = _shared(docs, part.collect(), window)
+        more = written(_scan(numbered.select(F.col("row").alias("key"), "data"), automaton))
+        automaton.unpersist()
+        found = more if found is None else found.union(more)
     joined = found.groupBy("key").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     merged = joined.mapInArrow(_unite, FOUND).withColumnRenamed("key", "row")
     return numbered.select("row", "key").join(merged, "row").select(F.col("key").alias(key), "n_words", "spans", "items")
@@ -322,9 +324,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, lo
         return docs.mapInArrow(run, schema)
 
     wide = StructType([*schema.fields, StructField(again, BooleanType()), StructField(held, span)])
-    automata = [_shared(docs, part.collect(), window) for part in parts]
 
-    def look(df: DataFrame, automaton) -> DataFrame:
+    def look(df: DataFrame, automaton: Broadcast) -> DataFrame:
         """Adds a block's spans to those of the rows that are to be gone through."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,8 +354,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, window: int = 10, lo
 
     rows = docs.select("*", F.lit(True).alias(again), F.array().cast(span).alias(held))
     while True:
-        for automaton in automata:
-            rows = look(rows, automaton)
+        for part in parts:  # one block's automaton at a time, on the driver and in the workers
+            automaton = _shared(docs, part.collect(), window)
+            rows = written(look(rows, automaton))
+            automaton.unpersist()
         rows = written(rows.mapInArrow(cut, wide))
         if rows.where(again).isEmpty():
             return rows.select(*docs.columns)

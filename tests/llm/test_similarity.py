@@ -81,6 +81,24 @@ def check_one_of_each_group(docs, kept):
     assert set(kept) == {ids[k] for k in groups.values()}
 
 
+def test_repeated_ids_fill_one_rank(spark):
+    rng = np.random.default_rng(2)
+    same, other = rng.normal(size=8), rng.normal(size=8)
+    rows = [(50, same.tolist())] * 7 + [(51, same.tolist())] * 3 + [(51, other.tolist()), (52, (-same).tolist()), (100, other.tolist()), (100, (same + 0.1).tolist())] + [(200 + k, rng.normal(size=8).tolist()) for k in range(30) if k % 50]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("vec_id") % 50 == 0, k=3, probes=1.0, shortlist=100).collect()
+    unit = lambda v: np.array(v) / np.linalg.norm(v)
+    want = []
+    for query, vector in sorted({(i, tuple(v)) for i, v in rows if i % 50 == 0}):
+        best = {}
+        for i, v in rows:
+            if i != query:
+                best[i] = max(best.get(i, -2), float(unit(vector) @ unit(v)))
+        want += [(query, r, i, round(s, 9)) for r, (i, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:3], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == sorted(want)
+    assert sum(r.query_id == 100 for r in got) == 6 and [r.vec_id for r in got if r.query_id == 50 and r["rank"] == 1] == [51]
+
+
 def test_simhash_keeps_one_of_each_group(spark):
     texts = [*near_texts(), None]
     docs = documents(spark, texts)
