@@ -301,3 +301,14 @@ def test_pipeline_stages(spark, sf_dir):
     assert len(last) == len(left) and {r.decoded_sha256 for r in last} == {hashlib.sha256((t or "").encode()).hexdigest() for t in left}
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs.limit(0), sf_dir).collect()
+
+
+def test_bytes_of_a_sample_are_bounded(spark):
+    from codespine.llm.labelled import sample
+
+    docs = documents(spark, ["a" * 10, "b" * 500, "c" * 10, None, "e" * 10])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(5)] + [(None, 1), (99, 1)], "doc_id long, quality int")
+    assert {r.doc_id for r in sample(docs, labels, "quality", most_bytes=100).collect()} == {0, 2, 3, 4}
+    assert {r.doc_id for r in sample(docs, labels, "quality").collect()} == {0, 1, 2, 3, 4}
+    assert sample(docs, labels, "quality", most_bytes=0).count() == 1 and sample(docs.limit(0), labels, "quality").count() == 0
+    assert sample(docs, labels, "quality", most=2).count() <= 2
