@@ -6,9 +6,9 @@ first, by counts in a sample, then by hash; the sample decides on speed only. Se
 pair in a list is dropped where the sizes, or what follows the shared shingle in both sets, rule the similarity out; all
 others are verified on the sets. Nothing else is left out, however long a list is.
 
-Lists are taken in rounds: neighbours by size first, then farther members, at last all. Each round leaves out pairs that
-links found before have joined, so a list of thousands of near copies doesn't become all its pairs. Equal sets are one
-node from the start.
+Lists are taken in rounds: neighbours by size first, in the lists of the rarest shingles only and then in all, then farther members, at last
+all. Each round leaves out pairs that links found before have joined, so a list of thousands of near copies doesn't become all its pairs, nor do
+all the lists that they share. Equal sets are one node from the start.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from .components import components
 
 #: So many documents at most tell which shingles are frequent, and so many frequent shingles go to all tasks.
 SAMPLE, FREQUENT = 8192, 1 << 18
-#: Distances in a list, by round.
-ROUNDS = ((1, 1), (2, 64), (65, None))
+#: By round: places in the prefixes that count (None: all), and distances in a list.
+ROUNDS = ((2, 1, 1), (None, 1, 1), (None, 2, 64), (None, 65, None))
 #: So many nodes to compare go to all tasks at most.
 NODES_SENT = 500_000
 PAIRS_AT_ONCE = 1 << 18
@@ -145,7 +145,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets_of, similarity: float) ->
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     ids = written(nodes.join(asked, "node", "left_semi").select(F.col("least").alias("id")))
     sets = sets_of(F.broadcast(ids) if ids.count() <= NODES_SENT else ids).join(asked, "node", "left_semi")
-    sets = written(sets.dropDuplicates(["node"]))
+    sets = sets.dropDuplicates(["node"])  # one exchange by node, which both joins read
     of = lambda side: sets.select(F.col("node").alias(side), F.col("grams").alias(f"{side}_grams"))
     both = pairs.join(of("a"), "a").join(of("b"), "b")
     common = F.size(F.array_intersect("a_grams", "b_grams"))
@@ -162,10 +162,11 @@ def similar_links(reps: DataFrame, nodes: DataFrame, sets_of, similarity: float)
     met = written(meeting(postings))
     longest = met.groupBy("key").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     found = labels = None
-    for first, last in ROUNDS:
+    for places, first, last in ROUNDS:
         if first >= longest:
             break
-        named = met.withColumn("label", F.col("node")) if labels is None else met.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node"))
+        lists = met if places is None else met.where(F.col("pos") < places)
+        named = lists.withColumn("label", F.col("node")) if labels is None else lists.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node"))
         pairs = written(list_pairs(named, similarity, first, last))
         if pairs.isEmpty():
             continue
