@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import free_name, ready, slices, text_bytes, written
 from .components import components, forest
-from .similar import NODES_SENT, SAMPLE, data_of, frequent, gram_set, node_of, prefix, shingled, similar_links
+from .similar import NODES_SENT, SAMPLE, data_of, folded, frequent, gram_set, node_of, parity, prefix, shingled, similar_links
 
 BUCKET = 1024
 SEED = 42
@@ -237,15 +237,17 @@ def similar(docs: DataFrame, *, width: int, similarity: float, text: str = "text
         fps = np.zeros(len(each), np.uint64)
         if counts.any():
             fps[counts > 0] = majority(np.concatenate([np.array(x, np.uint64) for x in each]), counts[counts > 0])
+        bits = [parity(g) for g in grams]
+        short = np.array([folded(b, 16) for b in bits], np.uint8).reshape(-1, 16).view(np.int64)
         return {
             "fp": pa.array(fps.view(np.int64)), "node": pa.array([node_of(g) for g in grams], pa.int64()),
             "size": pa.array([len(g) for g in grams], pa.int32()), "prefix": pa.array([prefix(g, common.value, similarity) for g in grams], pa.list_(pa.int64())),
+            "parity": pa.array([b.tobytes() for b in bits], pa.binary()), "low": pa.array(short[:, 0]), "high": pa.array(short[:, 1]),
         }
 
-    rows = written(shingled(data, hashes, "fp bigint, node bigint, size int, prefix array<bigint>", prints))
-    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least")))
-    reps = rows.select("node", "size", "prefix").dropDuplicates(["node"])
-    return rows.select("doc_id", "fp", "node"), nodes, similar_links(reps, nodes, sets_of, similarity)
+    rows = written(shingled(data, hashes, "fp bigint, node bigint, size int, prefix array<bigint>, parity binary, low bigint, high bigint", prints))
+    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("low").alias("low"), F.min("high").alias("high")))
+    return rows.select("doc_id", "fp", "node"), nodes, similar_links(rows, nodes, sets_of, similarity)
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similarity: float | None = None, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> DataFrame:

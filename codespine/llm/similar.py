@@ -3,8 +3,10 @@
 Sets a and b of similarity t or more share ``t / (1 + t) x (|a| + |b|)`` shingles at least. So in any one order of all shingles they
 have a common one among the first ``|a| - ceil(t |a|) + 1`` of a, and as many of b (their prefixes). The order here is rare shingles
 first, by counts in a sample, then by hash; the sample decides on speed only. Sets meet in the list of each shingle of their prefixes. A
-pair in a list is dropped where the sizes, or what follows the shared shingle in both sets, rule the similarity out; all
-others are verified on the sets. Nothing else is left out, however long a list is.
+pair in a list is dropped where the sizes, or what follows the shared shingle in both sets, rule the similarity out. So is a pair whose
+parity fingerprints differ too much: bit i tells whether an odd number of the set's hashes is i modulo the bits, so a shingle in one set only flips one
+bit, and Hamming distance is at most the number of such shingles, of which a similar pair has ``(1 - t) / (1 + t) x (|a| + |b|)`` at most.
+Lists carry 128 bits of it; what they leave is compared on two to four bits a shingle. All others are verified on the sets. Nothing else is left out, however long a list is.
 
 Lists are taken in rounds: neighbours by size first, in the lists of the rarest shingles only and then in all, then farther members, at last
 all. Each round leaves out pairs that links found before have joined, so a list of thousands of near copies doesn't become all its pairs, nor do
@@ -27,7 +29,7 @@ from .components import components
 #: So many documents at most tell which shingles are frequent, and so many frequent shingles go to all tasks.
 SAMPLE, FREQUENT = 8192, 1 << 18
 #: By round: places in the prefixes that count (None: all), and distances in a list.
-ROUNDS = ((2, 1, 1), (None, 1, 1), (None, 2, 64), (None, 65, None))
+ROUNDS = ((2, 1, 1), (None, 1, 4), (None, 5, 64), (None, 65, None))
 #: So many nodes to compare go to all tasks at most.
 NODES_SENT = 500_000
 PAIRS_AT_ONCE = 1 << 18
@@ -42,6 +44,19 @@ def node_of(grams: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(grams.tobytes())).view(np.int64))
 
 
+def parity(grams: np.ndarray) -> np.ndarray:
+    """The parity fingerprint of a set, 128 bits or the power of two that is two to four times its size, as bytes."""
+    bits = 1 << max(7, (2 * len(grams) - 1).bit_length())
+    return np.packbits(np.bincount(grams & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little")
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """The fingerprint in so many bytes at most: as places are remainders, halves add up to the shorter one."""
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
 def frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Shingles that several of the ``sets`` (node, grams) have, ascending, and their counts; the most frequent ones if many."""
     counts = sets.dropDuplicates(["node"]).select(F.explode("grams").alias("gram")).groupBy("gram").count().where("count > 1")
@@ -101,9 +116,9 @@ def meeting(postings: DataFrame) -> DataFrame:
 
 def list_pairs(met: DataFrame, similarity: float, first: int, last: int | None) -> DataFrame:
     """``a``, ``b``: pairs of sets of different ``label``, ``first`` to ``last`` places apart in a list, that can be similar."""
-    share = similarity / (1 + similarity)
+    share, apart = similarity / (1 + similarity), (1 - similarity) / (1 + similarity)
 
-    def pairs(key: np.ndarray, size: np.ndarray, node: np.ndarray, pos: np.ndarray, label: np.ndarray) -> Iterator[np.ndarray]:
+    def pairs(key: np.ndarray, size: np.ndarray, node: np.ndarray, pos: np.ndarray, low: np.ndarray, high: np.ndarray, label: np.ndarray) -> Iterator[np.ndarray]:
         rest, step, alive = size - pos, 1, np.arange(len(key) - 1)
         while len(alive := alive[alive + step < len(key)]) and (last is None or step <= last):
             alive = alive[key[alive] == key[alive + step]]
@@ -113,6 +128,9 @@ def list_pairs(met: DataFrame, similarity: float, first: int, last: int | None)
                     a = alive[at : at + PAIRS_AT_ONCE]
                     b = a + step
                     ok = (np.minimum(rest[a], rest[b]) >= share * (size[a] + size[b]) - 1e-9) & (label[a] != label[b])
+                    a, b = a[ok], b[ok]
+                    flips = sum(np.bitwise_count((x[a] ^ x[b]).view(np.uint64)).astype(np.int64) for x in (low, high))
+                    ok = flips <= apart * (size[a] + size[b]) + 1e-9
                     if ok.any():
                         x, y = node[a[ok]], node[b[ok]]
                         yield np.stack([np.minimum(x, y), np.maximum(x, y)])
@@ -137,12 +155,36 @@ def list_pairs(met: DataFrame, similarity: float, first: int, last: int | None)
         if held:
             yield out(held)
 
-    return by_list(met.select("key", "size", "node", "pos", "label")).mapInArrow(run, "a bigint, b bigint").distinct()
+    return by_list(met.select("key", "size", "node", "pos", "low", "high", "label")).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def asked_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def promising(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` whose whole parity fingerprints don't rule that similarity out; ``rows``: node, size, parity."""
+    apart = (1 - similarity) / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = (batch.column(2).to_numpy() + batch.column(4).to_numpy()).tolist()
+            keep = []
+            for x, y, n in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), sizes, strict=True):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                least = min(len(x), len(y))
+                keep.append(int(np.bitwise_count(folded(x, least) ^ folded(y, least)).sum()) <= apart * n + 1e-9)
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    bits = rows.select("node", "size", "parity").join(asked_of(pairs), "node", "left_semi").dropDuplicates(["node"])
+    of = lambda side: bits.select(F.col("node").alias(side), F.col("size").alias(f"{side}_size"), F.col("parity").alias(f"{side}_parity"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_size", "a_parity", "b_size", "b_parity")
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, sets_of, similarity: float) -> DataFrame:
     """The ``pairs`` whose sets have that similarity. ``nodes``: node, ``least``, the id of one document that may be null."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    asked = asked_of(pairs)
     ids = written(nodes.join(asked, "node", "left_semi").select(F.col("least").alias("id")))
     sets = sets_of(F.broadcast(ids) if ids.count() <= NODES_SENT else ids).join(asked, "node", "left_semi")
     sets = sets.dropDuplicates(["node"])  # one exchange by node, which both joins read
@@ -153,13 +195,14 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets_of, similarity: float) ->
     return both.where((union > 0) & (common >= similarity * union)).select("a", "b")
 
 
-def similar_links(reps: DataFrame, nodes: DataFrame, sets_of, similarity: float) -> DataFrame | None:
+def similar_links(rows: DataFrame, nodes: DataFrame, sets_of, similarity: float) -> DataFrame | None:
     """``node``, ``root`` of the components of all pairs with that similarity; None where no pair has it.
 
-    ``reps``: node, size, prefix, one row for each node; ``sets_of``: node and grams of the documents with given ids.
+    ``rows``: node, size, prefix, parity; ``nodes``: node, least id, and ``low`` and ``high``, the parity in 128 bits; ``sets_of``: node and grams of
+    the documents with given ids.
     """
-    postings = reps.select("node", "size", F.posexplode("prefix").alias("pos", "key"))
-    met = written(meeting(postings))
+    postings = rows.select("node", "size", "prefix").dropDuplicates(["node"]).select("node", "size", F.posexplode("prefix").alias("pos", "key"))
+    met = written(meeting(postings).join(nodes.select("node", "low", "high"), "node"))  # bits go to the few rows that meet
     longest = met.groupBy("key").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     found = labels = None
     for places, first, last in ROUNDS:
@@ -167,7 +210,7 @@ def similar_links(reps: DataFrame, nodes: DataFrame, sets_of, similarity: float)
             break
         lists = met if places is None else met.where(F.col("pos") < places)
         named = lists.withColumn("label", F.col("node")) if labels is None else lists.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node"))
-        pairs = written(list_pairs(named, similarity, first, last))
+        pairs = written(promising(written(list_pairs(named, similarity, first, last)), rows, similarity))
         if pairs.isEmpty():
             continue
         more = written(verified(pairs, nodes, sets_of, similarity))

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from codespine.llm import ann, catalog, decontaminate, licences, simhash
+from codespine.llm import ann, catalog, decontaminate, licences, simhash, similar
 from codespine.llm.common import table
 from codespine.llm.components import components
 from pyspark.sql import functions as F
@@ -192,6 +192,24 @@ def test_pivots_discard_no_link():
     assert np.abs(rows[0] - rows[1]).max() <= 4
 
 
+def test_parity_bits_rule_out_no_similar_pair():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 60, 90, 500, 2000, 9000):
+        for _ in range(30):
+            common = rng.integers(-(2**63), 2**63 - 1, n)
+            a, b = (np.unique(np.concatenate([common, rng.integers(-(2**63), 2**63 - 1, int(rng.integers(0, n // 4 + 2)))])) for _ in range(2))
+            apart = len(np.setxor1d(a, b))
+            x, y = similar.parity(a), similar.parity(b)
+            for size in (16, min(len(x), len(y))):
+                assert np.bitwise_count(similar.folded(x, size) ^ similar.folded(y, size)).sum() <= apart
+        far = rng.integers(-(2**63), 2**63 - 1, n)
+        if n > 3:  # sets that share nothing are told apart
+            z = similar.parity(np.unique(far))
+            size = min(len(x), len(z))
+            assert np.bitwise_count(similar.folded(x, size) ^ similar.folded(z, size)).sum() > (len(a) + len(far)) / 9
+    assert similar.parity(np.zeros(0, np.int64)).tobytes() == bytes(16)
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}
