@@ -17,8 +17,7 @@ Words are counted by partial counts in the tasks and one shuffle. Counts of the
 workers (a bound on what is sent) for the base score; all other words of a document are joined to the whole count table.
 
 Defined results: null and empty texts hold the end token alone; repeated rows count and are scored each; without
-training documents all counts are zero and the pieces keep the vocabulary's weights. In fitting, words above ``LONG_WORD`` characters count in
-parts of that length; in scoring every word is whole.
+training documents all counts are zero and the pieces keep the vocabulary's weights. In fitting as in scoring, every word is whole, however long.
 """
 
 from __future__ import annotations
@@ -38,7 +37,8 @@ from .common import portions, ready, remainder, slices, text_bytes, utf8, writte
 FREQUENT = 150_000
 CACHED_WORDS = 500_000
 HELD_WORDS = 300_000
-LONG_WORD = 48
+#: Longer words are taken one at a time, so many places at once.
+LONG_WORD, BLOCK = 48, 8192
 #: Stands for the end token among words, which hold no white space.
 END = b"\n"
 MARK = "▁"
@@ -200,23 +200,51 @@ def marginals(vocab: Pieces, weight: np.ndarray, words: list[bytes]) -> np.ndarr
     return out
 
 
-def long_word(vocab: Pieces, weight: np.ndarray, word: str) -> float:
-    """The same recursion for one word of any length, in blocks whose arcs fit in memory."""
-    chars, _ = codes_of([word])
+def block_arcs(vocab: Pieces, chars: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Arcs from the ``BLOCK`` places from ``at`` on, by place: where each place's begin and end, what they reach, their pieces."""
+    start = np.arange(at, min(at + BLOCK, len(chars)))
+    a, b, piece = vocab.arcs(chars, start, np.full(len(start), len(chars)))
+    order = np.argsort(a, kind="stable")
+    return np.searchsorted(a[order], np.arange(at, start[-1] + 2)), b[order], piece[order]
+
+
+def long_forward(vocab: Pieces, weight: np.ndarray, chars: np.ndarray) -> np.ndarray:
+    """The forward recursion for one word of any length, in blocks whose arcs fit in memory: the log sum of all paths to each place."""
     score = np.full(len(chars) + 1, -np.inf)
     score[0] = 0.0
-    for at in range(0, len(chars), 8192):
-        start = np.arange(at, min(at + 8192, len(chars)))
-        a, b, piece = vocab.arcs(chars, start, np.full(len(start), len(chars)))
-        order = np.argsort(a, kind="stable")
-        to, w = b[order], weight[piece[order]]
-        cut = np.searchsorted(a[order], np.arange(at, start[-1] + 2))
-        for k, c in enumerate(chars[start].tolist()):
+    for at in range(0, len(chars), BLOCK):
+        cut, to, piece = block_arcs(vocab, chars, at)
+        w = weight[piece]
+        for k, c in enumerate(chars[at : at + BLOCK].tolist()):
             i, raw = at + k, weight[vocab.byte_id[bytes_of(c)]].sum()
             score[i + 1] = np.logaddexp(score[i + 1], score[i] + raw)
-            for t, x in zip(to[cut[k] : cut[k + 1]].tolist(), w[cut[k] : cut[k + 1]].tolist(), strict=True):
-                score[t] = np.logaddexp(score[t], score[i] + x)
-    return float(score[-1])
+            t = to[cut[k] : cut[k + 1]]  # one arc to a place at most
+            score[t] = np.logaddexp(score[t], score[i] + w[cut[k] : cut[k + 1]])
+    return score
+
+
+def long_word(vocab: Pieces, weight: np.ndarray, word: str) -> float:
+    """Natural log probability of one word of any length."""
+    return float(long_forward(vocab, weight, codes_of([word])[0])[-1])
+
+
+def long_uses(vocab: Pieces, weight: np.ndarray, word: str) -> np.ndarray:
+    """Expected uses of every piece in one word of any length: the forward recursion, then blocks from the end backwards."""
+    chars = codes_of([word])[0]
+    alpha, beta, uses = long_forward(vocab, weight, chars), np.full(len(chars) + 1, -np.inf), np.zeros(vocab.size)
+    beta[-1], total = 0.0, alpha[-1]
+    for at in reversed(range(0, len(chars), BLOCK)):
+        cut, to, piece = block_arcs(vocab, chars, at)
+        w = weight[piece]
+        block = chars[at : at + BLOCK].tolist()
+        for k in reversed(range(len(block))):
+            i, spelled = at + k, vocab.byte_id[bytes_of(block[k])]
+            ways = np.append(w[cut[k] : cut[k + 1]] + beta[to[cut[k] : cut[k + 1]]], weight[spelled].sum() + beta[i + 1])
+            beta[i] = np.logaddexp.reduce(ways)
+            share = np.exp(alpha[i] + ways - total)
+            np.add.at(uses, piece[cut[k] : cut[k + 1]], share[:-1])
+            np.add.at(uses, spelled, share[-1])
+    return uses
 
 
 def tokens(data: bytes) -> list[bytes]:
@@ -261,16 +289,17 @@ def refit(counts: DataFrame, path: str, rounds: int = 2) -> np.ndarray:
             own, total = pieces(path), None
             for batch in slices(batches, 4096):
                 total = np.zeros(own.size) if total is None else total
-                parts = []
+                short = []
                 for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     if word == END:
                         total[own.end] += n
+                    elif len(w := utf8(word)) > LONG_WORD:
+                        total += n * long_uses(own, shared.value, w)
                     else:
-                        w = utf8(word)
-                        parts += [(w[at : at + LONG_WORD], n) for at in range(0, len(w), LONG_WORD)]
-                if parts:
-                    parts.sort(key=lambda x: len(x[0]))
-                    total += Lattice(own, shared.value, [w for w, _ in parts]).expected(np.array([n for _, n in parts], np.float64))
+                        short.append((w, n))
+                if short:
+                    short.sort(key=lambda x: len(x[0]))
+                    total += Lattice(own, shared.value, [w for w, _ in short]).expected(np.array([n for _, n in short], np.float64))
             if total is not None:
                 used = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "uses"])

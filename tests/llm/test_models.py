@@ -235,6 +235,20 @@ def test_base_scores(spark, sf_dir, monkeypatch, frequent):
         assert abs(g.base_score - base) < 1e-6 * max(1, abs(base)) and -math.inf < g.score < 0
 
 
+def test_long_words_are_fitted_whole(spark, monkeypatch):
+    vocab = lattice.pieces(PIECES)
+    words = ["straightforwardly" * 5, "a\u2581b\u00e9" * 30, "x" * 60, "don't" * 11]
+    for block in (7, 64, 8192):
+        monkeypatch.setattr(lattice, "BLOCK", block)
+        for w in words:
+            whole = lattice.Lattice(vocab, vocab.first, [w])
+            assert np.allclose(lattice.long_uses(vocab, vocab.first, w), whole.expected(np.ones(1)), atol=1e-9)
+            assert np.isclose(lattice.long_word(vocab, vocab.first, w), whole.forward()[0])
+    counts = spark.createDataFrame([(bytearray(w.encode()), 3) for w in [*words, "short"]], "word binary, n long")
+    uses = lattice.Lattice(vocab, vocab.first, [*words, "short"]).expected(np.full(5, 3.0))
+    assert np.allclose(lattice.refit(counts, PIECES, 1), lattice.posterior(vocab, uses))
+
+
 def test_weights_fit_better_than_the_vocabularys(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     training, held_out = lattice.split_by_id()
