@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, messages, text, trade
-from ..operators import cards, consolidate, diff, evaluate, hierarchy, search_index, validate
-from ..sources import html, layouts, pages
+from ..operators import cards, compare, consolidate, diff, evaluate, hierarchy, search_index, validate
+from ..sources import html, layouts, ledgers, pages, thirdparty
 from ..storage import shared_dir
 from . import inputs, serving
 from .inputs import CLASSIFICATION_SQL, RATE_SQL, RECORDS_SQL, TREE_SQL, table
@@ -361,3 +361,88 @@ def trade_matrices(spark: SparkSession, d: str) -> DataFrame:
     every = {"tmec": t, "rrna": r, "pedimento": p}
     columns = [c for name, x in every.items() for c in (x["status"].alias(f"{name}_status"), F.array_join(x["missing"], "|").alias(f"{name}_missing"))]
     return table(spark, d, "orders").select("o_orderkey", *columns)
+
+
+_DIFFERENT = "sin relacion"
+
+
+def _line(field: str, ours: str, theirs: str, match: str, note: str) -> str:
+    return f"{{'field': '{field}', 'ours': ({ours})::VARCHAR, 'theirs': ({theirs})::VARCHAR, 'match': ({match})::BOOLEAN, 'note': '{note}'}}"
+
+
+_THEIR_DUTY = "CASE WHEN k % 5 = 1 THEN 'Ex.' ELSE igi_text END"
+_THEIRS = ", ".join((
+    _line("description", "description", f"CASE WHEN k % 6 = 3 OR trim(description) = '' THEN '{_DIFFERENT}' WHEN k % 6 = 2 THEN upper(description) ELSE description END", "trim(description) = '' OR k % 6 <> 3", ""),
+    _line("igi", "igi_text", _THEIR_DUTY, "k % 5 <> 1 OR igi_text = 'exento'", ""), _line("ige", "NULL", "NULL", "NULL", ""),
+))
+
+
+@_query(f"""WITH {RECORDS_SQL}, r AS (SELECT code, level, description, igi_text, code::BIGINT AS k FROM records WHERE is_current AND length(code) >= 6),
+  ask AS (SELECT code AS asked FROM records WHERE is_current AND length(code) >= 4 AND code::BIGINT % 4 = 0),
+  page AS (SELECT code AS sheet, k % 11 = 4 AS broken FROM r WHERE level = 'fraccion8' AND k % 7 <> 3),
+  keyed AS (SELECT unnest(CASE level WHEN 'hs6' THEN [code] WHEN 'fraccion8' THEN [code, left(code, 6)] ELSE [code, left(code, 8), left(code, 6)] END) AS asked, * FROM r),
+  j AS (SELECT q.*, f.code AS fraction, p.sheet, p.broken, q.level = 'nico10' AND (f.code IS NULL OR p.sheet IS NULL OR p.broken) AS alone
+    FROM keyed q LEFT JOIN r f ON f.level = 'fraccion8' AND f.code = left(q.code, 8) LEFT JOIN page p ON p.sheet = left(q.code, 8) WHERE q.asked IN (SELECT asked FROM ask) AND q.asked IN (SELECT code FROM r)),
+  lines AS (SELECT asked, code, level, unnest(CASE WHEN level = 'hs6' THEN [{_line('description', 'description', 'NULL', 'NULL', compare.NO_PAGE)}]
+      WHEN level = 'nico10' AND fraction IS NULL THEN [{_line('present', "'yes'", 'NULL', 'NULL', compare.NO_FRACTION.replace("'", "''"))}] WHEN sheet IS NULL THEN [{_line('present', "'yes'", 'NULL', 'NULL', compare.NO_SHEET)}]
+      WHEN broken THEN [{_line('present', "'yes'", 'NULL', 'false', thirdparty.NOT_TOLD)}] WHEN level = 'nico10' AND k % 13 = 6 THEN [{_line('present', "'yes'", 'NULL', 'false', compare.NO_ITEM)}] ELSE [{_THEIRS}] END) AS x
+    FROM j WHERE NOT alone OR asked = code)
+  SELECT asked, code, level, x.field AS field, x.ours AS ours, x.theirs AS theirs, x.match AS match, x.note AS note FROM lines
+  UNION ALL SELECT asked, asked, NULL, 'code', NULL, NULL, NULL, '{compare.NO_RECORD}' FROM ask WHERE asked NOT IN (SELECT code FROM r)""")
+def third_party_compare(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of a classifier are made from the fractions and their items, read again, and compared with the records; every fourth code is asked."""
+    rows = inputs.records(spark, d).where("is_current").withColumn("k", F.col("code").cast("bigint"))
+    k, told = F.col("k"), F.trim("description") != ""
+    name = F.when((k % 6 == 3) | ~told, _DIFFERENT).when(k % 6 == 2, F.upper("description")).otherwise(F.col("description"))
+    cells = lambda first: F.concat(F.lit("<tr><td>"), first, F.lit("</td><td>"), name, F.lit("</td><td>"), F.when(k % 5 == 1, "Ex.").otherwise(F.col("igi_text")), F.lit("</td></tr>"))
+    items = rows.where((F.col("level") == "nico10") & (k % 13 != 6)).select(F.substring("code", 1, 8).alias("code"), cells(F.when(k % 2 == 0, F.substring("code", 9, 2)).otherwise(F.col("code"))).alias("line"))
+    below = items.groupBy("code").agg(F.array_join(F.array_sort(F.collect_list("line")), "").alias("lines"))
+    pages = rows.where((F.col("level") == "fraccion8") & (k % 7 != 3)).join(below, "code", "left").select(
+        F.concat(F.lit("https://example.org/hojas/"), "code", F.lit(".html")).alias("url"),
+        F.when(k % 11 == 4, "<p>nada</p>").otherwise(F.concat(
+            F.lit("<table><tr><th>Fracción</th><th>Descripción</th></tr>"), cells(F.concat_ws(".", F.substring("code", 1, 4), F.substring("code", 5, 2), F.substring("code", 7, 2))),
+            F.lit("</table><table><tr><th>NICO</th><th>Descripción</th></tr>"), F.coalesce("lines", F.lit("")), F.lit("</table>"),
+        )).alias("html"),
+    )
+    asked = rows.where((F.length("code") >= 4) & (k % 4 == 0)).select("code")
+    return compare.third_party(rows, thirdparty.fraction_sheets(pages), asked)
+
+
+_LEDGER_HEADS = ("Publicación original", "Decretos de reforma", "Decretos que modifican la Tarifa", "Acuerdos complementarios")
+_LEDGER_TITLES = ("Notas Nacionales", "Acuerdo NICO", "Correlación", "Otro acuerdo")
+_LEDGER_ROOT = "https://example.org/leyes/"
+
+
+def _ledger_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A ledger of each customer's orders: four sections, dates and the current text for some."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    file = F.concat(F.when(k % 5 == 0, "LIGIE_2022_ref").otherwise("doc"), k.cast("string"))
+    links = F.concat(F.lit('<a href="pdf/'), file, F.lit('.pdf">DOF '), F.date_format("o_orderdate", "dd-MM-yyyy"), F.lit('</a> <a href="'), file, F.lit('.doc">Texto</a>'))
+    title = F.element_at(F.array(*map(F.lit, _LEDGER_TITLES)), (F.least(k % 7, F.lit(3)) + 1).cast("int"))
+    line = F.concat(F.lit("<tr><td>"), k.cast("string"), F.lit("</td><td>"), title, F.lit("</td><td>"), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(" "), links, F.lit("</td></tr>"))
+    each = table(spark, d, "orders").select(c.alias("custkey"), F.struct((k / 2 % 4).cast("int").alias("part"), k.alias("k"), line.alias("line")).alias("x"))
+    rows = each.groupBy("custkey").agg(F.array_sort(F.collect_list("x")).alias("xs"))  # one customer's page
+    of = lambda part: F.filter("xs", lambda x: x["part"] == part)
+    parts = [F.concat(F.lit(f"<tr><th>{h}</th></tr>"), F.array_join(F.transform(of(p), lambda x: x["line"]), "")) for p, h in enumerate(_LEDGER_HEADS)]
+    c = F.col("custkey")
+    shown = F.when(c % 6 != 5, F.concat(F.lit("<p>Última reforma publicada DOF "), (c % 28 + 1).cast("string"), F.lit(" de enero de 2020</p><p>Fracciones arancelarias: Decreto DOF 05/06/2021</p>"))).otherwise("")
+    current = F.when(c % 2 == 0, '<a href="pdf/LIGIE_2022.pdf?x=1">Ley</a>').otherwise("")
+    return rows.select(F.concat(F.lit(_LEDGER_ROOT), c.cast("string"), F.lit(".htm")).alias("url"), F.concat(shown, current, F.lit("<table>"), *parts, F.lit("</table>")).alias("html"))
+
+
+@_query(f"""WITH o AS (SELECT *, floor((o_orderkey / 2.0) % 4)::INT AS part FROM orders),
+  r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY part, o_orderkey) AS n, CASE WHEN o_orderkey % 5 = 0 THEN 'LIGIE_2022_ref' ELSE 'doc' END || o_orderkey AS file FROM o),
+  law AS (SELECT DISTINCT o_custkey, CASE WHEN o_custkey % 6 <> 5 THEN DATE '2020-01-01' + (o_custkey % 28)::INT END AS law FROM orders)
+  SELECT '{_LEDGER_ROOT}' || o_custkey || '.htm' AS url, (CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE 0 END + part + n)::INT AS position,
+    CASE WHEN o_orderkey % 5 = 0 THEN 'law_reform' WHEN part < 3 THEN list_extract(['original', 'law_reform', 'tariff_decree'], part + 1) ELSE list_extract(['national_notes', 'nico_agreement', 'correlation', 'unknown'], least(o_orderkey % 7, 3)::INT + 1) END AS category,
+    o_orderkey::VARCHAR AS label, list_extract({list(_LEDGER_TITLES)!r}, least(o_orderkey % 7, 3)::INT + 1) AS title, o_orderdate::DATE AS displayed_date,
+    'dof {_LEDGER_ROOT}pdf/' || file || '.pdf ' || o_orderdate::DATE || ' application/pdf,word {_LEDGER_ROOT}' || file || '.doc - application/msword' AS links FROM r
+  UNION ALL SELECT '{_LEDGER_ROOT}' || o_custkey || '.htm', 0, 'consolidated_text', 'current', 'Texto vigente LIGIE 2022', law, 'pdf {_LEDGER_ROOT}pdf/LIGIE_2022.pdf?x=1 - application/pdf' FROM law WHERE o_custkey % 2 = 0""")
+def ledger_documents(spark: SparkSession, d: str) -> DataFrame:
+    shown = lambda x: F.concat_ws(" ", x["role"], x["target"], F.coalesce(x["displayed_date"].cast("string"), F.lit("-")), x["media_type"])
+    return ledgers.ledger_documents(_ledger_pages(spark, d)).withColumn("links", F.array_join(F.transform("links", shown), ","))
+
+
+@_query(f"SELECT DISTINCT '{_LEDGER_ROOT}' || o_custkey || '.htm' AS url, 'missing_date' AS reason FROM orders WHERE o_custkey % 6 = 5")
+def ledger_problems(spark: SparkSession, d: str) -> DataFrame:
+    return ledgers.ledger_problems(_ledger_pages(spark, d))
