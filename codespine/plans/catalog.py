@@ -130,8 +130,7 @@ _DUTY_VALUE = " ".join(f"WHEN '{k}' THEN {v}" for k, (_, v) in _DUTY.items() if
 @_query(f"""WITH x AS (SELECT l_orderkey, l_linenumber, trim(regexp_replace({inputs.duty_sql('l_partkey')}, '\\s+', ' ', 'g')) AS literal FROM lineitem)
   SELECT literal, CASE literal {_DUTY_KIND} END AS kind, CAST(CASE literal {_DUTY_VALUE} END AS DECIMAL(18, 6)) AS value, count(*) AS n FROM x GROUP BY ALL""")
 def duty_parse(spark: SparkSession, d: str) -> DataFrame:
-    parts = duty.parsed(inputs.duty_text(F.col("l_partkey")))
-    return table(spark, d, "lineitem").select(*[c.alias(n) for n, c in parts.items()]).groupBy("literal", "kind", "value").agg(F.count("*").alias("n"))
+    return duty.counts(table(spark, d, "lineitem"), inputs.duty_text(F.col("l_partkey")))
 
 
 @_query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CAST(l_discount AS DECIMAL(18, 6)) * 100 AS DECIMAL(18, 6)) AS v FROM lineitem)

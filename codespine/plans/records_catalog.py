@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing, messages, text, trade
-from ..operators import cards, compare, consolidate, diff, evaluate, hierarchy, search_index, validate
+from ..operators import cards, certify, compare, consolidate, diff, evaluate, hierarchy, search_index, validate
 from ..sources import html, layouts, ledgers, pages, thirdparty
 from ..storage import shared_dir
 from . import inputs, serving
@@ -446,3 +446,78 @@ def ledger_documents(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"SELECT DISTINCT '{_LEDGER_ROOT}' || o_custkey || '.htm' AS url, 'missing_date' AS reason FROM orders WHERE o_custkey % 6 = 5")
 def ledger_problems(spark: SparkSession, d: str) -> DataFrame:
     return ledgers.ledger_problems(_ledger_pages(spark, d))
+
+
+def _released(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The records as five releases by chapter, with faults of their own, and what their release rows and manifests say."""
+    v, n = F.col("dataset_version"), F.length("code")
+    rows = inputs.records(spark, d).withColumn("dataset_version", F.concat(F.lit("d"), (F.substring("code", 1, 2).cast("int") % 5).cast("string")))
+    rows = rows.withColumns({
+        "record_id": F.when(v == "d1", F.col("code")).otherwise(F.col("record_id")), "is_current": F.col("is_current") | (v == "d3"),
+        "values_from_level": F.when(v == "d2", F.when(n >= 8, "fraccion8")).otherwise(F.col("values_from_level")), "igi_value": F.when((v != "d2") | (n >= 8), F.col("igi_value")),
+        "hs4": F.when((v == "d3") & (n >= 4), F.substring("code", 1, 4)).otherwise(F.col("hs4")), "ligie_version": F.when(v == "d3", "v0").otherwise(F.col("ligie_version")),
+    })
+    counts = rows.groupBy("dataset_version").agg(F.count("*").alias("row_count"), *[F.count(F.when(F.col("level") == x, 1)).alias(x) for x in certify.LEVELS])
+    facts = lambda schema, status: (v, schema.alias("schema_version"), F.lit("v0").alias("ligie_version"), F.lit("2024-01-01").cast("date").alias("effective_as_of"), status.alias("validation_status"))
+    said = counts.select(*facts(F.lit("2"), F.when(v != "d0", "passed").otherwise("failed")), (F.col("row_count") + (v == "d2").cast("int")).alias("row_count"))
+    releases = said.unionByName(said.where(v == "d3"))
+    levels = F.create_map(*[x for name in certify.LEVELS for x in (F.lit(name), F.col(name) + ((v == "d4") & F.lit(name == "hs2")).cast("int"))])
+    return rows, releases, counts.select(*facts(F.when(v == "d1", "1").otherwise("2"), F.lit("passed")), "row_count", levels.alias("level_counts"))
+
+
+_RELEASED_SQL = RECORDS_SQL + """, rel AS (SELECT * EXCLUDE v REPLACE (CASE WHEN v = 'd1' THEN code ELSE record_id END AS record_id, is_current OR v = 'd3' AS is_current,
+    CASE WHEN v = 'd2' THEN CASE WHEN length(code) >= 8 THEN 'fraccion8' END ELSE values_from_level END AS values_from_level, CASE WHEN v <> 'd2' OR length(code) >= 8 THEN igi_value END AS igi_value,
+    CASE WHEN v = 'd3' AND length(code) >= 4 THEN left(code, 4) ELSE hs4 END AS hs4, CASE WHEN v = 'd3' THEN 'v0' ELSE ligie_version END AS ligie_version, v AS dataset_version)
+    FROM (SELECT *, 'd' || (left(code, 2)::INT % 5) AS v FROM records)), cur AS (SELECT * FROM rel WHERE is_current)"""
+_ORPHANS_SQL = " UNION ALL ".join(
+    f"SELECT dataset_version, '{name}' AS problem, count(*) AS n FROM cur c WHERE level = '{level}' AND NOT EXISTS (SELECT 1 FROM cur p WHERE p.level = '{up}' AND p.code = c.{up} AND p.ligie_version = c.ligie_version AND p.dataset_version = c.dataset_version) GROUP BY 1"
+    for level, (up, name) in certify.PARENTS.items()
+)
+_FILLED = " OR ".join(f"{c} IS NOT NULL" for c in certify.VALUES if c != "unit_name")
+
+
+@_query(f"""WITH {_RELEASED_SQL}, g AS (SELECT dataset_version, count(*) - count(DISTINCT record_id) AS twice, count(*) FILTER (level IN ('hs2', 'hs4', 'hs6') AND ({_FILLED})) AS low,
+    count(*) FILTER (level IN ('fraccion8', 'nico10') AND values_from_level IS DISTINCT FROM 'fraccion8') AS origin FROM rel GROUP BY 1),
+  found AS (SELECT dataset_version, unnest([{{'p': 'duplicate_record_ids', 'n': twice}}, {{'p': 'hs_values', 'n': low}}, {{'p': 'tariff_origin', 'n': origin}}, {{'p': 'not_validated', 'n': (dataset_version = 'd0')::BIGINT}},
+      {{'p': 'metadata_mismatch', 'n': (dataset_version IN ('d0', 'd1'))::BIGINT}}, {{'p': 'row_count_mismatch', 'n': (dataset_version = 'd2')::BIGINT}}, {{'p': 'release_rows', 'n': CASE dataset_version WHEN 'd3' THEN 2 ELSE 0 END}},
+      {{'p': 'level_counts_mismatch', 'n': (dataset_version = 'd4')::BIGINT}}]) AS x FROM g)
+  SELECT dataset_version, x.p AS problem, x.n AS n FROM found WHERE x.n > 0 UNION ALL {_ORPHANS_SQL}""")
+def certification_problems(spark: SparkSession, d: str) -> DataFrame:
+    return certify.problems(*_released(spark, d))
+
+
+@_query(f"""WITH {_RELEASED_SQL}, f AS (SELECT dataset_version, code, code::BIGINT % 4 = 1 AS late, EXISTS (SELECT 1 FROM cur i WHERE i.level = 'nico10' AND i.fraccion8 = c.code AND i.dataset_version = c.dataset_version) AS held FROM cur c WHERE level = 'fraccion8')
+  SELECT dataset_version, count(*) AS fraccion8, count(*) FILTER (held) AS with_nico_descendant, count(*) FILTER (NOT held) AS missing_nico_descendant, count(*) FILTER (NOT held AND late) AS known_upstream_lag, count(*) FILTER (NOT held AND NOT late) AS unclassified_missing FROM f GROUP BY 1""")
+def nico_coverage(spark: SparkSession, d: str) -> DataFrame:
+    rows, *_ = _released(spark, d)
+    return certify.nico_coverage(rows, rows.where("level = 'fraccion8' AND CAST(code AS BIGINT) % 4 = 1").select("code"))
+
+
+@_query("""WITH a AS (SELECT o_orderkey::VARCHAR AS k, o_orderstatus AS r, o_totalprice AS p FROM orders), e AS (SELECT k, r, k::BIGINT AS n FROM a WHERE k::BIGINT % 5 = 0 OR k::BIGINT % 7 = 0 OR k::BIGINT % 11 = 0)
+  SELECT k AS dataset_key, r AS document_role, CASE WHEN n % 5 = 0 AND n % 7 = 0 THEN NULL WHEN n % 5 = 0 THEN 'removed' WHEN n % 7 = 0 THEN 'added' ELSE 'updated' END AS change, n % 7 = 0 AND n % 5 <> 0 AND n % 3 = 0 AS wrong FROM e WHERE NOT (n % 5 = 0 AND n % 7 = 0)""")
+def source_history(spark: SparkSession, d: str) -> DataFrame:
+    """Two states of sources with some new, gone and changed; every third new one is told as gone and found wrong."""
+    k = F.col("o_orderkey")
+    rows = table(spark, d, "orders").select(k.cast("string").alias("dataset_key"), F.col("o_orderstatus").alias("document_role"), F.col("o_totalprice").cast("string").alias("sha256"), k.alias("k"))
+    now = rows.where("k % 5 <> 0").drop("k")
+    was = rows.where("k % 7 <> 0").withColumn("sha256", F.when(F.col("k") % 11 == 0, "old").otherwise(F.col("sha256"))).drop("k")
+    history = certify.source_history(was, now, ["sha256"])
+    told = history.withColumn("change", F.when((F.col("change") == "added") & (F.col("dataset_key").cast("bigint") % 3 == 0), "removed").otherwise(F.col("change")))
+    wrong = certify.history_problems(told, now, ["sha256"]).select(*certify.KEY, F.lit(True).alias("wrong")).distinct()
+    return history.join(wrong, certify.KEY, "left").select(*certify.KEY, "change", F.coalesce("wrong", F.lit(False)).alias("wrong"))
+
+
+@_query(f"""WITH {TREE_SQL}, f AS (SELECT code, trim(description) AS description, code::BIGINT AS k FROM tree WHERE level = 'fraccion8')
+  SELECT code AS place, code, CASE WHEN k % 3 <> 0 THEN description END AS description, CASE WHEN k % 3 <> 0 THEN CASE WHEN k % 2 = 0 THEN '10' ELSE 'Ex.' END END AS igi, CASE WHEN k % 3 = 1 THEN 'Ex.' END AS ige,
+    CASE WHEN k % 3 = 0 THEN '{thirdparty.NO_ROW}' END AS error FROM f""")
+def fraction_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of labelled rows made from the fractions: every third has the code in a paragraph only."""
+    k = F.col("code").cast("bigint")
+    dotted = F.concat_ws(".", F.substring("code", 1, 4), F.substring("code", 5, 2), F.substring("code", 7, 2))
+    head = F.when(k % 3 == 1, F.concat(F.lit("<tr><td>Fracción arancelaria</td><td>"), dotted, F.lit("</td><td>"), "description", F.lit("</td></tr><tr><td>IGE</td><td>Ex.</td></tr>")))
+    plain = F.concat(F.lit("<tr><td>Código:</td><td>"), dotted, F.lit("</td><td>"), "description", F.lit("</td><td>x</td></tr>"))
+    rates = F.concat(F.lit("<tr><td>IGI</td><td>viejo</td></tr><tr><td>Impuesto general de importación</td><td>"), F.when(k % 2 == 0, "10").otherwise("Ex."), F.lit("</td></tr>"))
+    pages = inputs.tree(spark, d).where("level = 'fraccion8'").select(
+        F.col("code").alias("place"), F.concat(F.lit("<p>"), "code", F.lit("</p><table>"), F.when(k % 3 == 0, "").otherwise(F.coalesce(head, plain)), rates, F.lit("</table>")).alias("html"),
+    )
+    return thirdparty.fraction_documents(pages)

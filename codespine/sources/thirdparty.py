@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import fold
 from .html import file_name, tables
 
 #: An eight-digit code in a cell, the letters of a description, and the length above which a later row's cell is one.
@@ -12,7 +13,7 @@ FRACTION = r"(?<!\d)(\d{4}\.?\d{2}\.?\d{2})(?!\d)"
 LETTERS = r"[A-Za-zÁÉÍÓÚÜáéíóúüñÑ]"
 LONG = 20
 
-NO_CODE, NOT_TOLD, NO_ROW = "the address has no code", "the page lacks its code", "the page has no row of its code"
+NO_CODE, NO_DIGITS, NOT_TOLD, NO_ROW = "the address has no code", "the page has no code", "the page lacks its code", "the page has no row of its code"
 
 
 def fraction_sheets(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:
@@ -54,3 +55,43 @@ def fraction_sheets(pages: DataFrame, *, html: str = "html", url: str = "url") -
     return placed.select(
         "sheet_code", "url", F.coalesce(beside, later, own(1), own(0)).alias("description"), own(2).alias("igi"), own(3).alias("ige"), items.alias("items"), error.alias("error"),
     )
+
+
+#: Words in the label of a code's row, and the folded labels of both duties.
+CODE_LABELS = ("fraccion", "hts code", "codigo")
+DUTY_LABELS = {"igi": ("igi", "impuesto general de importacion"), "ige": ("ige", "impuesto general de exportacion")}
+
+
+def fraction_documents(pages: DataFrame, *, html: str = "html", expected: str | None = None) -> DataFrame:
+    """``code``, ``description``, ``igi``, ``ige`` and ``error`` beside the columns of each page of labelled rows.
+
+    The code is that of the column ``expected``, else the first eight digits of the page. Its row is the first one with two cells whose label speaks of
+    a code and whose second cell has its digits (described by the third cell, or the last), or whose digits in all are the code and which says
+    "fracción" (described by the last). Of rows with the label of a duty the last counts. A page without a code or a row of it keeps its row with the ``error``;
+    columns of the page with those names give way.
+    """
+    own = F.nullif(F.regexp_extract(F.coalesce(F.col(html), F.lit("")), r"(\d{8})", 1), F.lit(""))
+    code = F.coalesce(F.nullif(F.col(expected), F.lit("")), own) if expected else own
+    made = ("code", "description", "igi", "ige", "error")
+    kept = [c for c in pages.columns if c != html and c not in made]
+    rows = F.filter(F.flatten(tables(html)), lambda r: F.size(r) > 1)
+    read = pages.select(F.struct(*kept, F.lit(None).alias("_none")).alias("_page"), code.alias("_code"), rows.alias("_rows"))
+    digits = lambda x: F.regexp_replace(x, r"\D", "")
+
+    def described(r: Column) -> Column:
+        label, whole = fold(F.get(r, F.lit(0))), F.array_join(r, " ")
+        named = F.exists(F.array(*map(F.lit, CODE_LABELS)), lambda w: label.contains(w)) & (digits(F.get(r, F.lit(1))) == F.col("_code"))
+        last = F.element_at(r, -1)
+        return F.when(named, F.coalesce(F.get(r, F.lit(2)), last)).when((digits(whole) == F.col("_code")) & fold(whole).contains("fraccion"), last)
+
+    def duty(name: str) -> Column:
+        rated = F.filter("_rows", lambda r: fold(F.get(r, F.lit(0))).isin(*DUTY_LABELS[name]))
+        return F.try_element_at(F.transform(rated, lambda r: F.get(r, F.lit(1))), F.lit(-1))
+
+    found = read.withColumn("_description", F.get(F.array_compact(F.transform("_rows", described)), F.lit(0)))
+    there = F.col("_description").isNotNull()
+    error = F.when(F.col("_code").isNull(), NO_DIGITS).when(~there, NO_ROW)
+    return found.select(
+        *[F.col(f"_page.`{c}`").alias(c) for c in kept], F.col("_code").alias("code"), F.col("_description").alias("description"),
+        F.when(there, duty("igi")).alias("igi"), F.when(there, duty("ige")).alias("ige"), error.alias("error"),
+    )
