@@ -28,17 +28,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _byte_of_char
-from .common import gathered, ready, text_bytes, utf8, written
-from .counts import Met, sentencepiece_lengths, tokenizers_lengths, words
+from .common import gathered, ready, sole, text_bytes, utf8, written
+from .counts import Met, by_bytes, sentencepiece_lengths, tokenizers_lengths, words
 
 PORTION_BYTES = 4 << 20
 KEPT_WORDS, KEPT_CHARS, KEPT_GROUPS = 300_000, 40, 400_000
 LEARNED_AT_ONCE = 20_000
 LINKS_AT_ONCE = 200_000
+#: What a worker holds at once beside its caches: texts whose new words are told apart, and rows of a portion while pairs are counted.
+SLICE_BYTES, ROWS_AT_ONCE = 1 << 20, 500_000
 
 
 def pair_codes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,8 +138,19 @@ class Pair:
 
     def portion(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Group numbers of all texts, one after the other; how many each text has; each text's digest."""
-        if len(self.keys) > KEPT_GROUPS or len(self.known) > KEPT_WORDS:
+        if len(self.keys) > KEPT_GROUPS:  # numbers hold for a portion, so groups may go before one only
             self.clear()
+        found = [self.sliced(some) for some in by_bytes(texts, SLICE_BYTES)]
+        if not found:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64), []
+        return np.concatenate([x for x, _, _ in found]), np.concatenate([x for _, x, _ in found]), [d for _, _, x in found for d in x]
+
+    def sliced(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """As above for some texts of a portion; words that aren't worth keeping are given up after them."""
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+            self.shown.clear()
+            self.met = Met()
         cut = [words(t) if t else [] for t in texts]
         known, shown = self.known, self.shown
         new = list({w for ws in cut for w in ws if w not in known})
@@ -155,7 +168,7 @@ class Pair:
             if len(w) > KEPT_CHARS or not self.met.before(w):
                 known.pop(w, None)
                 shown.pop(w, None)
-        return np.frombuffer(b"".join(parts), "<u4").astype(np.int64), np.array([len(p) // 4 for p in parts], np.int64), digests
+        return np.frombuffer(b"".join(parts), "<u4"), np.array([len(p) // 4 for p in parts], np.int64), digests
 
 
 _LOADED: dict[tuple[str, str], Pair] = {}
@@ -163,6 +176,7 @@ _LOADED: dict[tuple[str, str], Pair] = {}
 
 def loaded(path_a: str, path_b: str) -> Pair:
     """Loaded once per Python process; the words and groups met so far stay with it."""
+    sole(__name__, _LOADED)
     if (path_a, path_b) not in _LOADED:
         _LOADED[path_a, path_b] = Pair(path_a, path_b)
     return _LOADED[path_a, path_b]
@@ -175,8 +189,29 @@ def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[end] - total[end - sizes]
 
 
+def stretches(sizes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Documents from, to, and their values from, to: about ``ROWS_AT_ONCE`` values at a time, a longer document by itself."""
+    end = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        base = int(end[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(end, base + ROWS_AT_ONCE, "right")))
+        yield at, to, base, int(end[to - 1])
+        at = to
+
+
+def sums_of(by: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of what the places hold in consecutive stretches of the given sizes."""
+    return np.concatenate([np.zeros(0, np.int64), *(sums(by[places[a:b]], sizes[i:j]) for i, j, a, b in stretches(sizes))])
+
+
+def distinct(places: np.ndarray, sizes: np.ndarray, width: int) -> np.ndarray:
+    """Each document's distinct places, as document * width + place, in order."""
+    return np.concatenate([np.zeros(0, np.int64), *(np.unique(np.repeat(np.arange(i, j), sizes[i:j]) * width + places[a:b]) for i, j, a, b in stretches(sizes))])
+
+
 def surplus(doc: np.ndarray, group: np.ndarray, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For distinct (document, group) rows: pairs that documents hold in several distinct groups, and how many groups too many count for them."""
+    """For distinct (document, group) rows in order: pairs that documents hold in several distinct groups, and how many groups too many count for them."""
     codes = [pair_codes(*ids_of(k))[0] for k in keys]
     size = np.array(list(map(len, codes)), np.int64)
     pairs, place, held = np.unique(np.concatenate(codes), return_inverse=True, return_counts=True)
@@ -185,12 +220,19 @@ def surplus(doc: np.ndarray, group: np.ndarray, keys: list[bytes]) -> tuple[np.n
     owner, place = owner[several], place[several]
     size = np.bincount(owner, minlength=len(keys))
     start = np.cumsum(size) - size
-    n = size[group]
-    row = np.repeat(np.arange(len(group)), n)
-    inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    pair = place[start[group[row]] + inner]
-    once = np.unique(doc[row] * len(pairs) + pair) % len(pairs)
-    over = np.bincount(pair, minlength=len(pairs)) - np.bincount(once, minlength=len(pairs))
+    over, every = np.zeros(len(pairs), np.int64), np.cumsum(size[group])
+    at = 0
+    while at < len(doc):  # some whole documents at a time, whose rows come one after the other
+        to = int(np.searchsorted(every, (every[at - 1] if at else 0) + ROWS_AT_ONCE, "right"))
+        to = int(np.searchsorted(doc, doc[min(to, len(doc) - 1)], "left")) if to < len(doc) else len(doc)
+        to = to if to > at else int(np.searchsorted(doc, doc[at], "right"))
+        n = size[group[at:to]]
+        row = np.repeat(np.arange(at, to), n)
+        inner = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        pair = place[start[group[row]] + inner]
+        once = np.unique(doc[row] * len(pairs) + pair) % len(pairs)
+        over += np.bincount(pair, minlength=len(pairs)) - np.bincount(once, minlength=len(pairs))
+        at = to
     return pairs[over > 0], over[over > 0]
 
 
@@ -206,22 +248,21 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, text: str, key: str) -> D
             there = np.zeros(len(both.keys), bool)
             there[found] = True
             used = np.flatnonzero(there)
-            local = (np.cumsum(there) - 1)[found]
+            local = (np.cumsum(there) - 1).astype("<u4")[found]
             keys = [both.keys[g] for g in used.tolist()]
             shape = np.array(both.shapes, np.int64).reshape(-1, 2)[used]
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            each = np.unique(doc * max(1, len(used)) + local)
+            each = distinct(local, sizes, max(1, len(used)))
             doc, group = each // max(1, len(used)), each % max(1, len(used))
             pairs, over = surplus(doc, group, keys) if keys else (np.zeros(0, np.int64),) * 2
-            n = shape[local]
+            n = [sums_of(by, local, sizes) for by in (shape[:, 0], shape[:, 1], shape[:, 0] * shape[:, 1])]
             columns = {
                 "portion": pa.array([task << 32 | k]), "keys": pa.array([keys], pa.list_(pa.binary())),
                 "held": pa.array([np.bincount(group, minlength=len(keys))], pa.list_(pa.int64())),
                 "over_pair": pa.array([pairs], pa.list_(pa.int64())), "over": pa.array([over], pa.list_(pa.int64())),
                 "ids": pa.array([batch.column(0).to_pylist()], pa.list_(batch.column(0).type)),
-                "n_a": pa.array([sums(n[:, 0], sizes)], pa.list_(pa.int64())), "n_b": pa.array([sums(n[:, 1], sizes)], pa.list_(pa.int64())),
-                "n_groups": pa.array([sizes], pa.list_(pa.int64())), "n_links": pa.array([sums(n[:, 0] * n[:, 1], sizes)], pa.list_(pa.int64())),
-                "digests": pa.array([digests], pa.list_(pa.string())), "places": pa.array([local.astype("<u4").tobytes()], pa.binary()),
+                "n_a": pa.array([n[0]], pa.list_(pa.int64())), "n_b": pa.array([n[1]], pa.list_(pa.int64())),
+                "n_groups": pa.array([sizes], pa.list_(pa.int64())), "n_links": pa.array([n[2]], pa.list_(pa.int64())),
+                "digests": pa.array([digests], pa.list_(pa.string())), "places": pa.array([local.tobytes()], pa.binary()),
             }
             k += 1
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
@@ -232,13 +273,18 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, text: str, key: str) -> D
     return rows.mapInArrow(run, schema)
 
 
+def name_of(key: str) -> Column:
+    """What stands for a group's key beside each of its links: long keys by their digest, as a group of n tokens has up to n * n links."""
+    return F.when(F.octet_length(key) < 32, F.col(key)).otherwise(F.unhex(F.sha2(key, 256))).alias("name")
+
+
 def expanded(groups: DataFrame) -> DataFrame:
-    """Links of each distinct group, once: ``key``, ``a``, ``b``, ``times`` (occurrence pairs in the group), ``held``."""
+    """Links of each distinct group, once: ``name`` (of the group), ``a``, ``b``, ``times`` (occurrence pairs in the group), ``held``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, codes, times, total = [], [], [], 0
-            held = batch.column(1).to_numpy(zero_copy_only=False)
+            held = batch.column(2).to_numpy(zero_copy_only=False)
             for k, key in enumerate(batch.column(0).to_pylist()):
                 code, n = pair_codes(*ids_of(key))
                 for at in range(0, len(code), LINKS_AT_ONCE):
@@ -254,9 +300,9 @@ def expanded(groups: DataFrame) -> DataFrame:
 
     def links(batch: pa.RecordBatch, held: np.ndarray, rows: list, codes: list, times: list) -> pa.RecordBatch:
         row, code, n = map(np.concatenate, (rows, codes, times))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(code >> 32), pa.array(code & 0xFFFFFFFF), pa.array(n), pa.array(held[row])], names=["key", "a", "b", "times", "held"])
+        return pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row)), pa.array(code >> 32), pa.array(code & 0xFFFFFFFF), pa.array(n), pa.array(held[row])], names=["name", "a", "b", "times", "held"])
 
-    return groups.select("key", "held").mapInArrow(run, "key binary, a bigint, b bigint, times bigint, held bigint")
+    return groups.select("key", name_of("key"), "held").mapInArrow(run, "name binary, a bigint, b bigint, times bigint, held bigint")
 
 
 def alignment(docs: DataFrame, path_a: str, path_b: str, *, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -271,8 +317,8 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, *, text: str = "text",
     over = parts.select(F.explode(F.arrays_zip("over_pair", "over")).alias("o")).select(F.shiftright("o.over_pair", 32).alias("a"), F.col("o.over_pair").bitwiseAND(0xFFFFFFFF).alias("b"), (-F.col("o.over")).alias("n"))
     pairs = written(links.select("a", "b", F.col("held").alias("n")).unionByName(over).groupBy("a", "b").agg(F.sum("n").alias("n")))
     best = F.broadcast(pairs.groupBy("a").agg(F.max("n").alias("most")))  # a row for each id of the vocabulary at most
-    worth = links.join(pairs, ["a", "b"]).join(best, "a").groupBy("key").agg(F.sum(F.when(F.col("n") == F.col("most"), F.col("times")).otherwise(0)).alias("best"), F.sum(F.col("times") * F.col("n")).alias("total"))
-    back = listed.join(worth, "key").select(F.col("portion").alias("part"), "place", "best", "total")
+    worth = links.join(pairs, ["a", "b"]).join(best, "a").groupBy("name").agg(F.sum(F.when(F.col("n") == F.col("most"), F.col("times")).otherwise(0)).alias("best"), F.sum(F.col("times") * F.col("n")).alias("total"))
+    back = listed.select("portion", "place", name_of("key")).join(worth, "name").select(F.col("portion").alias("part"), "place", "best", "total")
 
     def finish(part: pa.Table, scores: pa.Table) -> pa.Table:
         names = ["key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
@@ -283,7 +329,7 @@ def alignment(docs: DataFrame, path_a: str, path_b: str, *, text: str = "text",
         places, sizes = np.frombuffer(one["places"][0].as_py(), "<u4"), flat["n_groups"].to_numpy()
         value = np.zeros((2, one["n_keys"][0].as_py()), np.int64)
         value[:, scores.column("place").to_numpy()] = scores.column("best").to_numpy(), scores.column("total").to_numpy()
-        counted = [pa.array(sums(v[places], sizes)) for v in value]
+        counted = [pa.array(sums_of(v, places, sizes)) for v in value]
         return pa.Table.from_arrays([flat["ids"], flat["n_a"], flat["n_b"], flat["n_groups"], flat["n_links"], *counted, flat["digests"]], names=names)
 
     left = parts.select("portion", F.size("keys").alias("n_keys"), "ids", "n_a", "n_b", "n_groups", "n_links", "digests", "places")

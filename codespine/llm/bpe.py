@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import ready, slices, text_bytes, utf8
+from .common import ready, slices, sole, text_bytes, utf8
 
 CACHED_WORDS = 400_000
 CACHED_BYTES = 64
@@ -187,6 +187,7 @@ _LOADED: dict[str, ByteBpe] = {}
 
 def vocabulary(path: str) -> ByteBpe:
     """Loaded once per Python process; the words met so far stay with it."""
+    sole(__name__, _LOADED)
     if path not in _LOADED:
         _LOADED[path] = ByteBpe(path)
     return _LOADED[path]

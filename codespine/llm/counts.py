@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import portions, ready, text_bytes, utf8
+from .common import portions, ready, sole, text_bytes, utf8
 
 BATCH_BYTES = 4 << 20
 CALL_BYTES = 1 << 18
@@ -129,6 +129,7 @@ _LOADED: dict[str, Lengths] = {}
 
 def lengths(path: str) -> Lengths:
     """Loaded once per Python process; the lengths met so far stay with it."""
+    sole(__name__, _LOADED)
     if path not in _LOADED:
         _LOADED[path] = Lengths(path)
     return _LOADED[path]

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import portions, ready, remainder, slices, text_bytes, utf8, written
+from .common import portions, ready, remainder, slices, sole, text_bytes, utf8, written
 
 FREQUENT = 150_000
 CACHED_WORDS = 500_000
@@ -106,6 +106,7 @@ _LOADED: dict[str, Pieces] = {}
 
 
 def pieces(path: str) -> Pieces:
+    sole(__name__, _LOADED, _SCORED)
     if path not in _LOADED:
         _LOADED[path] = Pieces(path)
     return _LOADED[path]

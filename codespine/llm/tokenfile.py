@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import portions, ready, shared_dir, slices, text_bytes, utf8, written
+from .common import portions, ready, shared_dir, slices, sole, text_bytes, utf8, written
 
 MAGIC = 0x314B4F54
 BLOCK_TOKENS = 1 << 18
@@ -149,6 +149,7 @@ _LOADED: dict[str, WordIds] = {}
 
 
 def word_ids(path: str) -> WordIds:
+    sole(__name__, _LOADED)
     if path not in _LOADED:
         _LOADED[path] = WordIds(path)
     return _LOADED[path]

@@ -5,10 +5,11 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
-from codespine.llm import align, counts, phrases
+from codespine.llm import align, bpe, counts, phrases
 from codespine.llm.catalog import op11_token_counts, op12_alignment, op13_collocations, oracle_sql, vocabulary_file
-from codespine.llm.common import table
+from codespine.llm.common import table, written
 
 from pyspark.sql import functions as F
 
@@ -199,3 +200,30 @@ def test_keys_are_sorted_and_counted():
         left = Counter(tuple(w) for w in phrases.windows(phrases.broken(seq, n, good), n + 1)[1].tolist()) if n < 4 else None
         want = Counter(tuple(w) for w in phrases.windows(seq, n + 1)[1].tolist() if {tuple(w[:-1]), tuple(w[1:])} <= fine)
         assert left is None or left == want
+
+
+def test_alignment_holds_little_at_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    keys = [np.array([2, *rng.integers(0, 6, 4)], "<u4").tobytes() for _ in range(40)]
+    each = np.unique(rng.integers(0, 60 * 40, 900))
+    found = [align.surplus(each // 40, each % 40, keys)]
+    monkeypatch.setattr(align, "ROWS_AT_ONCE", 7)
+    found.append(align.surplus(each // 40, each % 40, keys))
+    assert all(np.array_equal(a, b) for a, b in zip(*found, strict=True)) and len(found[0][0])
+    long = np.arange(301, dtype="<u4").tobytes()
+    links = align.expanded(spark.createDataFrame([(long[:0] + (150).to_bytes(4, "little") + long[4:], 3)], "key binary, held bigint")).collect()
+    assert len(links) == 150 * 150 and {len(r[0]) for r in links} == {32}
+
+
+def test_row_groups_are_bounded_in_bytes(spark):
+    rows = spark.range(0, 60, 1, 1).selectExpr("id", "sha2(string(id), 256) AS h").selectExpr("id", "repeat(h, 40000) AS text")
+    read = written(rows, "none")
+    sizes = [g for path in read.inputFiles() for m in [pq.ParquetFile(path.removeprefix("file://")).metadata] for g in [m.row_group(k).total_byte_size for k in range(m.num_row_groups)]]
+    assert read.count() == 60 and max(sizes) < 48 << 20 < sum(sizes)
+
+
+def test_a_worker_keeps_the_words_of_one_operator():
+    bpe.vocabulary(BYTE).encode_all(["some words"])
+    assert bpe.vocabulary(BYTE).words
+    counts.lengths(BYTE)
+    assert not bpe._LOADED and counts._LOADED
