@@ -18,13 +18,13 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
-from .common import ready, schema_ddl, slices, text_bytes
+from .common import ready, schema_ddl, slices, sole, text_bytes
 from .labelled import sample
 
 SAMPLE = 6000
@@ -126,18 +126,21 @@ class Model:
     def logistic(s: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(s, -30, 30)))
 
-    def places(self, words: list[bytes]) -> Iterator[tuple[bytes, tuple[int, ...]]]:
-        """Each word with the places of those of its terms that the sample had."""
+    def places(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each word with the places of those of its terms that the sample had, as 32-bit integers."""
         each = list(map(hashes, words))
         code = np.fromiter(chain.from_iterable(each), np.int64)
         at = np.minimum(np.searchsorted(self.found, code), len(self.found) - 1)
-        known = iter(np.where(self.found[at] == code, at, -1).tolist())
-        return ((w, tuple(p for p in islice(known, len(e)) if p >= 0)) for w, e in zip(words, each, strict=True))
+        there = self.found[at] == code
+        size = np.cumsum([len(e) for e in each])
+        end = 4 * np.concatenate([[0], np.cumsum(there)])[size]
+        packed = at[there].astype("<i4").tobytes()
+        return ((w, packed[a:b]) for w, a, b in zip(words, [0, *end[:-1].tolist()], end.tolist(), strict=True))
 
-    def score(self, rows: list[list[int]]) -> np.ndarray:
+    def score(self, rows: list[np.ndarray]) -> np.ndarray:
         """By document: places of its terms, each once."""
         n = np.array([len(r) for r in rows], np.int64)
-        at = np.fromiter(chain.from_iterable(rows), np.int64, int(n.sum()))
+        at = np.concatenate([np.zeros(0, np.int32), *rows])
         return self.logistic(logits(self.bias, self.own[:, at], np.repeat(np.arange(len(rows)), n), len(rows))[0])
 
 
@@ -153,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, allowed: Column | None = None, mo
 
 
 #: Of this process: a model's terms by word.
-_PLACES: dict[bytes, dict[bytes, tuple[int, ...]]] = {}
+_PLACES: dict[bytes, dict[bytes, bytes]] = {}
 
 
 def scored(docs: DataFrame, model: Model | None, name: str = "toxic_score") -> DataFrame:
@@ -167,6 +170,7 @@ def scored(docs: DataFrame, model: Model | None, name: str = "toxic_score") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        sole(__name__, _PLACES)
         mark = own.found.tobytes() if own else b""
         if mark not in _PLACES:
             _PLACES.clear()
@@ -180,7 +184,7 @@ def scored(docs: DataFrame, model: Model | None, name: str = "toxic_score") -> D
                 words = set((t or "").encode().translate(FOLD).split())
                 if own and (new := [w for w in words if w not in known]):
                     known.update(own.places(new))
-                rows.append(list(set().union(*filter(None, map(known.get, words)))))
+                rows.append(np.unique(np.frombuffer(b"".join(map(known.__getitem__, words)), "<i4")) if own else [])
             score = own.score(rows) if own else np.zeros(len(rows))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 
