@@ -7,6 +7,7 @@ column functions, windows and joins. Every extractor is a column function or a D
 from __future__ import annotations
 
 import html as entities
+from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import codes, dates, text
 from ..operators.hierarchy import section_chapters
-from ..workers import ready
+from ..workers import by_slices, ready
 
 #: Elements whose start or end ends a line of text, and those whose content is no text.
 BLOCKS = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "tr", "br", "table", "ul", "ol"}
@@ -81,21 +82,22 @@ def _read(page: str | None) -> _Page:
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _lines(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda p: [x for x in (" ".join("".join(line).split()) for line in _read(p).lines) if x])
+def _lines(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    one = lambda p: [x for x in (" ".join("".join(line).split()) for line in _read(p).lines) if x]
+    yield from map(pd.Series, by_slices(((pages,) for pages in batches), one))
 
 
 ANCHOR = T.StructType([T.StructField(n, T.IntegerType() if n == "row" else T.StringType()) for n in ("kind", "href", "target", "label", "heading", "row", "title")])
 
 
 @F.pandas_udf(T.ArrayType(ANCHOR))
-def _anchors(pages: pd.Series, urls: pd.Series) -> pd.Series:
+def _anchors(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     def one(page: str | None, url: str | None) -> list[dict]:
         read = _read(page)
         titles = [" ".join("".join(r).split()) for r in read.row_text]
         return [{**x, "target": joined(url, x["href"]), "label": " ".join("".join(x["label"]).split()), "title": titles[x["row"]] if x["row"] >= 0 else ""} for x in read.links]
 
-    return pd.Series([one(p, u) for p, u in zip(pages, urls, strict=True)])
+    yield from map(pd.Series, by_slices(batches, one))
 
 
 def joined(base: str | None, link: str) -> str:
@@ -293,7 +295,7 @@ def tables(html: Column | str) -> Column:
 
 
 @F.pandas_udf(T.ArrayType(T.ArrayType(T.ArrayType(T.StringType()))))
-def _tables(pages: pd.Series) -> pd.Series:
+def _tables(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
     def one(page: str | None) -> list:
         parser = _Tables()
@@ -301,7 +303,7 @@ def _tables(pages: pd.Series) -> pd.Series:
         parser.close()
         return parser.tables
 
-    return pages.map(one)
+    yield from map(pd.Series, by_slices(((pages,) for pages in batches), one))
 
 
 def fraction_sheet(pages: DataFrame, *, html: str = "html", url: str = "url") -> DataFrame:
