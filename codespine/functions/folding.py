@@ -7,6 +7,7 @@ none; the few that become several are looked up in the rows that have any. Hangu
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -17,9 +18,12 @@ from pyspark.sql import functions as F
 HANGUL, LEADS, VOWELS, TAILS, BY_LEAD, BY_VOWEL = ("가", "힣"), 0x1100, 0x1161, 0x11A7, 588, 28
 
 
+OTHER = re.compile(r"[^\x00-\x7f]+")
+
+
 def unmarked(text: str) -> str:
     """Compatibility forms resolved, marks stripped."""
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    return text if text.isascii() else OTHER.sub(lambda m: "".join(c for c in m[0] if not unicodedata.combining(c)), unicodedata.normalize("NFKD", text))
 
 
 def character(c: str, case: bool) -> str:

@@ -2,7 +2,9 @@
 
 import datetime
 
+import pandas as pd
 import pytest
+from codespine import workers
 from codespine.operators import compare
 from codespine.sources import ledgers, thirdparty
 
@@ -103,3 +105,22 @@ def test_ledger_problems_stop_the_whole(spark):
     with pytest.raises(ledgers.LedgerError, match="missing_date"):
         ledgers.required_ledger(made)
     assert ledgers.required_ledger(made.where("url = 'https://d.mx/a.htm'")).count() == 6
+
+
+def test_ledger_problems_are_found_page_by_page(spark):
+    made = spark.createDataFrame([("https://d.mx/a.htm", "<p>x</p>")], "url string, html string")
+    plan = ledgers.ledger_problems(made)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Exchange", "Join", "Window")) and plan.count("ArrowEvalPython") == 1
+    assert len(plan) < 20_000  # texts are folded where pages are parsed; the tables of folding aren't in the plan
+
+
+def test_parsed_pages_leave_the_worker_in_slices(spark):
+    pages = [pd.Series(["x" * 10, None, "y" * 30, "z"]), pd.Series([], dtype=object)]
+    assert list(workers.by_slices(((p,) for p in pages), len_of, most=130)) == [[10, 0], [30, 1]]
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    workers.ready(spark)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 4096
+
+
+def len_of(page):
+    return len(page or "")
