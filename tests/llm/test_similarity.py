@@ -463,3 +463,19 @@ def test_every_match_has_an_anchor_and_a_marker():
         for _ in range(200):
             held = {t[k] for k in rng.sample(range(len(t)), few)}
             assert held & set(licences.anchors(t, 0.8)) and any(m in g for m in marks for g in held)
+
+
+def test_search_is_measured_with_the_queries(spark):
+    """Queries that lie apart from most vectors need other cells and shortlists than these."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(6000, 32))
+    x[::50] = rng.normal(size=32) + 0.05 * rng.normal(size=(120, 32))
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = ann.search(rows, F.col("vec_id") % 50 == 0).collect()
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    found = 0
+    for q in range(0, 6000, 50):
+        near = u @ u[q]
+        near[q] = -2
+        found += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-near)[:5].tolist()))
+    assert len(got) == 600 and found >= 0.9 * 600
