@@ -1,4 +1,4 @@
-"""The bounded sample of labelled rows that the two classifiers are fitted on."""
+"""Labelled rows, and a bounded sample of them with their texts."""
 
 from __future__ import annotations
 
@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 MOST_BYTES = 64 << 20
 
 
+def labelled(labels: DataFrame, label: str, *, allowed: Column | None = None, key: str = "doc_id") -> DataFrame:
+    """``key``, ``label`` int: null and other labels than 0 and 1 don't count; of several for one id the largest holds. ``allowed`` says which rows may be learned from."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    if allowed is not None:
+        known = known.where(allowed)
+    return known.groupBy(key).agg(F.max(label).cast("int").alias("label"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, label: str, *, allowed: Column | None = None, most: int = 8000, most_bytes: int = MOST_BYTES, key: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` with a 0/1 ``label``, ``most`` of them and ``most_bytes`` of their texts at most, chosen by a hash of the id.
 
@@ -17,10 +25,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, *, allowed: Column |
     bounds them. In the order of the hash, ids whose texts go beyond the bytes left are passed over. Null and other labels don't count; of several labels for
     one id the largest holds.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
-    if allowed is not None:
-        known = known.where(allowed)
-    one = known.groupBy(key).agg(F.max(label).cast("int").alias("label"))
+    one = labelled(labels, label, allowed=allowed, key=key)
     chosen = one.withColumn("h", F.xxhash64(key)).orderBy("h", key).limit(most)
     sizes = docs.select(key, F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("long").alias("size")).join(F.broadcast(chosen), key)
     rows = sizes.groupBy(key, "label", "h").agg(F.sum("size").alias("size")).orderBy("h", key).select(key, "label", "size").collect()  # ``most`` numbers

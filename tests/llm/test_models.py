@@ -326,3 +326,27 @@ def test_bytes_of_a_sample_are_bounded(spark):
     assert {r.doc_id for r in sample(docs, labels, "quality").collect()} == {0, 1, 2, 3, 4}
     assert sample(docs, labels, "quality", most_bytes=0).count() == 1 and sample(docs.limit(0), labels, "quality").count() == 0
     assert sample(docs, labels, "quality", most=2).count() <= 2
+
+
+def test_quality_learns_from_all_labelled_rows(spark, monkeypatch):
+    """Buckets, the rarer label's copies and the bins of the threshold, on more rows than one bucket or one pass takes."""
+    monkeypatch.setattr(quality, "BUCKET", 50)
+    monkeypatch.setattr(quality, "FEWEST", 4)
+    monkeypatch.setattr(quality, "ORDERED", 20)
+    rng = np.random.default_rng(2)
+    y = (rng.random(900) < 0.05).astype(int)
+    texts = [" ".join(rng.choice(["Plain", "words", "|", "!!", "x9"], 30, p=[0.5, 0.44, 0.02, 0.02, 0.02] if g else [0.2, 0.5, 0.1, 0.1, 0.1])) for g in y]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame(list(enumerate(y.tolist())), "doc_id long, quality int")
+    model = quality.fit(docs, labels)
+    x = np.array([quality.measures(t.encode()) for t in texts])
+    assert np.allclose(model.mean, x.mean(0)) and np.allclose(np.where(np.isinf(model.scale), 0, model.scale), np.where(x.std(0) > 1e-9, x.std(0), 0))
+    s = np.sort(model.standard(x) @ model.w)
+    k = int((y == 0).sum())
+    assert abs(model.threshold - (s[k - 1] + s[k]) / 2) < 1e-9
+    again = quality.fit(docs.repartition(7), labels)
+    assert np.array_equal(again.w, model.w) and again.threshold == model.threshold
+    assert ((model.score(x) >= 0.5) == y).mean() > 0.95
+    z = np.arange(13.0)[:, None]
+    pairs = quality.pairs_of(z, 3, 0, 0)[:, 0]
+    assert len(pairs) == 40 and {p + b for p in pairs for b in range(3, 13)} >= {0.0, 1.0, 2.0}
