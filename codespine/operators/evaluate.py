@@ -78,6 +78,17 @@ def provenance(records: DataFrame, links: DataFrame, documents: DataFrame) -> Da
     return records.select("record_id").join(links, "record_id").join(documents, "source_document_id").withColumn("position", F.row_number().over(order))
 
 
+#: Links that one task tells apart and orders.
+LINKS_AT_ONCE = 250_000
+
+
+def distinct_links(links: DataFrame) -> DataFrame:
+    """Each link once. Links hardly repeat, so they are dealt out by record before they are told apart, and by their number: exchanges are sized by
+    their compressed bytes otherwise, which says little of what rows take in memory. What follows by record needs no further exchange of them.
+    """
+    return links.repartition(max(1, -(-links.count() // LINKS_AT_ONCE)), "record_id").distinct()
+
+
 def provenance_lists(links: DataFrame, key: str, source: str) -> DataFrame:
     """Distinct sources of each record as a sorted JSON list, and their number."""
     ids = F.array_sort(F.collect_set(source))

@@ -163,9 +163,9 @@ def provenance_list(spark: SparkSession, d: str) -> DataFrame:
   SELECT record_id, source_document_id, role, is_primary, s_name, row_number() OVER (PARTITION BY record_id ORDER BY is_primary DESC, source_document_id, role) AS position
   FROM (SELECT o_orderkey AS record_id FROM orders) JOIN l USING (record_id) JOIN (SELECT s_suppkey AS source_document_id, s_name FROM supplier) USING (source_document_id)""")
 def provenance_ranked(spark: SparkSession, d: str) -> DataFrame:
-    links = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("record_id"), F.col("l_suppkey").alias("source_document_id"), F.col("l_returnflag").alias("role"), (F.col("l_linenumber") == 1).alias("is_primary")).distinct()
+    links = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("record_id"), F.col("l_suppkey").alias("source_document_id"), F.col("l_returnflag").alias("role"), (F.col("l_linenumber") == 1).alias("is_primary"))
     documents = table(spark, d, "supplier").select(F.col("s_suppkey").alias("source_document_id"), "s_name")
-    return evaluate.provenance(table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id")), links, documents)
+    return evaluate.provenance(table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id")), evaluate.distinct_links(links), documents)
 
 
 @_query("""SELECT o_orderkey AS record_id, count(*) FILTER (l_linenumber = 1) AS primary_count FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1 HAVING count(*) FILTER (l_linenumber = 1) <> 1""")

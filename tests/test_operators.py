@@ -269,3 +269,11 @@ def test_sheet_layouts(spark):
             sheets.resolve(bad)
     items = spark.createDataFrame([("0101.21.01", "5"), (None, "0101210107"), ("x", "1")], "code string, nico string")
     assert sorted(r.item for r in sheets.item_rows(items).collect()) == ["0101210105", "0101210107"]
+
+
+def test_links_are_dealt_out_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(evaluate, "LINKS_AT_ONCE", 10)
+    links = spark.range(95).selectExpr("id % 50 AS record_id", "id % 50 AS source_document_id", "'a' AS role", "true AS is_primary")
+    once = evaluate.distinct_links(links)
+    assert once.rdd.getNumPartitions() == 10 and once.count() == 50
+    assert evaluate.distinct_links(links.limit(0)).count() == 0
