@@ -13,7 +13,8 @@ compared at all: there each fingerprint visits all centres within ``radius / 2``
 to the least of them, which gives the same components in a number of rows linear in the bucket.
 
 Few bits apart is only a sign of likeness: texts that share 0.8 of their shingles differ in about ten bits, and some within four
-share less. Where a similarity is asked for, fingerprints propose nothing: ``similar`` finds all pairs of shingle sets exactly.
+share less. Where a similarity is asked for, equal and linked fingerprints propose pairs; pivot distance tables of their shingle sets (``similar.pivots``) discard,
+and the sets themselves verify them. What fingerprints can't propose isn't lost: ``similar`` finds all other pairs of shingle sets exactly, past the same tables.
 
 Defined results: null and empty texts have fingerprint zero and link like any other; a text with fewer words than a shingle
 is one shingle; repeated rows share a class; null ids stay as rows and never name a component that has another id.
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .common import free_name, ready, slices, text_bytes, written
 from .components import components, forest
-from .similar import NODES_SENT, SAMPLE, data_of, folded, frequent, gram_set, node_of, parity, prefix, shingled, similar_links
+from .similar import NODES_SENT, SAMPLE, data_of, folded, frequent, gram_set, node_of, parity, pivots, prefix, shingled, similar_links
 
 BUCKET = 1024
 SEED = 42
@@ -215,7 +216,17 @@ def links(classes: DataFrame, *, families: int = 1, radius: int = 4, wide: int |
     return light
 
 
-def similar(docs: DataFrame, *, width: int, similarity: float, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame | None]:
+def proposed(prints: DataFrame, *, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
+    """``a``, ``b``: pairs of different sets with equal or linked fingerprints, so many as span each group of them; ``prints``: fp, node."""
+    each = written(prints.select("fp", "node").distinct())
+    first = written(each.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    same = each.join(first.where("n > 1"), "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    of = lambda side: first.select(F.col("fp").alias(side), F.col("first").alias(f"{side}_first"))
+    near = links(first.select("fp"), radius=radius, bucket=bucket).join(of("a"), "a").join(of("b"), "b").select("a_first", "b_first")
+    return same.union(near).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def similar(docs: DataFrame, *, width: int, similarity: float, radius: int = 4, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """``doc_id``, ``fp``, ``node`` (of the shingle set) of every row; ``node``, ``least`` id; ``node``, ``root`` of linked nodes or None."""
     data = data_of(docs, text, key)
     hashes = lambda t: shingle_hashes(t, width)
@@ -242,22 +253,23 @@ def similar(docs: DataFrame, *, width: int, similarity: float, text: str = "text
         return {
             "fp": pa.array(fps.view(np.int64)), "node": pa.array([node_of(g) for g in grams], pa.int64()),
             "size": pa.array([len(g) for g in grams], pa.int32()), "prefix": pa.array([prefix(g, common.value, similarity) for g in grams], pa.list_(pa.int64())),
-            "parity": pa.array([b.tobytes() for b in bits], pa.binary()), "low": pa.array(short[:, 0]), "high": pa.array(short[:, 1]),
+            "parity": pa.array([b.tobytes() for b in bits], pa.binary()), "pivots": pa.array([pivots(g).tobytes() for g in grams], pa.binary()), "low": pa.array(short[:, 0]), "high": pa.array(short[:, 1]),
         }
 
-    rows = written(shingled(data, hashes, "fp bigint, node bigint, size int, prefix array<bigint>, parity binary, low bigint, high bigint", prints))
+    rows = written(shingled(data, hashes, "fp bigint, node bigint, size int, prefix array<bigint>, parity binary, pivots binary, low bigint, high bigint", prints))
     nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("low").alias("low"), F.min("high").alias("high")))
-    return rows.select("doc_id", "fp", "node"), nodes, similar_links(rows, nodes, sets_of, similarity)
+    pairs = proposed(rows, radius=radius, bucket=bucket)
+    return rows.select("doc_id", "fp", "node"), nodes, similar_links(rows, nodes, sets_of, similarity, pairs)
 
 
 def near_duplicates(docs: DataFrame, *, width: int = 4, radius: int = 4, similarity: float | None = None, bucket: int = BUCKET, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id``, ``fp``, ``component_id`` (the smallest id reachable over links, itself included) of every row.
 
     Fingerprints up to ``radius`` bits apart link. With ``similarity``, documents link instead if their sets of shingles are equal
-    or have that Jaccard similarity; then neither ``radius`` nor ``bucket`` plays a part.
+    or have that Jaccard similarity; then ``radius`` and ``bucket`` decide which pairs are looked at first, not which are found.
     """
     if similarity:
-        prints, classes, roots = similar(docs, width=width, similarity=similarity, text=text, key=key)
+        prints, classes, roots = similar(docs, width=width, similarity=similarity, radius=radius, bucket=bucket, text=text, key=key)
     else:
         prints = written(fingerprints(docs, width=width, text=text, key=key)).withColumn("node", F.col("fp"))
         classes = written(prints.groupBy("node").agg(F.min("doc_id").alias("least")))

@@ -6,9 +6,10 @@ first, by counts in a sample, then by hash; the sample decides on speed only. Se
 pair in a list is dropped where the sizes, or what follows the shared shingle in both sets, rule the similarity out. So is a pair whose
 parity fingerprints differ too much: bit i tells whether an odd number of the set's hashes is i modulo the bits, so a shingle in one set only flips one
 bit, and Hamming distance is at most the number of such shingles, of which a similar pair has ``(1 - t) / (1 + t) x (|a| + |b|)`` at most.
-Lists carry 128 bits of it; what they leave is compared on two to four bits a shingle. All others are verified on the sets. Nothing else is left out, however long a list is.
+Lists carry 128 bits of it; what they leave is compared on two to four bits a shingle, and on pivot distance tables (``pivots``): a set's distances to 64
+references, none of which can differ by more than the two sets' own distance. All others are verified on the sets. Nothing else is left out, however long a list is.
 
-Lists are taken in rounds: neighbours by size first, in the lists of the rarest shingles only and then in all, then farther members, at last
+Pairs that the caller proposes (``simhash`` has those of near fingerprints) come first, through the same tables and the same verification. Then lists are taken in rounds: neighbours by size first, in the lists of the rarest shingles only and then in all, then farther members, at last
 all. Each round leaves out pairs that links found before have joined, so a list of thousands of near copies doesn't become all its pairs, nor do
 all the lists that they share. Equal sets are one node from the start.
 """
@@ -50,6 +51,17 @@ def parity(grams: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(grams & (bits - 1), minlength=bits).astype(np.uint8) & 1, bitorder="little")
 
 
+def pivots(grams: np.ndarray) -> np.ndarray:
+    """A set's pivot distance table: by bit, how many more of its hashes have it set than not, within 16 bits.
+
+    Reference i is the set of all shingles whose hash has bit i. A shingle that has it brings a set one nearer to it, any other one takes it one farther,
+    so the number is a constant less the distance (shingles in one set only) to the reference, and by the triangle inequality two sets' numbers
+    differ by their distance at most. Its signs are the SimHash of the set.
+    """
+    ones = np.unpackbits(grams.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.clip(2 * ones - len(grams), -(2**15), 2**15 - 1).astype(np.int16)
+
+
 def folded(bits: np.ndarray, size: int) -> np.ndarray:
     """The fingerprint in so many bytes at most: as places are remainders, halves add up to the shorter one."""
     while len(bits) > size:
@@ -163,22 +175,25 @@ def asked_of(pairs: DataFrame) -> DataFrame:
 
 
 def promising(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
-    """The ``pairs`` whose whole parity fingerprints don't rule that similarity out; ``rows``: node, size, parity."""
+    """The ``pairs`` whose pivot tables and whole parity fingerprints don't rule that similarity out; ``rows``: node, size, parity, pivots."""
     apart = (1 - similarity) / (1 + similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = (batch.column(2).to_numpy() + batch.column(4).to_numpy()).tolist()
-            keep = []
-            for x, y, n in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist(), sizes, strict=True):
+            most = apart * (batch.column("a_size").to_numpy() + batch.column("b_size").to_numpy()) + 1e-9
+            of_a, of_b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int16).reshape(-1, 64).astype(np.int64) for c in ("a_pivots", "b_pivots"))
+            near = np.abs(of_a - of_b).max(axis=1, initial=0) <= most
+            batch, keep = batch.filter(pa.array(near)), []
+            for x, y, n in zip(batch.column("a_parity").to_pylist(), batch.column("b_parity").to_pylist(), most[near].tolist(), strict=True):
                 x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
                 least = min(len(x), len(y))
-                keep.append(int(np.bitwise_count(folded(x, least) ^ folded(y, least)).sum()) <= apart * n + 1e-9)
+                keep.append(int(np.bitwise_count(folded(x, least) ^ folded(y, least)).sum()) <= n)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    bits = rows.select("node", "size", "parity").join(asked_of(pairs), "node", "left_semi").dropDuplicates(["node"])
-    of = lambda side: bits.select(F.col("node").alias(side), F.col("size").alias(f"{side}_size"), F.col("parity").alias(f"{side}_parity"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_size", "a_parity", "b_size", "b_parity")
+    told = ["size", "parity", "pivots"]
+    bits = rows.select("node", *told).join(asked_of(pairs), "node", "left_semi").dropDuplicates(["node"])
+    of = lambda side: bits.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in told])
+    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", *[f"{side}_{c}" for side in "ab" for c in told])
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
@@ -195,27 +210,32 @@ def verified(pairs: DataFrame, nodes: DataFrame, sets_of, similarity: float) ->
     return both.where((union > 0) & (common >= similarity * union)).select("a", "b")
 
 
-def similar_links(rows: DataFrame, nodes: DataFrame, sets_of, similarity: float) -> DataFrame | None:
+def similar_links(rows: DataFrame, nodes: DataFrame, sets_of, similarity: float, proposed: DataFrame) -> DataFrame | None:
     """``node``, ``root`` of the components of all pairs with that similarity; None where no pair has it.
 
-    ``rows``: node, size, prefix, parity; ``nodes``: node, least id, and ``low`` and ``high``, the parity in 128 bits; ``sets_of``: node and grams of
-    the documents with given ids.
+    ``rows``: node, size, prefix, parity, pivots; ``nodes``: node, least id, and ``low`` and ``high``, the parity in 128 bits; ``sets_of``: node and grams of
+    the documents with given ids; ``proposed``: pairs (``a``, ``b``) of different nodes to look at first.
     """
+    found = labels = None
+
+    def looked_at(pairs: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+        left = written(promising(written(pairs), rows, similarity))
+        if left.isEmpty():
+            return found, labels
+        more = written(verified(left, nodes, sets_of, similarity))
+        links = more if found is None else found.union(more)
+        return links, components(links)
+
+    found, labels = looked_at(proposed)
     postings = rows.select("node", "size", "prefix").dropDuplicates(["node"]).select("node", "size", F.posexplode("prefix").alias("pos", "key"))
     met = written(meeting(postings).join(nodes.select("node", "low", "high"), "node"))  # bits go to the few rows that meet
     longest = met.groupBy("key").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
-    found = labels = None
     for places, first, last in ROUNDS:
         if first >= longest:
             break
         lists = met if places is None else met.where(F.col("pos") < places)
         named = lists.withColumn("label", F.col("node")) if labels is None else lists.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node"))
-        pairs = written(promising(written(list_pairs(named, similarity, first, last)), rows, similarity))
-        if pairs.isEmpty():
-            continue
-        more = written(verified(pairs, nodes, sets_of, similarity))
-        found = more if found is None else found.union(more)
-        labels = components(found)
+        found, labels = looked_at(list_pairs(named, similarity, first, last))
     return labels
 
 

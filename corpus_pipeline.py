@@ -37,7 +37,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each component of documents with a shingle similarity of 0.8."""
+    """Keeps the document with the smallest id of each component of documents with a shingle similarity of 0.8.
+
+    SimHash fingerprints propose pairs, pivot distance tables discard and shingle sets verify them; an exact join of rare shingles, past the same tables, adds
+    those pairs that fingerprints four bits apart don't show.
+    """
     return simhash.deduplicated(docs).select(*docs.columns)
 
 

@@ -210,6 +210,52 @@ def test_parity_bits_rule_out_no_similar_pair():
     assert similar.parity(np.zeros(0, np.int64)).tobytes() == bytes(16)
 
 
+def test_pivot_tables_rule_out_no_similar_pair():
+    rng = np.random.default_rng(6)
+    hashes = lambda n: rng.integers(-(2**63), 2**63 - 1, n)
+    for n in (0, 1, 5, 60, 700, 40_000):
+        for _ in range(10):
+            common = hashes(n)
+            a, b = (np.unique(np.concatenate([common, hashes(int(rng.integers(0, n // 4 + 2)))])) for _ in range(2))
+            tables = [similar.pivots(x).astype(int) for x in (a, b)]
+            assert np.abs(tables[0] - tables[1]).max() <= len(np.setxor1d(a, b))
+            for x, table in zip((a, b), tables, strict=True):  # the signs are the set's fingerprint
+                if len(x):
+                    fp = int(simhash.majority(x.view(np.uint64), np.array([len(x)]))[0])
+                    assert [fp >> k & 1 for k in range(64)] == (table > 0).astype(int).tolist()
+    far = [similar.pivots(np.unique(hashes(60))).astype(int) for _ in range(2)]
+    assert np.abs(far[0] - far[1]).max() > 120 / 9
+    assert similar.pivots(np.arange(40_000) * 2 + 1)[0] == 2**15 - 1
+
+
+def test_near_duplicates_are_found_by_fingerprints_and_pivots(spark, monkeypatch):
+    """Without the rounds of the exact join, what fingerprints propose is verified and linked all the same."""
+    rng = random.Random(12)
+    base = [[f"w{k}-{i}" for i in range(300)] for k in range(12)]
+    often = "same " * 400  # equal fingerprints, different sets
+    texts = [t for words in base for t in [" ".join(words), *edited(rng, words, 3, 1)]] + [often + " ".join(f"{x}{i}" for i in range(40)) for x in "ab"] + EDGES
+    sets, fps = [grams(t) for t in texts], [fingerprint(t, 5) for t in texts]
+    near = [(i, j) for j in range(len(texts)) for i in range(j) if sets[i] != sets[j] and (fps[i] ^ fps[j]).bit_count() <= 4]
+    good = [(i, j) for i, j in near if alike(sets[i], sets[j])]
+    assert len(good) > 10 and len(good) < len(near)
+    rows = simhash.similar(documents(spark, texts), width=5, similarity=0.8)[0].collect()
+    node = {r.doc_id: r.node for r in rows}
+    pairs = [(r.a, r.b) for r in simhash.proposed(spark.createDataFrame(rows, "doc_id long, fp long, node long")).collect()]
+    spanned = lambda links: classes_of(links, set(node.values()))
+    assert spanned(pairs) == spanned([(node[i], node[j]) for i, j in near])
+    monkeypatch.setattr(similar, "ROUNDS", ())
+    got, want = found_groups(spark, texts), similar_groups(texts)
+    assert all(want[k] == want[v] for k, v in got.items()) and sum(got[i] == got[j] for i, j in good) > len(good) // 2
+
+
+def classes_of(links, nodes):
+    root = {n: n for n in nodes}
+    for a, b in links:
+        x, y = sorted((root[a], root[b]))
+        root = {n: x if r == y else r for n, r in root.items()}
+    return root
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {r.node: r.root for r in components(edges).collect()}
