@@ -202,7 +202,8 @@ def links(classes: DataFrame, *, families: int = 1, radius: int = 4, wide: int |
     key = F.shiftleft(F.col("family").cast("long"), FAMILY_BIT).bitwiseOR(F.col("k"))
     keyed = keyed.withColumn("k", F.explode(bucket_keys(F.col("bits"), radius))).select(key.alias("key"), "fp")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = keyed.join(sizes, "key").join(classes.select("fp", each.alias("each")), "fp")  # bits come back for the few that meet
+    # by size of file Spark would broadcast the keys, many times that file
+    shared = keyed.hint("merge").join(sizes, "key").join(classes.select("fp", each.alias("each")), "fp")  # bits come back for the few that meet
     met = written(shared.select("key", F.get("each", F.shiftright("key", FAMILY_BIT).cast("int")).alias("bits"), "fp", "n"))
     light = light_links(met.where(F.col("n") <= bucket), radius, wide or radius)
     heavy = met.where(F.col("n") > bucket)
