@@ -28,9 +28,9 @@ def forest(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def contracted(edges: DataFrame) -> DataFrame:
+def contracted(pairs: DataFrame, tasks: int, *, every: bool = False) -> DataFrame:
     """Links with the same components, at most one for each node and task: every task replaces the links it holds, about
-    ``EDGES_AT_ONCE``, by stars. Many links between the same few nodes become few."""
+    ``EDGES_AT_ONCE``, by stars. Many links between the same few nodes become few. ``every``: centres are linked to themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
@@ -38,12 +38,10 @@ def contracted(edges: DataFrame) -> DataFrame:
             a, b = (np.concatenate(x) for x in zip(*held, strict=True))
             nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
             root = forest(place[: len(a)], place[len(a) :], len(nodes))
-            linked = np.flatnonzero(root != np.arange(len(nodes)))
+            linked = np.flatnonzero(every | (root != np.arange(len(nodes))))
             yield pa.RecordBatch.from_arrays([pa.array(nodes[linked]), pa.array(nodes[root[linked]])], names=["a", "b"])
 
-    ready(edges.sparkSession)
-    pairs = written(edges.select("a", "b").where("a <> b"))
-    return pairs.repartition(max(1, -(-pairs.count() // EDGES_AT_ONCE))).mapInArrow(run, "a bigint, b bigint")
+    return pairs.repartition(tasks).mapInArrow(run, "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -52,8 +50,14 @@ def components(edges: DataFrame) -> DataFrame:
     Each round every node takes the least label among its own, its neighbours' and its label's label, so that long chains
     shorten by doubling. Rounds are written to the shared folder. A node with very many links is a skewed join key (which
     adaptive execution splits) and a minimum (which is combined before the shuffle). No edges give no rows. Nodes are 64-bit integers.
+    Up to ``EDGES_AT_ONCE`` links are one task's, whose stars are the components already, so there are no rounds.
     """
-    pairs = contracted(edges)
+    ready(edges.sparkSession)
+    links = written(edges.select("a", "b").where("a <> b"))
+    tasks = max(1, -(-links.count() // EDGES_AT_ONCE))
+    if tasks == 1:
+        return written(contracted(links, 1, every=True)).select(F.col("a").alias("node"), F.col("b").alias("root"))
+    pairs = contracted(links, tasks)
     both = written(pairs.union(pairs.select("b", "a")).distinct())
     labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root")))
     while True:

@@ -31,9 +31,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, ready, slices, text_bytes, written
+from .common import free_name, in_few, ready, slices, text_bytes, written
 from .components import components, forest
-from .similar import NODES_SENT, SAMPLE, data_of, folded, frequent, gram_set, node_of, parity, pivots, prefix, shingled, similar_links
+from .similar import IDS_A_TASK, NODES_SENT, SAMPLE, data_of, folded, frequent, gram_set, node_of, parity, pivots, prefix, shingled, similar_links
 
 BUCKET = 1024
 SEED = 42
@@ -219,8 +219,9 @@ def links(classes: DataFrame, *, families: int = 1, radius: int = 4, wide: int |
 
 def proposed(prints: DataFrame, *, radius: int = 4, bucket: int = BUCKET) -> DataFrame:
     """``a``, ``b``: pairs of different sets with equal or linked fingerprints, so many as span each group of them; ``prints``: fp, node."""
-    each = written(prints.select("fp", "node").distinct())
-    first = written(each.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    rows = prints.count()
+    each = written(in_few(prints.select("fp", "node").distinct(), rows, IDS_A_TASK))
+    first = written(in_few(each.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")), rows, IDS_A_TASK))
     same = each.join(first.where("n > 1"), "fp").select(F.col("first").alias("a"), F.col("node").alias("b"))
     of = lambda side: first.select(F.col("fp").alias(side), F.col("first").alias(f"{side}_first"))
     near = links(first.select("fp"), radius=radius, bucket=bucket).join(of("a"), "a").join(of("b"), "b").select("a_first", "b_first")
@@ -239,7 +240,8 @@ def similar(docs: DataFrame, *, width: int, similarity: float, radius: int = 4,
     def sets_of(ids: DataFrame) -> DataFrame:
         return shingled(data.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_semi"), hashes, "node bigint, grams array<bigint>", sets)
 
-    share = -(-data.count() // SAMPLE) or 1
+    count = data.count()
+    share = -(-count // SAMPLE) or 1
     sample = data.where(F.pmod(F.xxhash64("doc_id", "data"), F.lit(share)) == 0)
     common = docs.sparkSession.sparkContext.broadcast(frequent(shingled(sample, hashes, "node bigint, grams array<bigint>", sets)))
 
@@ -258,7 +260,7 @@ def similar(docs: DataFrame, *, width: int, similarity: float, radius: int = 4,
         }
 
     rows = written(shingled(data, hashes, "fp bigint, node bigint, size int, prefix array<bigint>, parity binary, pivots binary, low bigint, high bigint", prints))
-    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("low").alias("low"), F.min("high").alias("high")))
+    nodes = written(in_few(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("low").alias("low"), F.min("high").alias("high")), count, IDS_A_TASK))
     pairs = proposed(rows, radius=radius, bucket=bucket)
     return rows.select("doc_id", "fp", "node"), nodes, similar_links(rows, nodes, sets_of, similarity, pairs)
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ready, slices, text_bytes, written
+from .common import in_few, ready, slices, sole, text_bytes, written
 from .components import components
 
 #: So many documents at most tell which shingles are frequent, and so many frequent shingles go to all tasks.
@@ -34,6 +34,8 @@ ROUNDS = ((2, 1, 1), (None, 1, 4), (None, 5, 64), (None, 65, None))
 #: So many nodes to compare go to all tasks at most.
 NODES_SENT = 500_000
 PAIRS_AT_ONCE = 1 << 18
+#: About so many ids, pairs with their fingerprints, and pairs with their sets are a task and a file where they are few.
+IDS_A_TASK, PAIRS_A_TASK, SETS_A_TASK = 1 << 16, 1 << 12, 1 << 9
 
 
 def gram_set(hashes: list[int]) -> np.ndarray:
@@ -197,10 +199,10 @@ def promising(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, sets_of, similarity: float) -> DataFrame:
-    """The ``pairs`` whose sets have that similarity. ``nodes``: node, ``least``, the id of one document that may be null."""
+def verified(pairs: DataFrame, rows: int, nodes: DataFrame, sets_of, similarity: float) -> DataFrame:
+    """The ``pairs`` (``rows`` of them) whose sets have that similarity. ``nodes``: node, ``least``, the id of one document that may be null."""
     asked = asked_of(pairs)
-    ids = written(nodes.join(asked, "node", "left_semi").select(F.col("least").alias("id")))
+    ids = written(in_few(nodes.join(asked, "node", "left_semi").select(F.col("least").alias("id")), rows, IDS_A_TASK))
     sets = sets_of(F.broadcast(ids) if ids.count() <= NODES_SENT else ids).join(asked, "node", "left_semi")
     sets = sets.dropDuplicates(["node"])  # one exchange by node, which both joins read
     of = lambda side: sets.select(F.col("node").alias(side), F.col("grams").alias(f"{side}_grams"))
@@ -219,10 +221,15 @@ def similar_links(rows: DataFrame, nodes: DataFrame, sets_of, similarity: float,
     found = labels = None
 
     def looked_at(pairs: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
-        left = written(promising(written(pairs), rows, similarity))
-        if left.isEmpty():
+        pairs = written(pairs)
+        if not (n := pairs.count()):
+            return found, labels
+        left = written(in_few(promising(pairs, rows, similarity), n, PAIRS_A_TASK))
+        if not (n := left.count()):
+            return found, labels
+        more = written(in_few(verified(left, n, nodes, sets_of, similarity), n, SETS_A_TASK))
+        if more.isEmpty():
             return found, labels
-        more = written(verified(left, nodes, sets_of, similarity))
         links = more if found is None else found.union(more)
         return links, components(links)
 
@@ -244,6 +251,7 @@ def shingled(docs: DataFrame, hashes, schema: str, fields) -> DataFrame:
     ready(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole(__name__)
         for batch in slices(batches):
             made = fields([hashes(t) for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), *made.values()], names=["doc_id", *made])

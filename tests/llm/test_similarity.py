@@ -7,9 +7,11 @@ import textwrap
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
-from codespine.llm import ann, catalog, decontaminate, licences, simhash, similar
+from codespine.llm import ann, catalog, common, decontaminate, licences, simhash, similar
+from codespine.llm import components as linked
 from codespine.llm.common import table
 from codespine.llm.components import components
 from pyspark.sql import functions as F
@@ -262,6 +264,53 @@ def test_components_of_a_long_chain(spark):
     assert got == {k: 0 for k in range(61)} | {100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("at_once", [7, 1000])
+def test_components_by_rounds_and_in_one_task(spark, monkeypatch, at_once):
+    """Few links take no rounds of tables; many take them, with the same result."""
+    rng = random.Random(14)
+    links = [(rng.randrange(-90, 90), rng.randrange(-90, 90)) for _ in range(70)]
+    tables = []
+    monkeypatch.setattr(linked, "EDGES_AT_ONCE", at_once)
+    monkeypatch.setattr(linked, "written", lambda df, keep=linked.written: tables.append(df) or keep(df))
+    got = sorted((r.node, r.root) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
+    links = [(a, b) for a, b in links if a != b]
+    assert got == sorted(classes_of(links, {n for pair in links for n in pair}).items())
+    assert len(tables) == 2 if at_once == 1000 else len(tables) > 3
+    assert not components(spark.createDataFrame([(5, 5)], "a long, b long")).count()
+
+
+def test_few_pairs_are_few_files(spark, monkeypatch):
+    """Files of intermediate tables follow their rows, not the number of shuffle partitions."""
+    held = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {name: spark.conf.get(name) for name in held}
+    rng = random.Random(15)
+    texts = [t for k in range(12) for t in edited(rng, [f"w{k}-{i}" for i in range(60)], 8, 1)]
+    files = []
+    for module in (simhash, similar, linked):
+        monkeypatch.setattr(module, "written", lambda df, keep=module.written: files.append(len((out := keep(df)).inputFiles())) or out)
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        got = found_groups(spark, texts)
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    assert got == similar_groups(texts)
+    assert sum(n > 8 for n in files) <= 7  # those whose rows can't be known before
+
+
+def test_shingles_free_the_words_of_other_operators(spark, monkeypatch):
+    """A worker that has scored toxicity doesn't hold its words any more while it makes shingle sets."""
+    kept = {b"model": {b"word": b"place"}}
+    monkeypatch.setitem(common._KEPT, "codespine.llm.toxicity", [kept])
+    maps = []
+    docs = documents(spark, ["a b c"]).selectExpr("doc_id", "cast(text as binary) AS data")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: maps.append(run))
+    similar.shingled(docs, lambda t: simhash.shingle_hashes(t, 2), "n int", lambda each: {"n": pa.array([len(x) for x in each])})
+    made = list(maps[0](iter([pa.RecordBatch.from_pydict({"doc_id": [0], "data": [b"a b c"]})])))
+    assert made[0].to_pydict() == {"doc_id": [0], "n": [2]} and not kept
+
+
 def vectors(spark, n=600, d=16, seed=0):
     rng = np.random.default_rng(seed)
     x = rng.normal(size=(n, d)).astype(np.float32)
